@@ -1,11 +1,19 @@
 """Column expressions (all JVM-side built-ins; no Python UDFs)."""
 
-from stationwise.functions.geo import central_angle, great_circle_km, haversine_km
+from stationwise.functions.geo import (
+    central_angle_sql,
+    great_circle_km,
+    great_circle_sql,
+    haversine_km,
+    haversine_sql,
+)
 from stationwise.functions.labels import name_lookup, proximity_bucket
 from stationwise.functions.typing import normalize_code, null_tokens, to_double, to_int
 
 __all__ = [
-    "central_angle",
+    "central_angle_sql",
+    "great_circle_sql",
+    "haversine_sql",
     "great_circle_km",
     "haversine_km",
     "name_lookup",

@@ -1,4 +1,8 @@
-"""Great-circle distance as a native Spark expression (no Python UDF)."""
+"""Great-circle distance as a native Spark expression (no Python UDF).
+
+The expression is produced as SQL text and parsed once by ``F.expr``:
+one call into the JVM instead of dozens of Column compositions.
+"""
 
 from __future__ import annotations
 
@@ -8,43 +12,56 @@ from pyspark.sql import functions as F
 from stationwise.constants import DISTANCE_DECIMALS, EARTH_RADIUS_KM
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _ref(c: str) -> str:
+    return c if c.startswith("(") or c.startswith("`") else f"`{c}`"
 
 
-def central_angle(lat1, lon1, lat2, lon2) -> Column:
-    """Haversine central angle in radians; null if any input is null.
+def central_angle_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """Haversine central angle in radians as SQL; null if any input is null.
 
     ``sqrt(a)`` is clamped at 1 so that near-antipodal points give pi
     instead of NaN. The clamp sits inside the null guard because
-    ``least`` skips nulls and would otherwise invent an angle.
+    ``least`` skips nulls and would otherwise invent an angle. Operation
+    order follows the textbook formula, so results agree bit for bit
+    with a plain float implementation before rounding.
     """
-    lat1, lon1, lat2, lon2 = map(_col, (lat1, lon1, lat2, lon2))
-    p1, p2 = F.radians(lat1), F.radians(lat2)
-    dlat = p2 - p1
-    dlon = F.radians(lon2) - F.radians(lon1)
-    s_lat = F.sin(dlat / 2)
-    s_lon = F.sin(dlon / 2)
-    # Same operation order as the textbook formula, so results agree
-    # bit for bit with a plain float implementation before rounding.
-    a = s_lat * s_lat + F.cos(p1) * F.cos(p2) * (s_lon * s_lon)
-    angle = F.lit(2.0) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
-    present = lat1.isNotNull() & lon1.isNotNull() & lat2.isNotNull() & lon2.isNotNull()
-    return F.when(present, angle)
+    a1, o1, a2, o2 = map(_ref, (lat1, lon1, lat2, lon2))
+    s_lat = f"sin((radians({a2}) - radians({a1})) / 2)"
+    s_lon = f"sin((radians({o2}) - radians({o1})) / 2)"
+    a = f"{s_lat} * {s_lat} + cos(radians({a1})) * cos(radians({a2})) * ({s_lon} * {s_lon})"
+    return (
+        f"(CASE WHEN {a1} IS NOT NULL AND {o1} IS NOT NULL AND {a2} IS NOT NULL AND {o2} IS NOT NULL "
+        f"THEN 2.0D * asin(least(1.0D, sqrt({a}))) END)"
+    )
+
+
+def great_circle_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius_km: float = EARTH_RADIUS_KM) -> str:
+    return f"({float(radius_km)!r}D * {central_angle_sql(lat1, lon1, lat2, lon2)})"
+
+
+def haversine_sql(
+    lat1: str,
+    lon1: str,
+    lat2: str,
+    lon2: str,
+    radius_km: float = EARTH_RADIUS_KM,
+    decimals: int = DISTANCE_DECIMALS,
+) -> str:
+    return f"round({great_circle_sql(lat1, lon1, lat2, lon2, radius_km)}, {int(decimals)})"
 
 
-def great_circle_km(lat1, lon1, lat2, lon2, radius_km: float = EARTH_RADIUS_KM) -> Column:
-    """Unrounded haversine distance in km (used for search bounds)."""
-    return F.lit(radius_km) * central_angle(lat1, lon1, lat2, lon2)
+def great_circle_km(lat1: str, lon1: str, lat2: str, lon2: str, radius_km: float = EARTH_RADIUS_KM) -> Column:
+    """Unrounded haversine distance in km between columns named by the arguments."""
+    return F.expr(great_circle_sql(lat1, lon1, lat2, lon2, radius_km))
 
 
 def haversine_km(
-    lat1,
-    lon1,
-    lat2,
-    lon2,
+    lat1: str,
+    lon1: str,
+    lat2: str,
+    lon2: str,
     radius_km: float = EARTH_RADIUS_KM,
     decimals: int = DISTANCE_DECIMALS,
 ) -> Column:
-    """Haversine distance in km rounded to ``decimals`` places."""
-    return F.round(great_circle_km(lat1, lon1, lat2, lon2, radius_km), decimals)
+    """Haversine distance in km rounded to ``decimals`` places (column names in)."""
+    return F.expr(haversine_sql(lat1, lon1, lat2, lon2, radius_km, decimals))

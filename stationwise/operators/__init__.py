@@ -10,7 +10,7 @@ from stationwise.operators.clean import (
     valid_land_value,
 )
 from stationwise.operators.enrich import add_proximity_bucket, attach_nearest, enrich_properties
-from stationwise.operators.nearest import nearest_station, nearest_to_points
+from stationwise.operators.nearest import candidate_pairs, nearest_station
 from stationwise.operators.quality import dq_report, filter_counts, gold_health, gold_health_at, unmatched_count
 from stationwise.operators.quantile import exact_percentile
 from stationwise.operators.serving import (
@@ -46,7 +46,7 @@ __all__ = [
     "gold_overview",
     "load_stations",
     "nearest_station",
-    "nearest_to_points",
+    "candidate_pairs",
     "preview_properties",
     "project_stations",
     "rename_columns",

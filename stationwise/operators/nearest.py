@@ -13,7 +13,7 @@ Plan, for centroid points with valid coordinates:
 1. *Bound.* Stations are indexed on a pyramid of lat/lon grids (cell
    edge ``1/256`` degree, x4 per level, 9 levels; the top level is one
    cell). Each grid cell keeps one representative station (a map-side
-   combined ``min``). Every point probes its 3x3 cell block on every
+   combined aggregate). Every point probes its 3x3 cell block on every
    level: at most 81 probe rows, one representative per hit. The least
    distance to any representative bounds the true nearest distance.
    The top level always hits, so every point gets a bound.
@@ -34,11 +34,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationwise.constants import DISTANCE_DECIMALS, EARTH_RADIUS_KM
-from stationwise.functions.geo import great_circle_km, haversine_km
+from stationwise.functions.geo import great_circle_sql, haversine_sql
 from stationwise.operators.stations import STATION_COLUMNS
 
 LEVEL0_DEG = 1.0 / 256.0
@@ -58,166 +58,130 @@ def grid_levels() -> list[tuple[int, float, int, int]]:
     return out
 
 
-def _levels_array() -> Column:
-    return F.array(
-        *[
-            F.struct(
-                F.lit(lvl).alias("lvl"),
-                F.lit(g).alias("g"),
-                F.lit(nlat).cast("long").alias("nlat"),
-                F.lit(nlon).cast("long").alias("nlon"),
-            )
-            for lvl, g, nlat, nlon in grid_levels()
-        ]
+LEVELS_SQL = "array({})".format(
+    ", ".join(
+        f"named_struct('lvl', {lvl}, 'g', {g!r}D, 'nlat', {nlat}L, 'nlon', {nlon}L)"
+        for lvl, g, nlat, nlon in grid_levels()
     )
+)
 
 
-def _placeable(lat: Column, lon: Column) -> Column:
+def placeable_sql(lat: str, lon: str) -> str:
     """Coordinates the grid can hold: non-null, |lat| <= 90, finite lon."""
     return (
-        lat.isNotNull()
-        & lon.isNotNull()
-        & (lat >= -90.0)
-        & (lat <= 90.0)
-        & (F.abs(lon) < F.lit(float("inf")))
+        f"({lat} IS NOT NULL AND {lon} IS NOT NULL AND {lat} >= -90.0D AND {lat} <= 90.0D "
+        f"AND abs({lon}) < double('Infinity'))"
     )
 
 
-def _wrap_lon(lon: Column) -> Column:
-    return F.pmod(lon + F.lit(180.0), F.lit(360.0)) - F.lit(180.0)
+def _cell_y(lat: str, lv: str) -> str:
+    return f"least(floor(({lat} + 90.0D) / {lv}.g), {lv}.nlat - 1)"
 
 
-def _cell_y(lat: Column, g: Column, nlat: Column) -> Column:
-    return F.least(F.floor((lat + F.lit(90.0)) / g), nlat - 1)
-
-
-def _cell_x(lon: Column, g: Column, nlon: Column) -> Column:
-    return F.least(F.floor((_wrap_lon(lon) + F.lit(180.0)) / g), nlon - 1)
+def _cell_x(lon: str, lv: str) -> str:
+    return f"least(floor((pmod({lon} + 180.0D, 360.0D)) / {lv}.g), {lv}.nlon - 1)"
 
 
 def _stations_on_grid(stations: DataFrame) -> DataFrame:
     """Every placeable station once per level, keyed by (lvl, cy, cx)."""
-    lat, lon = F.col("station_lat"), F.col("station_long")
-    return stations.where(_placeable(lat, lon)).select(
-        *STATION_COLUMNS, F.explode(_levels_array()).alias("_L")
-    ).select(
-        F.col("_L.lvl").alias("lvl"),
-        _cell_y(lat, F.col("_L.g"), F.col("_L.nlat")).alias("cy"),
-        _cell_x(lon, F.col("_L.g"), F.col("_L.nlon")).alias("cx"),
-        *STATION_COLUMNS,
+    return (
+        stations.where(placeable_sql("station_lat", "station_long"))
+        .selectExpr(*STATION_COLUMNS, f"explode({LEVELS_SQL}) AS L")
+        .selectExpr(
+            "L.lvl AS lvl",
+            f"{_cell_y('station_lat', 'L')} AS cy",
+            f"{_cell_x('station_long', 'L')} AS cx",
+            *STATION_COLUMNS,
+        )
     )
 
 
 def _distance_bounds(points: DataFrame, on_grid: DataFrame, radius_km: float) -> DataFrame:
     """(plat, plon, d_ub): distance to the nearest cell representative found."""
+    # min(lat) with the longitude of that row: a real station, hash-aggregated.
     reps = on_grid.groupBy("lvl", "cy", "cx").agg(
-        F.min(F.struct("station_lat", "station_long")).alias("rep")
+        F.min("station_lat").alias("rlat"), F.min_by("station_long", "station_lat").alias("rlon")
     )
-    plat, plon = F.col("plat"), F.col("plon")
-    g, nlat, nlon = F.col("_L.g"), F.col("_L.nlat"), F.col("_L.nlon")
-    cy0, cx0 = _cell_y(plat, g, nlat), _cell_x(plon, g, nlon)
-    block = F.array_distinct(
-        F.array(
-            *[
-                F.struct(
-                    F.greatest(F.lit(0).cast("long"), F.least(cy0 + dy, nlat - 1)).alias("cy"),
-                    F.pmod(cx0 + dx, nlon).alias("cx"),
-                )
-                for dy in (-1, 0, 1)
-                for dx in (-1, 0, 1)
-            ]
-        )
+    cy0, cx0 = _cell_y("plat", "L"), _cell_x("plon", "L")
+    block = ", ".join(
+        f"named_struct('cy', greatest(0L, least({cy0} + ({dy}), L.nlat - 1)), 'cx', pmod({cx0} + ({dx}), L.nlon))"
+        for dy in (-1, 0, 1)
+        for dx in (-1, 0, 1)
     )
     probes = (
-        points.select("plat", "plon", F.explode(_levels_array()).alias("_L"))
-        .select("plat", "plon", F.col("_L.lvl").alias("lvl"), F.explode(block).alias("_c"))
-        .select("plat", "plon", "lvl", F.col("_c.cy").alias("cy"), F.col("_c.cx").alias("cx"))
+        points.selectExpr("plat", "plon", f"explode({LEVELS_SQL}) AS L")
+        .selectExpr("plat", "plon", "L.lvl AS lvl", f"explode(array_distinct(array({block}))) AS c")
+        .selectExpr("plat", "plon", "lvl", "c.cy AS cy", "c.cx AS cx")
     )
-    hits = probes.join(reps, ["lvl", "cy", "cx"]).select(
-        "plat",
-        "plon",
-        great_circle_km(plat, plon, F.col("rep.station_lat"), F.col("rep.station_long"), radius_km).alias("d"),
+    d = great_circle_sql("plat", "plon", "rlat", "rlon", radius_km)
+    return (
+        probes.join(reps, ["lvl", "cy", "cx"])
+        .groupBy("plat", "plon")
+        .agg(F.min(F.expr(d)).alias("d_ub"))
     )
-    return hits.groupBy("plat", "plon").agg(F.min("d").alias("d_ub"))
 
 
 def _box_cells(bounds: DataFrame, radius_km: float, decimals: int) -> DataFrame:
     """(plat, plon, lvl, cy, cx) for every cell meeting the search box."""
-    plat, plon = F.col("plat"), F.col("plon")
     slack = 10.0 ** (-decimals) + 1e-9  # pairs tied after rounding
-    ang = (F.col("d_ub") * F.lit(1 + 1e-9) + F.lit(slack)) / F.lit(radius_km)
-    dphi = F.degrees(ang) * F.lit(1 + 1e-9) + F.lit(1e-12)
-    s = F.sin(F.least(ang, F.lit(math.pi / 2))) / F.cos(F.radians(plat))
-    all_lon = (plat + dphi >= 90.0) | (plat - dphi <= -90.0) | (ang >= math.pi / 2) | (s >= 1.0)
-    dlam = F.when(all_lon, F.lit(180.0)).otherwise(F.degrees(F.asin(s)) * F.lit(1 + 1e-9) + F.lit(1e-12))
-    span = F.greatest(dphi, dlam)
-    lvl = F.least(
-        F.lit(N_LEVELS - 1),
-        F.greatest(F.lit(0), F.ceil(F.log(float(LEVEL_FACTOR), span / F.lit(BOX_CELLS * LEVEL0_DEG)))),
-    ).cast("int")
-    boxed = bounds.select(
-        "plat",
-        "plon",
-        dphi.alias("dphi"),
-        dlam.alias("dlam"),
-        F.element_at(_levels_array(), lvl + 1).alias("_L"),
+    ang = f"((d_ub * (1.0D + 1e-9D) + {slack!r}D) / {float(radius_km)!r}D)"
+    s = f"(sin(least({ang}, {math.pi / 2!r}D)) / cos(radians(plat)))"
+    dphi = f"(degrees({ang}) * (1.0D + 1e-9D) + 1e-12D)"
+    all_lon = f"(plat + {dphi} >= 90.0D OR plat - {dphi} <= -90.0D OR {ang} >= {math.pi / 2!r}D OR {s} >= 1.0D)"
+    dlam = f"(CASE WHEN {all_lon} THEN 180.0D ELSE degrees(asin({s})) * (1.0D + 1e-9D) + 1e-12D END)"
+    lvl = (
+        f"CAST(least({N_LEVELS - 1}, greatest(0, ceil(log({float(LEVEL_FACTOR)!r}D, "
+        f"greatest(dphi, dlam) / {BOX_CELLS * LEVEL0_DEG!r}D)))) AS INT)"
+    )
+    base = "pmod(plon + 180.0D, 360.0D)"
+    cx_lo, cx_hi = f"floor(({base} - dlam) / L.g)", f"floor(({base} + dlam) / L.g)"
+    lon_cells = (
+        f"CASE WHEN dlam >= 180.0D OR {cx_hi} - {cx_lo} + 1 >= L.nlon THEN sequence(0L, L.nlon - 1) "
+        f"ELSE array_distinct(transform(sequence({cx_lo}, {cx_hi}), x -> pmod(x, L.nlon))) END"
+    )
+    lat_cells = (
+        "sequence(greatest(0L, floor((plat - dphi + 90.0D) / L.g)), "
+        "least(L.nlat - 1, floor((plat + dphi + 90.0D) / L.g)))"
     )
-    g, nlat, nlon = F.col("_L.g"), F.col("_L.nlat"), F.col("_L.nlon")
-    dphi, dlam = F.col("dphi"), F.col("dlam")
-    cy_lo = F.greatest(F.lit(0).cast("long"), F.floor((plat - dphi + F.lit(90.0)) / g))
-    cy_hi = F.least(nlat - 1, F.floor((plat + dphi + F.lit(90.0)) / g))
-    base = _wrap_lon(plon) + F.lit(180.0)
-    cx_lo = F.floor((base - dlam) / g)
-    cx_hi = F.floor((base + dlam) / g)
-    lon_cells = F.when(
-        (dlam >= 180.0) | (cx_hi - cx_lo + 1 >= nlon), F.sequence(F.lit(0).cast("long"), nlon - 1)
-    ).otherwise(F.array_distinct(F.transform(F.sequence(cx_lo, cx_hi), lambda x: F.pmod(x, nlon))))
     return (
-        boxed.select(
-            "plat",
-            "plon",
-            F.col("_L.lvl").alias("lvl"),
-            F.explode(F.sequence(cy_lo, cy_hi)).alias("cy"),
-            lon_cells.alias("_xs"),
-        )
-        .select("plat", "plon", "lvl", "cy", F.explode("_xs").alias("cx"))
+        bounds.selectExpr("plat", "plon", "d_ub", f"{dphi} AS dphi", f"{dlam} AS dlam")
+        .selectExpr("plat", "plon", "dphi", "dlam", f"element_at({LEVELS_SQL}, {lvl} + 1) AS L")
+        .selectExpr("plat", "plon", "L.lvl AS lvl", f"explode({lat_cells}) AS cy", f"{lon_cells} AS xs")
+        .selectExpr("plat", "plon", "lvl", "cy", "explode(xs) AS cx")
     )
 
 
-def nearest_to_points(
+def candidate_pairs(
     points: DataFrame,
     stations: DataFrame,
     radius_km: float = EARTH_RADIUS_KM,
     decimals: int = DISTANCE_DECIMALS,
 ) -> DataFrame:
-    """Rank-1 stations (ties kept) for each distinct point (plat, plon).
+    """(plat, plon, station columns, distance_km) holding every rank-1 pair.
 
-    ``points`` holds distinct (plat, plon) rows, nulls allowed.
+    ``points`` holds distinct (plat, plon) rows, nulls allowed. Besides the
+    rank-1 stations of each point the result holds other stations of its
+    search box; rank them per point (or per code) to finish.
     """
     stations = stations.select(*STATION_COLUMNS)
-    plat, plon = F.col("plat"), F.col("plon")
-    placeable_pts = points.where(_placeable(plat, plon))
+    pt_ok = placeable_sql("plat", "plon")
+    st_ok = placeable_sql("station_lat", "station_long")
     on_grid = _stations_on_grid(stations)
 
-    bounds = _distance_bounds(placeable_pts, on_grid, radius_km)
+    bounds = _distance_bounds(points.where(pt_ok), on_grid, radius_km)
     cells = _box_cells(bounds, radius_km, decimals)
     grid_pairs = cells.join(on_grid, ["lvl", "cy", "cx"]).select("plat", "plon", *STATION_COLUMNS)
 
-    # Rows the grid cannot hold: pair them explicitly (see module doc).
-    st_ok = _placeable(F.col("station_lat"), F.col("station_long"))
-    st_keys = stations.select(
-        *STATION_COLUMNS,
-        F.explode(F.when(st_ok, F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("_k"),
+    # Rows the grid cannot hold: key 0 pairs placeable points with
+    # unplaceable stations, key 1 pairs unplaceable points with all stations.
+    st_keys = stations.selectExpr(
+        *STATION_COLUMNS, f"explode(CASE WHEN {st_ok} THEN array(1) ELSE array(0, 1) END) AS k"
     )
-    pt_keys = points.select("plat", "plon", F.when(_placeable(plat, plon), 0).otherwise(1).alias("_k"))
-    other_pairs = pt_keys.join(st_keys, "_k").select("plat", "plon", *STATION_COLUMNS)
+    pt_keys = points.selectExpr("plat", "plon", f"CASE WHEN {pt_ok} THEN 0 ELSE 1 END AS k")
+    other_pairs = pt_keys.join(st_keys, "k").select("plat", "plon", *STATION_COLUMNS)
 
-    pairs = grid_pairs.unionByName(other_pairs).withColumn(
-        "distance_km",
-        haversine_km(plat, plon, F.col("station_lat"), F.col("station_long"), radius_km, decimals),
-    )
-    w = Window.partitionBy("plat", "plon").orderBy(F.col("distance_km").asc_nulls_first())
-    return pairs.withColumn("_r", F.rank().over(w)).where("_r = 1").drop("_r")
+    dist = haversine_sql("plat", "plon", "station_lat", "station_long", radius_km, decimals)
+    return grid_pairs.unionByName(other_pairs).selectExpr("*", f"{dist} AS distance_km")
 
 
 def nearest_station(
@@ -233,31 +197,22 @@ def nearest_station(
     """Nearest station(s) for every neighbourhood code.
 
     Returns (code, station_id, station_name, station_lat, station_long,
-    distance_km). ``ties="all"`` keeps every rank-1 pair (rows of equal
-    centroids repeat, as a pairwise ranking would); ``ties="one"`` keeps
-    one pair per code, by distance then station name then id.
+    distance_km). ``ties="all"`` keeps every rank-1 pair (a centroid row
+    given twice repeats its pairs, as a pairwise ranking would);
+    ``ties="one"`` keeps one pair per code, by distance then station name
+    then id. Search runs once per distinct coordinate pair, then the
+    candidates are joined back to the centroid rows and ranked per code.
     """
     if ties not in ("all", "one"):
         raise ValueError("ties must be 'all' or 'one'")
-    cents = centroids.groupBy(code, lat, lon).agg(F.count(F.lit(1)).alias("_m"))
-    points = cents.select(F.col(lat).alias("plat"), F.col(lon).alias("plon")).distinct()
-    best = nearest_to_points(points, stations, radius_km, decimals)
-
-    joined = cents.join(
-        best, F.col(lat).eqNullSafe(F.col("plat")) & F.col(lon).eqNullSafe(F.col("plon"))
-    ).select(code, "_m", *STATION_COLUMNS, "distance_km")
-    order = F.col("distance_km").asc_nulls_first()
-    if ties == "one":
-        w = Window.partitionBy(code).orderBy(
-            order, F.col("station_name").asc_nulls_first(), F.col("station_id").asc_nulls_first()
-        )
-        return joined.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(
-            code, *STATION_COLUMNS, "distance_km"
-        )
-    w = Window.partitionBy(code).orderBy(order)
-    return (
-        joined.withColumn("_r", F.rank().over(w))
-        .where("_r = 1")
-        .select(code, *STATION_COLUMNS, "distance_km", F.explode(F.sequence(F.lit(1), F.col("_m").cast("int"))).alias("_rep"))
-        .drop("_rep")
+    points = centroids.selectExpr(f"`{lat}` AS plat", f"`{lon}` AS plon").distinct()
+    cand = candidate_pairs(points, stations, radius_km, decimals)
+    joined = centroids.select(code, lat, lon).join(
+        cand, F.col(lat).eqNullSafe(F.col("plat")) & F.col(lon).eqNullSafe(F.col("plon"))
     )
+    order = "distance_km ASC NULLS FIRST"
+    if ties == "one":
+        fn = f"row_number() OVER (PARTITION BY `{code}` ORDER BY {order}, station_name ASC NULLS FIRST, station_id ASC NULLS FIRST)"
+    else:
+        fn = f"rank() OVER (PARTITION BY `{code}` ORDER BY {order})"
+    return joined.selectExpr(f"`{code}`", *STATION_COLUMNS, "distance_km", f"{fn} AS r").where("r = 1").drop("r")
