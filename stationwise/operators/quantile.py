@@ -10,7 +10,9 @@ all rows would have to fit in one executor. Here the work is split:
 2. One map-side combined count gives the exact number of values below
    ``q_lo``.
 3. Only the rows inside the bracket (about ``8 n / accuracy`` of them)
-   are ranked with a window, which fixes the exact order statistic.
+   are ranked with a window, which fixes the exact order statistic; the
+   values just outside the bracket (kept by step 2) cover an
+   interpolation neighbour one rank out.
 
 The bracket aggregates can ride along with a caller's own aggregation
 (``bracket_aggs``) so the input is scanned three times in total.
@@ -98,19 +100,39 @@ def exact_percentile(
     # (size checked by the planner), shuffle join otherwise.
     joined = base.join(groups, _null_safe(base, groups, list(zip(keys, g_keys)))).drop(*keys)
 
-    below = joined.groupBy(*g_keys).agg(F.count_if(F.col("_v") < F.col("_q_lo")).alias("_below"))
-    below = below.select(*[F.col(g).alias(f"_b{g}") for g in g_keys], "_below")
+    # One combined pass: count below the bracket, plus the nearest values
+    # just outside it (an interpolation neighbour may sit one rank out).
+    q_lo, q_hi, v = F.col("_q_lo"), F.col("_q_hi"), F.col("_v")
+    edges = joined.groupBy(*g_keys).agg(
+        F.count_if(v < q_lo).alias("_below"),
+        F.count_if((v >= q_lo) & (v <= q_hi)).alias("_band_n"),
+        F.max(F.when(v < q_lo, v)).alias("_max_below"),
+        F.min(F.when(v > q_hi, v)).alias("_min_above"),
+        F.max("_k_lo").alias("_k_lo"),
+        F.max("_k_hi").alias("_k_hi"),
+        F.max("_w_lo").alias("_w_lo"),
+        F.max("_w_hi").alias("_w_hi"),
+    )
+    below = edges.select(*[F.col(g).alias(f"_b{g}") for g in g_keys], "_below")
 
-    band = joined.where((F.col("_v") >= F.col("_q_lo")) & (F.col("_v") <= F.col("_q_hi")))
+    band = joined.where((v >= q_lo) & (v <= q_hi)).select(*g_keys, "_v", "_k_lo", "_k_hi")
     band = band.withColumn("_rn", F.row_number().over(Window.partitionBy(*g_keys).orderBy("_v")))
     ranked = band.join(below, _null_safe(band, below, [(g, f"_b{g}") for g in g_keys])).withColumn(
         "_rank", F.col("_rn") + F.col("_below")
     )
-    picked = ranked.where((F.col("_rank") == F.col("_k_lo")) | (F.col("_rank") == F.col("_k_hi")))
-
-    lo_v = F.max(F.when(F.col("_rank") == F.col("_k_lo"), F.col("_v")))
-    hi_v = F.max(F.when(F.col("_rank") == F.col("_k_hi"), F.col("_v")))
-    w_lo_v, w_hi_v = F.max("_w_lo"), F.max("_w_hi")
-    result = F.when(lo_v == hi_v, lo_v).otherwise(w_lo_v * lo_v + w_hi_v * hi_v)
-    out = picked.groupBy(*g_keys).agg(result.alias(alias))
-    return out.select(*[F.col(g).alias(k) for k, g in zip(keys, g_keys)], alias)
+    rank = F.col("_rank")
+    picks = (
+        ranked.where((rank == F.col("_k_lo")) | (rank == F.col("_k_hi")))
+        .groupBy(*g_keys)
+        .agg(
+            F.max(F.when(rank == F.col("_k_lo"), v)).alias("_lo_pick"),
+            F.max(F.when(rank == F.col("_k_hi"), v)).alias("_hi_pick"),
+        )
+        .select(*[F.col(g).alias(f"_p{g}") for g in g_keys], "_lo_pick", "_hi_pick")
+    )
+    final = edges.join(picks, _null_safe(edges, picks, [(g, f"_p{g}") for g in g_keys]), "left")
+    below_n, band_n = F.col("_below"), F.col("_band_n")
+    lo_v = F.coalesce(F.col("_lo_pick"), F.when(F.col("_k_lo") == below_n, F.col("_max_below")))
+    hi_v = F.coalesce(F.col("_hi_pick"), F.when(F.col("_k_hi") == below_n + band_n + 1, F.col("_min_above")))
+    result = F.when(lo_v == hi_v, lo_v).otherwise(F.col("_w_lo") * lo_v + F.col("_w_hi") * hi_v)
+    return final.select(*[F.col(g).alias(k) for k, g in zip(keys, g_keys)], result.alias(alias))
