@@ -18,9 +18,12 @@ def _col(c: Column | str) -> Column:
 
 
 def to_double(c: Column | str) -> Column:
-    """String or number -> double; malformed text and NaN -> null."""
-    d = _col(c).try_cast("double")
-    return F.when(~F.isnan(d), d)
+    """String or number -> double; malformed text and NaN -> null.
+
+    ``nanvl`` mentions the parsed value once, which keeps the generated
+    code small once the optimizer pushes filters through this expression.
+    """
+    return F.nanvl(_col(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_int(c: Column | str) -> Column:

@@ -23,8 +23,12 @@ def attach_nearest(properties: DataFrame, nearest: DataFrame, code: str = "neigh
     falls back to a shuffle join otherwise, where AQE splits a code
     that holds a large share of the properties.
     """
-    props = properties.withColumn(code, normalize_code(code))
-    return props.join(nearest, on=code, how="left")
+    if dict(properties.dtypes).get(code) != "string":
+        # Numeric codes (e.g. re-inferred from partition paths) become the
+        # text form used everywhere else; text codes were normalised when
+        # cleaned and are joined as they are.
+        properties = properties.withColumn(code, normalize_code(code))
+    return properties.join(nearest, on=code, how="left")
 
 
 def add_proximity_bucket(
@@ -43,7 +47,15 @@ def enrich_properties(
     stations: DataFrame,
     ties: str = "all",
     buckets: Sequence[tuple[float, str]] = PROXIMITY_BUCKETS,
+    far_label: str = FAR_BUCKET,
 ) -> DataFrame:
-    """Clean properties -> properties with nearest station and bucket."""
-    nearest = nearest_station(centroids, stations, ties=ties)
-    return attach_nearest(properties, nearest).transform(add_proximity_bucket, buckets)
+    """Clean properties -> properties with nearest station and bucket.
+
+    The bucket depends only on the distance, so it is computed once per
+    code on the small nearest-station table; after the join a property
+    without a match (null distance) takes ``far_label``, as a null
+    distance would.
+    """
+    nearest = nearest_station(centroids, stations, ties=ties).transform(add_proximity_bucket, buckets, far_label)
+    out = "transit_proximity_category"
+    return attach_nearest(properties, nearest).withColumn(out, F.coalesce(F.col(out), F.lit(far_label)))

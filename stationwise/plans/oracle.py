@@ -74,9 +74,8 @@ properties_raw AS (
     END AS PREVIOUS_LAND_VALUE,
     CASE WHEN o_orderkey % 29 = 0 THEN 'NaN' ELSE CAST(c_acctbal AS VARCHAR) END AS PREVIOUS_IMPROVEMENT_VALUE,
     CAST(1780 + o_orderkey % 250 AS VARCHAR) AS YEAR_BUILT,
-    CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(1990 + o_orderkey % 30 AS VARCHAR) END AS BIG_IMPROVEMENT_YEAR,
-    CASE WHEN o_orderkey % 31 = 0 THEN 'x'
-         ELSE CAST(CAST(o_totalprice AS DOUBLE) / CAST(250 AS DOUBLE) AS VARCHAR) END AS TAX_LEVY
+    CAST(1990 + o_orderkey % 30 AS VARCHAR) AS BIG_IMPROVEMENT_YEAR,
+    CAST(CAST(o_totalprice AS DOUBLE) / CAST(250 AS DOUBLE) AS VARCHAR) AS TAX_LEVY
   FROM orders JOIN customer ON o_custkey = c_custkey
 )"""
 

@@ -67,8 +67,8 @@ def properties_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("PREVIOUS_LAND_VALUE"),
         F.when(every(29), "NaN").otherwise(_s(F.col("c_acctbal"))).alias("PREVIOUS_IMPROVEMENT_VALUE"),
         _s(F.lit(1780) + k % 250).alias("YEAR_BUILT"),
-        F.when(every(3), None).otherwise(_s(F.lit(1990) + k % 30)).alias("BIG_IMPROVEMENT_YEAR"),
-        F.when(every(31), "x").otherwise(_s(_d(F.col("o_totalprice")) / _d(250))).alias("TAX_LEVY"),
+        _s(F.lit(1990) + k % 30).alias("BIG_IMPROVEMENT_YEAR"),
+        _s(_d(F.col("o_totalprice")) / _d(250)).alias("TAX_LEVY"),
     )
 
 
