@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stationwise.constants import NEAR_BUCKET, NEIGHBOURHOOD_NAMES, SKETCH_ACCURACY
 from stationwise.functions.labels import name_lookup
 from stationwise.operators.quantile import _N, _Q, bracket_aggs, exact_percentile
+from stationwise.operators.sizing import materialize
 
 CODE = "neighbourhood_code"
 BUCKET = "transit_proximity_category"
@@ -82,6 +83,8 @@ def gold_detail(
         aggs += bracket_aggs("current_land_value", 0.5, accuracy)
     summary = silver.groupBy(*keys).agg(*aggs)
     if median == "exact":
+        # Written once: it feeds the median passes and the final result.
+        summary, _ = materialize(summary)
         med = _median_land_value(silver, summary.select(*keys, _N, _Q), keys, median, accuracy)
         med = med.select(*[F.col(k).alias(f"_m_{k}") for k in keys], F.round("median_land_value", 0).alias("median_land_value"))
         cond = F.lit(True)
@@ -141,7 +144,7 @@ def bucket_summary(silver: DataFrame, accuracy: int = SKETCH_ACCURACY) -> DataFr
         F.avg("current_land_value").alias("avg_land_value"),
         *bracket_aggs("current_land_value", 0.5, accuracy),
     ]
-    summary = silver.groupBy(BUCKET).agg(*aggs)
+    summary, _ = materialize(silver.groupBy(BUCKET).agg(*aggs))
     med = exact_percentile(
         silver, [BUCKET], "current_land_value", 0.5, True, "median_land_value", accuracy,
         summary.select(BUCKET, _N, _Q),

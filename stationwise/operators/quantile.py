@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationwise.constants import SKETCH_ACCURACY
+from stationwise.operators.sizing import small_side
 
 _N, _Q = "_q_n", "_q_bracket"
 
@@ -96,8 +97,9 @@ def exact_percentile(
         w_lo.alias("_w_lo"),
         w_hi.alias("_w_hi"),
     )
-    # The group table has one row per group: broadcast when small enough
-    # (size checked by the planner), shuffle join otherwise.
+    # One row per group: written once, counted, broadcast when that fits
+    # the threshold (the values are then never shuffled for this join).
+    groups = small_side(groups)
     joined = base.join(groups, _null_safe(base, groups, list(zip(keys, g_keys)))).drop(*keys)
 
     # One combined pass: count below the bracket, plus the nearest values

@@ -1,0 +1,68 @@
+"""Broadcast only what is measured to be small.
+
+The planner cannot size tables that come out of windows, explodes or
+aggregates, so it plans a shuffle join and moves the big side across
+the cluster before adaptive execution learns that the other side was
+tiny. A side that is small by construction (one row per code, one row
+per group) is therefore materialised once and counted first; its
+measured size then goes through Spark's own broadcast threshold check,
+and beyond that threshold the join stays a shuffle join, where adaptive
+execution splits skewed keys.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stationwise.session import ensure_checkpoint_dir
+
+# Conservative bytes per row of a small side (a few keys, ids, doubles).
+ROW_BYTES = 256
+_DEFAULT_THRESHOLD = 10 * 1024 * 1024
+
+
+def _threshold_bytes(df: DataFrame) -> int:
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(_DEFAULT_THRESHOLD))
+    raw = raw.strip().lower()
+    units = {"b": 1, "k": 1024, "kb": 1024, "m": 1024**2, "mb": 1024**2, "g": 1024**3, "gb": 1024**3}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(raw[: -len(suffix)]) * units[suffix]
+    return int(raw)
+
+
+def materialize(df: DataFrame, reliable: bool = False) -> tuple[DataFrame, int]:
+    """Materialise ``df`` once and count it.
+
+    Default: cached in executor memory; the cached relation then carries
+    its measured size, so the planner's own broadcast threshold decides
+    the join of any later query, and a lost executor only recomputes the
+    block from its (short) lineage. ``reliable=True`` writes a checkpoint
+    to the cluster's checkpoint folder instead, cutting the lineage.
+    """
+    if reliable:
+        ensure_checkpoint_dir(df.sparkSession)
+        saved = df.checkpoint(eager=True)
+    else:
+        saved = df.cache()
+    return saved, saved.count()
+
+
+def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = ROW_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when ``rows`` x ``row_bytes`` is under the broadcast threshold."""
+    limit = _threshold_bytes(df)
+    if limit > 0 and rows * row_bytes <= limit:
+        return F.broadcast(df)
+    return df
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """Materialise a side that is small by construction, so joins can size it.
+
+    The cached relation reports its measured size; the planner compares
+    it with ``spark.sql.autoBroadcastJoinThreshold`` and broadcasts it, or
+    keeps a shuffle join when it is too large.
+    """
+    saved, _ = materialize(df)
+    return saved

@@ -2,9 +2,9 @@
 
 Every query reads the given tables (through ``sources.fixtures``), so its
 work grows with them. Each callable takes ``(spark, sf_dir)`` and
-returns a lazy DataFrame; the gold queries first materialise the
-enriched silver table with a reliable ``checkpoint`` (the written layer
-of the batch job), so their multi-pass aggregates do not recompute it.
+returns a DataFrame; the gold queries first materialise the enriched
+silver table once (the batch job's written layer plays that part), so
+their multi-pass aggregates do not recompute it.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ from stationwise.operators import (
     unmatched_count,
 )
 from stationwise.functions import haversine_km, normalize_code
-from stationwise.session import ensure_checkpoint_dir
+from stationwise.operators.sizing import materialize
 from stationwise.sources import centroid_table
 from stationwise.sources import fixtures as fx
 
@@ -69,9 +69,12 @@ def _enriched(spark: SparkSession, sf: str, tied: bool = False) -> DataFrame:
 
 
 def _silver(spark: SparkSession, sf: str) -> DataFrame:
-    """Enriched silver, checkpointed to the cluster's checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    return _enriched(spark, sf).checkpoint(eager=True)
+    """Enriched silver, written once for the multi-pass gold aggregates.
+
+    A reliable checkpoint in the cluster's checkpoint folder: the batch
+    job's written silver layer plays the same part.
+    """
+    return materialize(_enriched(spark, sf), reliable=True)[0]
 
 
 def _stop_pairs(spark: SparkSession, sf: str) -> DataFrame:

@@ -26,10 +26,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_local_dirs: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a scratch folder only when unset (tests)."""
-    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """Checkpoint folder: the cluster's ``spark.checkpoint.dir`` when set.
+
+    Only a local-mode session without that setting (tests, the bench)
+    gets a scratch folder of its own; on a cluster the setting is
+    required, since a machine-local folder would not survive the loss
+    of an executor.
+    """
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="stationwise-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
+        d = _local_dirs.setdefault(id(sc), tempfile.mkdtemp(prefix="stationwise-ckpt-"))
+    sc.setCheckpointDir(d)
     return d
