@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -69,11 +69,6 @@ def read_partitioned(spark: SparkSession, path: str, partition_column: str, sche
 # ------------------------------------------------------------------- sinks
 
 
-def _salt(df: DataFrame, salts: int) -> Column:
-    """Deterministic per-row salt (content hash), stable under task retries."""
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts))
-
-
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy") -> None:
     """Replace a Parquet table (bronze sink)."""
     df.write.mode("overwrite").option("compression", compression).parquet(path)
@@ -83,19 +78,20 @@ def write_partitioned(
     df: DataFrame,
     path: str,
     partition_column: str,
-    files_per_value: int = 8,
     max_records_per_file: int = 5_000_000,
+    mode: str = "overwrite",
 ) -> None:
-    """Replace a table partitioned by ``partition_column``.
+    """Write a table partitioned by ``partition_column`` (replace by default).
 
-    Rows are shuffled by (value, salt): each task writes few directories,
-    and one value holding a large share of the rows is spread over up to
-    ``files_per_value`` tasks instead of one. ``maxRecordsPerFile`` caps
-    file size inside a task.
+    The ``rebalance`` hint shuffles rows by the partition value, so each
+    task writes few directories, and lets adaptive execution split a
+    value that holds a large share of the rows into tasks of the advisory
+    size (and merge tiny ones): the number of files per value follows the
+    data. ``maxRecordsPerFile`` caps file size inside a task.
     """
-    salted = df.repartition(F.col(partition_column), _salt(df, files_per_value))
+    balanced = df.hint("rebalance", partition_column)
     (
-        salted.write.mode("overwrite")
+        balanced.write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(partition_column)
         .parquet(path)

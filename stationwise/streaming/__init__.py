@@ -1,0 +1,11 @@
+"""Structured Streaming entry points.
+
+The pipeline has no streaming operators of its own (no stream source,
+watermark or stateful operator); its schedule re-runs the batch. The
+one streaming path here runs the bronze -> silver cleaning
+incrementally over newly landed files.
+"""
+
+from stationwise.streaming.incremental import clean_incrementally
+
+__all__ = ["clean_incrementally"]

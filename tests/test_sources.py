@@ -32,7 +32,7 @@ def test_partitioned_round_trip_keeps_text_keys(spark, tmp_path):
     out = str(tmp_path / "silver")
     rows = [("007", 1.0), ("10", 2.0), ("< 500m", 3.0), ("> 5km", 4.0), ("500m - 1km", 5.0)]
     df = spark.createDataFrame(rows, "k string, v double")
-    write_partitioned(df, out, "k", files_per_value=2)
+    write_partitioned(df, out, "k")
     back = read_partitioned(spark, out, "k")
     assert dict(back.dtypes)["k"] == "string"
     assert sorted((r.k, r.v) for r in back.collect()) == sorted(rows)
@@ -77,3 +77,16 @@ def test_gold_health_missing_and_present(spark, tmp_path):
     write_single_file(spark.createDataFrame([("1",), ("2",)], "neighbourhood_code string"), out)
     r = gold_health_at(spark, out).first()
     assert (r.status, r.gold_data_available, r.neighbourhood_count) == ("healthy", True, 2)
+
+
+def test_partitioned_write_splits_a_hot_value(spark, tmp_path):
+    out = str(tmp_path / "hot")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        df = spark.range(200_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'cold' ELSE 'hot' END AS k", "id * 2 AS v")
+        write_partitioned(df, out, "k")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot_files = [f for f in os.listdir(os.path.join(out, "k=hot")) if f.endswith(".parquet")]
+    assert len(hot_files) > 1
+    assert read_parquet_checked(spark, out).count() == 200_000
