@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stationwise.constants import NEAR_BUCKET, NEIGHBOURHOOD_NAMES, SKETCH_ACCURACY
 from stationwise.functions.labels import name_lookup
 from stationwise.operators.quantile import _N, _Q, bracket_aggs, exact_percentile
-from stationwise.operators.sizing import materialize
+from stationwise.operators.sizing import materialize, order_small
 
 CODE = "neighbourhood_code"
 BUCKET = "transit_proximity_category"
@@ -42,7 +42,7 @@ def _median_land_value(
     if median == "approx":
         raise AssertionError("approx median is computed inline")
     return exact_percentile(
-        silver, keys, "current_land_value", 0.5, False, "median_land_value", accuracy, stats
+        silver, keys, "current_land_value", 0.5, False, "median_land_value", accuracy, stats, stats_measured=True
     )
 
 
@@ -104,7 +104,7 @@ def gold_detail(
         "avg_yoy_change_pct",
     )
     if order:
-        summary = summary.orderBy(*keys)
+        summary = order_small(summary, *keys)
     return add_neighbourhood_names(summary, names)
 
 
@@ -129,7 +129,7 @@ def gold_overview(
         F.round(F.avg("land_value_change_pct"), 2).alias("avg_yoy_change_pct"),
     )
     if order:
-        overview = overview.orderBy(F.col("avg_land_value").desc())
+        overview = order_small(overview, F.col("avg_land_value").desc())
     return add_neighbourhood_names(overview, names)
 
 
@@ -148,6 +148,7 @@ def bucket_summary(silver: DataFrame, accuracy: int = SKETCH_ACCURACY) -> DataFr
     med = exact_percentile(
         silver, [BUCKET], "current_land_value", 0.5, True, "median_land_value", accuracy,
         summary.select(BUCKET, _N, _Q),
+        stats_measured=True,
     ).withColumnRenamed(BUCKET, "_m_bucket")
     out = summary.drop(_N, _Q).join(med, summary[BUCKET].eqNullSafe(med["_m_bucket"]), "left")
-    return out.drop("_m_bucket").orderBy(BUCKET)
+    return order_small(out.drop("_m_bucket"), BUCKET)

@@ -169,19 +169,27 @@ def candidate_pairs(
     on_grid = _stations_on_grid(stations)
 
     bounds = _distance_bounds(points.where(pt_ok), on_grid, radius_km)
-    cells = _box_cells(bounds, radius_km, decimals)
-    grid_pairs = cells.join(on_grid, ["lvl", "cy", "cx"]).select("plat", "plon", *STATION_COLUMNS)
-
-    # Rows the grid cannot hold: key 0 pairs placeable points with
-    # unplaceable stations, key 1 pairs unplaceable points with all stations.
-    st_keys = stations.selectExpr(
-        *STATION_COLUMNS, f"explode(CASE WHEN {st_ok} THEN array(1) ELSE array(0, 1) END) AS k"
+    # Rows the grid cannot hold meet in the same join: unplaceable stations
+    # sit in a special cell (level -1) probed by every point, and an
+    # unplaceable point also probes every top-level cell, which together
+    # hold all placeable stations.
+    top, _, top_nlat, top_nlon = grid_levels()[-1]
+    top_cells = ", ".join(
+        f"named_struct('lvl', {top}, 'cy', {y}L, 'cx', {x}L)" for y in range(top_nlat) for x in range(top_nlon)
     )
-    pt_keys = points.selectExpr("plat", "plon", f"CASE WHEN {pt_ok} THEN 0 ELSE 1 END AS k")
-    other_pairs = pt_keys.join(st_keys, "k").select("plat", "plon", *STATION_COLUMNS)
+    special_probes = points.selectExpr(
+        "plat",
+        "plon",
+        f"explode(CASE WHEN {pt_ok} THEN array(named_struct('lvl', -1, 'cy', 0L, 'cx', 0L)) "
+        f"ELSE array(named_struct('lvl', -1, 'cy', 0L, 'cx', 0L), {top_cells}) END) AS c",
+    ).selectExpr("plat", "plon", "c.lvl AS lvl", "c.cy AS cy", "c.cx AS cx")
+    special_stations = stations.where(f"NOT {st_ok}").selectExpr("-1 AS lvl", "0L AS cy", "0L AS cx", *STATION_COLUMNS)
+    cells = _box_cells(bounds, radius_km, decimals).unionByName(special_probes)
+    grid = on_grid.unionByName(special_stations)
+    pairs = cells.join(grid, ["lvl", "cy", "cx"]).select("plat", "plon", *STATION_COLUMNS)
 
     dist = haversine_sql("plat", "plon", "station_lat", "station_long", radius_km, decimals)
-    return grid_pairs.unionByName(other_pairs).selectExpr("*", f"{dist} AS distance_km")
+    return pairs.selectExpr("*", f"{dist} AS distance_km")
 
 
 def nearest_station(

@@ -58,6 +58,7 @@ def exact_percentile(
     alias: str = "percentile",
     accuracy: int = SKETCH_ACCURACY,
     stats: DataFrame | None = None,
+    stats_measured: bool = False,
 ) -> DataFrame:
     """(keys..., alias): exact percentile of ``value`` per group, nulls ignored.
 
@@ -66,7 +67,8 @@ def exact_percentile(
     linearly between the two neighbouring elements, as ``percentile`` /
     ``median`` do. Null grouping keys form a group, as in ``groupBy``.
     ``stats`` may carry the ``bracket_aggs`` columns already computed per
-    group by the caller (one scan saved).
+    group by the caller (one scan saved); ``stats_measured`` says they come
+    from a materialised table whose size the planner already knows.
     """
     keys = list(keys)
     if not keys:
@@ -99,7 +101,8 @@ def exact_percentile(
     )
     # One row per group: written once, counted, broadcast when that fits
     # the threshold (the values are then never shuffled for this join).
-    groups = small_side(groups)
+    if not stats_measured:
+        groups = small_side(groups)
     joined = base.join(groups, _null_safe(base, groups, list(zip(keys, g_keys)))).drop(*keys)
 
     # One combined pass: count below the bracket, plus the nearest values

@@ -32,7 +32,7 @@ def _threshold_bytes(df: DataFrame) -> int:
     return int(raw)
 
 
-def materialize(df: DataFrame, reliable: bool = False) -> tuple[DataFrame, int]:
+def materialize(df: DataFrame, reliable: bool = False, count: bool = True) -> tuple[DataFrame, int | None]:
     """Materialise ``df`` once and count it.
 
     Default: cached in executor memory; the cached relation then carries
@@ -44,8 +44,8 @@ def materialize(df: DataFrame, reliable: bool = False) -> tuple[DataFrame, int]:
     if reliable:
         ensure_checkpoint_dir(df.sparkSession)
         saved = df.checkpoint(eager=True)
-    else:
-        saved = df.cache()
+        return saved, saved.count() if count else None
+    saved = df.cache()
     return saved, saved.count()
 
 
@@ -66,3 +66,13 @@ def small_side(df: DataFrame) -> DataFrame:
     """
     saved, _ = materialize(df)
     return saved
+
+
+def order_small(df: DataFrame, *cols) -> DataFrame:
+    """Total order for a result that is small by construction.
+
+    One tiny shuffle into a single partition, then a local sort: the same
+    order as ``orderBy`` without its range-sampling job. Upstream stages
+    keep their parallelism.
+    """
+    return df.repartition(1).sortWithinPartitions(*cols)

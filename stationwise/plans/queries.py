@@ -74,7 +74,7 @@ def _silver(spark: SparkSession, sf: str) -> DataFrame:
     A reliable checkpoint in the cluster's checkpoint folder: the batch
     job's written silver layer plays the same part.
     """
-    return materialize(_enriched(spark, sf), reliable=True)[0]
+    return materialize(_enriched(spark, sf), reliable=True, count=False)[0]
 
 
 def _stop_pairs(spark: SparkSession, sf: str) -> DataFrame:

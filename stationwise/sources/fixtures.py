@@ -33,43 +33,31 @@ def properties_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_name", "c_mktsegment"
     )
-    k = F.col("o_orderkey")
-
-    def every(n: int) -> Column:
-        return k % n == 0
-
-    code = _s(F.col("c_nationkey") + 1)
-    prev_ratio = _d(F.lit(80) + k % 41) / _d(100)
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.when(every(211), None).otherwise(F.concat(F.lit("P"), _s(k))).alias("PID"),
-        F.col("o_orderpriority").alias("LEGAL_TYPE"),
-        F.col("c_mktsegment").alias("ZONING_DISTRICT"),
-        _s(F.col("o_custkey")).alias("FROM_CIVIC_NUMBER"),
-        F.col("c_name").alias("STREET_NAME"),
-        F.when(every(131), "99")
-        .when(every(137), None)
-        .when(every(7), F.concat(F.lit("0"), code))
-        .otherwise(code)
-        .alias("NEIGHBOURHOOD_CODE"),
-        _s(F.lit(2019) + k % 6).alias("REPORT_YEAR"),
-        F.when(every(101), "n/a")
-        .when(every(103), None)
-        .when(every(107), "0")
-        .when(every(109), "500000000")
-        .when(every(113), "499999999")
-        .otherwise(_s(F.col("o_totalprice")))
-        .alias("CURRENT_LAND_VALUE"),
-        F.when(every(23), None).otherwise(_s(F.col("c_acctbal"))).alias("CURRENT_IMPROVEMENT_VALUE"),
-        _s(_d(F.lit(2019) + k % 6)).alias("TAX_ASSESSMENT_YEAR"),
-        F.when(every(17), "0")
-        .when(every(19), None)
-        .otherwise(_s(F.col("o_totalprice") * prev_ratio))
-        .alias("PREVIOUS_LAND_VALUE"),
-        F.when(every(29), "NaN").otherwise(_s(F.col("c_acctbal"))).alias("PREVIOUS_IMPROVEMENT_VALUE"),
-        _s(F.lit(1780) + k % 250).alias("YEAR_BUILT"),
-        _s(F.lit(1990) + k % 30).alias("BIG_IMPROVEMENT_YEAR"),
-        _s(_d(F.col("o_totalprice")) / _d(250)).alias("TAX_LEVY"),
-    )
+    k = "o_orderkey"
+    code = "CAST(c_nationkey + 1 AS STRING)"
+    columns = {
+        "PID": f"CASE WHEN {k} % 211 = 0 THEN NULL ELSE concat('P', CAST({k} AS STRING)) END",
+        "LEGAL_TYPE": "o_orderpriority",
+        "ZONING_DISTRICT": "c_mktsegment",
+        "FROM_CIVIC_NUMBER": "CAST(o_custkey AS STRING)",
+        "STREET_NAME": "c_name",
+        "NEIGHBOURHOOD_CODE": f"CASE WHEN {k} % 131 = 0 THEN '99' WHEN {k} % 137 = 0 THEN NULL "
+        f"WHEN {k} % 7 = 0 THEN concat('0', {code}) ELSE {code} END",
+        "REPORT_YEAR": f"CAST(2019 + {k} % 6 AS STRING)",
+        "CURRENT_LAND_VALUE": f"CASE WHEN {k} % 101 = 0 THEN 'n/a' WHEN {k} % 103 = 0 THEN NULL "
+        f"WHEN {k} % 107 = 0 THEN '0' WHEN {k} % 109 = 0 THEN '500000000' "
+        f"WHEN {k} % 113 = 0 THEN '499999999' ELSE CAST(o_totalprice AS STRING) END",
+        "CURRENT_IMPROVEMENT_VALUE": f"CASE WHEN {k} % 23 = 0 THEN NULL ELSE CAST(c_acctbal AS STRING) END",
+        "TAX_ASSESSMENT_YEAR": f"CAST(CAST(2019 + {k} % 6 AS DOUBLE) AS STRING)",
+        "PREVIOUS_LAND_VALUE": f"CASE WHEN {k} % 17 = 0 THEN '0' WHEN {k} % 19 = 0 THEN NULL "
+        f"ELSE CAST(o_totalprice * (CAST(80 + {k} % 41 AS DOUBLE) / CAST(100 AS DOUBLE)) AS STRING) END",
+        "PREVIOUS_IMPROVEMENT_VALUE": f"CASE WHEN {k} % 29 = 0 THEN 'NaN' ELSE CAST(c_acctbal AS STRING) END",
+        "YEAR_BUILT": f"CAST(1780 + {k} % 250 AS STRING)",
+        "BIG_IMPROVEMENT_YEAR": f"CAST(1990 + {k} % 30 AS STRING)",
+        "TAX_LEVY": "CAST(CAST(o_totalprice AS DOUBLE) / CAST(250 AS DOUBLE) AS STRING)",
+    }
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return joined.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
 
 
 def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
