@@ -47,6 +47,11 @@ N_LEVELS = 9
 # The exact pass picks the level whose cells are at least 1/BOX_CELLS of
 # the box half-width, so a box spans at most 2 * BOX_CELLS + 2 cells per axis.
 BOX_CELLS = 4
+# The exact-pass join is salted: the stations of one cell are split over
+# SPLIT sub-keys (by a content hash) and each probe is repeated per
+# sub-key, so a cell holding a large share of all stations is spread
+# over SPLIT tasks instead of one.
+SPLIT = 8
 
 
 def grid_levels() -> list[tuple[int, float, int, int]]:
@@ -185,8 +190,11 @@ def candidate_pairs(
     ).selectExpr("plat", "plon", "c.lvl AS lvl", "c.cy AS cy", "c.cx AS cx")
     special_stations = stations.where(f"NOT {st_ok}").selectExpr("-1 AS lvl", "0L AS cy", "0L AS cx", *STATION_COLUMNS)
     cells = _box_cells(bounds, radius_km, decimals).unionByName(special_probes)
-    grid = on_grid.unionByName(special_stations)
-    pairs = cells.join(grid, ["lvl", "cy", "cx"]).select("plat", "plon", *STATION_COLUMNS)
+    cells = cells.selectExpr("*", f"explode(sequence(0, {SPLIT - 1})) AS part")
+    grid = on_grid.unionByName(special_stations).selectExpr(
+        "*", f"CAST(pmod(xxhash64({', '.join(STATION_COLUMNS)}), {SPLIT}) AS INT) AS part"
+    )
+    pairs = cells.join(grid, ["lvl", "cy", "cx", "part"]).select("plat", "plon", *STATION_COLUMNS)
 
     dist = haversine_sql("plat", "plon", "station_lat", "station_long", radius_km, decimals)
     return pairs.selectExpr("*", f"{dist} AS distance_km")

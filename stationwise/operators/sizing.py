@@ -13,25 +13,9 @@ execution splits skewed keys.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stationwise.session import ensure_checkpoint_dir
 
-# Conservative bytes per row of a small side (a few keys, ids, doubles).
-ROW_BYTES = 256
-_DEFAULT_THRESHOLD = 10 * 1024 * 1024
-
-
-def _threshold_bytes(df: DataFrame) -> int:
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(_DEFAULT_THRESHOLD))
-    raw = raw.strip().lower()
-    units = {"b": 1, "k": 1024, "kb": 1024, "m": 1024**2, "mb": 1024**2, "g": 1024**3, "gb": 1024**3}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(raw[: -len(suffix)]) * units[suffix]
-    return int(raw)
-
-
 def materialize(df: DataFrame, reliable: bool = False, count: bool = True) -> tuple[DataFrame, int | None]:
     """Materialise ``df`` once and count it.
 
@@ -49,14 +33,6 @@ def materialize(df: DataFrame, reliable: bool = False, count: bool = True) -> tu
     return saved, saved.count()
 
 
-def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = ROW_BYTES) -> DataFrame:
-    """``F.broadcast(df)`` when ``rows`` x ``row_bytes`` is under the broadcast threshold."""
-    limit = _threshold_bytes(df)
-    if limit > 0 and rows * row_bytes <= limit:
-        return F.broadcast(df)
-    return df
-
-
 def small_side(df: DataFrame) -> DataFrame:
     """Materialise a side that is small by construction, so joins can size it.
 
