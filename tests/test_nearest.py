@@ -116,3 +116,19 @@ def test_plan_has_no_cartesian_product_for_placeable_rows(spark):
     s = spark.createDataFrame([(1, "A", 49.26, -123.1)], ST)
     plan = nearest_station(c, s)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_driver_tables_with_a_hot_cell_match_all_pairs(spark):
+    import importlib.util
+    import os
+
+    from conftest import SF_SMALL
+
+    path = os.path.join(os.path.dirname(os.path.dirname(__file__)), "scripts", "scale_nearest.py")
+    spec = importlib.util.spec_from_file_location("scale_nearest", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    # a key range keeps the all-pairs reference below small and deterministic
+    c = mod.points(spark, SF_SMALL).where("CAST(neighbourhood_code AS BIGINT) < 300")
+    s = mod.stations(spark, SF_SMALL)
+    assert rows(nearest_station(c, s)) == rows(brute(c, s))
