@@ -36,16 +36,6 @@ def add_neighbourhood_names(
     return df.withColumn(out, name_lookup(code, names))
 
 
-def _median_land_value(
-    silver: DataFrame, stats: DataFrame, keys: list[str], median: str, accuracy: int
-) -> DataFrame:
-    if median == "approx":
-        raise AssertionError("approx median is computed inline")
-    return exact_percentile(
-        silver, keys, "current_land_value", 0.5, False, "median_land_value", accuracy, stats, stats_measured=True
-    )
-
-
 def gold_detail(
     silver: DataFrame,
     names: Mapping[str, str] | DataFrame = NEIGHBOURHOOD_NAMES,
@@ -85,7 +75,10 @@ def gold_detail(
     if median == "exact":
         # Written once: it feeds the median passes and the final result.
         summary, _ = materialize(summary)
-        med = _median_land_value(silver, summary.select(*keys, _N, _Q), keys, median, accuracy)
+        med = exact_percentile(
+            silver, keys, "current_land_value", 0.5, False, "median_land_value", accuracy,
+            summary.select(*keys, _N, _Q), stats_measured=True,
+        )
         med = med.select(*[F.col(k).alias(f"_m_{k}") for k in keys], F.round("median_land_value", 0).alias("median_land_value"))
         cond = F.lit(True)
         for k in keys:

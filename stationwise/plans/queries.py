@@ -79,14 +79,7 @@ def _silver(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stop_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Each stop with the centroid of its supplier's nation (an equi-join)."""
-    s = F.col("s_suppkey")
-    stops = fx.table(spark, sf, "supplier").select(
-        s.alias("stop_id"),
-        (F.col("s_nationkey") + 1).cast("string").alias("neighbourhood_code"),
-        ((F.lit(49200) + (s * 29) % 103).cast("double") / F.lit(1000).cast("double")).alias("stop_lat"),
-        ((F.lit(-123220) + ((s * 61) % 107) * 2).cast("double") / F.lit(1000).cast("double")).alias("stop_lon"),
-    )
-    pairs = stops.join(fx.centroids(spark, sf), "neighbourhood_code")
+    pairs = fx.stops_with_code(spark, sf).join(fx.centroids(spark, sf), "neighbourhood_code")
     return pairs.select(
         "stop_id",
         "neighbourhood_code",

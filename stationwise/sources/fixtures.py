@@ -70,16 +70,28 @@ def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+STOP_LAT = "CAST(49200 + (s_suppkey * 29) % 103 AS DOUBLE) / CAST(1000 AS DOUBLE)"
+STOP_LON = "CAST(-123220 + ((s_suppkey * 61) % 107) * 2 AS DOUBLE) / CAST(1000 AS DOUBLE)"
+
+
 def stops_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transit stops: every fifth supplier is a 'Station', names repeat every 40."""
-    s = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").select(
-        s.alias("stop_id"),
-        F.when(s % 5 == 0, F.concat(F.lit("Station "), _s(s % 40)))
-        .otherwise(F.concat(F.lit("Stop "), _s(s)))
-        .alias("stop_name"),
-        (_d(F.lit(49200) + (s * 29) % 103) / _d(1000)).alias("stop_lat"),
-        (_d(F.lit(-123220) + ((s * 61) % 107) * 2) / _d(1000)).alias("stop_lon"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS stop_id",
+        "CASE WHEN s_suppkey % 5 = 0 THEN concat('Station ', CAST(s_suppkey % 40 AS STRING)) "
+        "ELSE concat('Stop ', CAST(s_suppkey AS STRING)) END AS stop_name",
+        f"{STOP_LAT} AS stop_lat",
+        f"{STOP_LON} AS stop_lon",
+    )
+
+
+def stops_with_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stop with the neighbourhood code of its supplier's nation."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS stop_id",
+        "CAST(s_nationkey + 1 AS STRING) AS neighbourhood_code",
+        f"{STOP_LAT} AS stop_lat",
+        f"{STOP_LON} AS stop_lon",
     )
 
 
