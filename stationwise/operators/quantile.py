@@ -12,7 +12,9 @@ all rows would have to fit in one executor. Here the work is split:
 3. Only the rows inside the bracket (about ``8 n / accuracy`` of them)
    are ranked with a window, which fixes the exact order statistic; the
    values just outside the bracket (kept by step 2) cover an
-   interpolation neighbour one rank out.
+   interpolation neighbour one rank out. A group whose target rank the
+   bracket does not cover is ranked in full, so the answer is exact
+   whatever the sketch returns.
 
 The bracket aggregates can ride along with a caller's own aggregation
 (``bracket_aggs``) so the input is scanned three times in total.
@@ -118,13 +120,22 @@ def exact_percentile(
         F.max("_w_lo").alias("_w_lo"),
         F.max("_w_hi").alias("_w_hi"),
     )
-    below = edges.select(*[F.col(g).alias(f"_b{g}") for g in g_keys], "_below")
-
-    band = joined.where((v >= q_lo) & (v <= q_hi)).select(*g_keys, "_v", "_k_lo", "_k_hi")
-    band = band.withColumn("_rn", F.row_number().over(Window.partitionBy(*g_keys).orderBy("_v")))
-    ranked = band.join(below, _null_safe(band, below, [(g, f"_b{g}") for g in g_keys])).withColumn(
-        "_rank", F.col("_rn") + F.col("_below")
+    below_n, band_n = F.col("_below"), F.col("_band_n")
+    # The bracket plus its two outside neighbours covers ranks
+    # [below, below + band_n + 1]. A group whose target ranks fall outside
+    # (the sketch's error bound makes this not happen) is ranked in full,
+    # so the result never depends on the approximation.
+    covered = (F.col("_k_lo") >= below_n) & (F.col("_k_hi") <= below_n + band_n + 1)
+    edges = small_side(edges.withColumn("_full", ~covered))
+    flags = edges.select(*[F.col(g).alias(f"_b{g}") for g in g_keys], "_below", "_full")
+
+    band = (
+        joined.join(flags, _null_safe(joined, flags, [(g, f"_b{g}") for g in g_keys]))
+        .where(((v >= q_lo) & (v <= q_hi)) | F.col("_full"))
+        .select(*g_keys, "_v", "_k_lo", "_k_hi", "_below", "_full")
     )
+    band = band.withColumn("_rn", F.row_number().over(Window.partitionBy(*g_keys).orderBy("_v")))
+    ranked = band.withColumn("_rank", F.col("_rn") + F.when(F.col("_full"), F.lit(0)).otherwise(F.col("_below")))
     rank = F.col("_rank")
     picks = (
         ranked.where((rank == F.col("_k_lo")) | (rank == F.col("_k_hi")))
@@ -136,8 +147,18 @@ def exact_percentile(
         .select(*[F.col(g).alias(f"_p{g}") for g in g_keys], "_lo_pick", "_hi_pick")
     )
     final = edges.join(picks, _null_safe(edges, picks, [(g, f"_p{g}") for g in g_keys]), "left")
-    below_n, band_n = F.col("_below"), F.col("_band_n")
-    lo_v = F.coalesce(F.col("_lo_pick"), F.when(F.col("_k_lo") == below_n, F.col("_max_below")))
-    hi_v = F.coalesce(F.col("_hi_pick"), F.when(F.col("_k_hi") == below_n + band_n + 1, F.col("_min_above")))
+    part = ~F.col("_full")
+
+    def value_at(k: Column, pick: Column) -> Column:
+        # Inside the bracket: the ranked pick; one rank outside it on either
+        # side: the nearest value kept by the edge pass.
+        return F.coalesce(
+            pick,
+            F.when(part & (k == below_n), F.col("_max_below")),
+            F.when(part & (k == below_n + band_n + 1), F.col("_min_above")),
+        )
+
+    lo_v = value_at(F.col("_k_lo"), F.col("_lo_pick"))
+    hi_v = value_at(F.col("_k_hi"), F.col("_hi_pick"))
     result = F.when(lo_v == hi_v, lo_v).otherwise(F.col("_w_lo") * lo_v + F.col("_w_hi") * hi_v)
     return final.select(*[F.col(g).alias(k) for k, g in zip(keys, g_keys)], result.alias(alias))

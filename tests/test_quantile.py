@@ -64,3 +64,25 @@ def test_two_keys_with_nulls(spark):
     for a, b, v in rows:
         groups.setdefault((a, b), []).append(v)
     assert got == {k: brute_disc(vs, 0.5) for k, vs in groups.items()}
+
+
+def test_exact_even_when_the_bracket_misses(spark, monkeypatch):
+    """Force a useless bracket: groups fall back to full ranking, still exact."""
+    import stationwise.operators.quantile as q
+
+    def bad_bracket(value, p=0.5, accuracy=10_000):
+        v = F.col(value).cast("double")
+        return [F.count(v).alias(q._N), F.array(F.min(v), F.min(v)).alias(q._Q)]
+
+    monkeypatch.setattr(q, "bracket_aggs", bad_bracket)
+    rows = data(9, 3000)
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r[0]: r[1] for r in exact_percentile(df, ["k"], "v", 0.5).collect()}
+    groups = {}
+    for k, v in rows:
+        groups.setdefault(k, []).append(v)
+    want = {k: brute_disc(vs, 0.5) for k, vs in groups.items() if brute_disc(vs, 0.5) is not None}
+    assert got == want
+    got_i = {r[0]: r[1] for r in exact_percentile(df, ["k"], "v", 0.5, True).collect()}
+    want_i = {r[0]: r[1] for r in df.groupBy("k").agg(F.median("v")).collect() if r[1] is not None}
+    assert got_i == want_i
