@@ -12,6 +12,8 @@ execution splits skewed keys.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from stationwise.session import ensure_checkpoint_dir
@@ -22,17 +24,25 @@ def materialize(df: DataFrame, reliable: bool = False, count: bool = True) -> tu
     Default: cached in executor memory; the cached relation then carries
     its measured size, so the planner's own broadcast threshold decides
     the join of any later query, and a lost executor only recomputes the
-    block from its (short) lineage. ``reliable=True`` writes a checkpoint
-    to the cluster's checkpoint folder instead, cutting the lineage.
+    block from its (short) lineage. ``reliable=True`` writes a Parquet
+    table into the cluster's checkpoint folder instead and reads it back:
+    the lineage is cut, and later passes read only the columns they use.
     """
     if reliable:
-        ensure_checkpoint_dir(df.sparkSession)
-        saved = df.checkpoint(eager=True)
+        saved = write_table(df)
         return saved, saved.count() if count else None
     saved = df.cache()
     return saved, saved.count()
 
 
+def write_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table under the checkpoint folder; read it back."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """Materialise a side that is small by construction, so joins can size it.
 

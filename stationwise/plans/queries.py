@@ -71,8 +71,8 @@ def _enriched(spark: SparkSession, sf: str, tied: bool = False) -> DataFrame:
 def _silver(spark: SparkSession, sf: str) -> DataFrame:
     """Enriched silver, written once for the multi-pass gold aggregates.
 
-    A reliable checkpoint in the cluster's checkpoint folder: the batch
-    job's written silver layer plays the same part.
+    A Parquet table in the cluster's checkpoint folder: the batch job's
+    written silver layer plays the same part.
     """
     return materialize(_enriched(spark, sf), reliable=True, count=False)[0]
 
