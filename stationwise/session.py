@@ -38,13 +38,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     of an executor.
     """
     sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:  # set up already (spark.checkpoint.dir is applied at start)
+        return current
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         d = _local_dirs.setdefault(id(sc), tempfile.mkdtemp(prefix="stationwise-ckpt-"))
     sc.setCheckpointDir(d)
-    return d
+    return sc.getCheckpointDir() or d

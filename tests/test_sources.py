@@ -90,3 +90,18 @@ def test_partitioned_write_splits_a_hot_value(spark, tmp_path):
     hot_files = [f for f in os.listdir(os.path.join(out, "k=hot")) if f.endswith(".parquet")]
     assert len(hot_files) > 1
     assert read_parquet_checked(spark, out).count() == 200_000
+
+
+def test_checkpoint_folder_and_written_tables(spark):
+    from stationwise.operators.sizing import materialize
+    from stationwise.session import ensure_checkpoint_dir
+
+    d = ensure_checkpoint_dir(spark)
+    assert d and ensure_checkpoint_dir(spark) == d == spark.sparkContext.getCheckpointDir()
+    df = spark.range(1000).selectExpr("id", "id % 7 AS k")
+    saved, n = materialize(df, reliable=True)
+    assert n == 1000 and sorted(saved.columns) == ["id", "k"]
+    plan = saved._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in plan  # lineage cut: reads the written table
+    cached, m = materialize(df)
+    assert m == 1000 and cached.is_cached
