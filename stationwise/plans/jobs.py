@@ -20,6 +20,7 @@ from stationwise.constants import NEIGHBOURHOOD_NAMES, STATION_TOKEN
 from stationwise.operators.aggregate import gold_detail, gold_overview
 from stationwise.operators.clean import cast_types, derive_values, filter_valid, rename_columns
 from stationwise.operators.enrich import enrich_properties
+from stationwise.operators.quality import observe_counts
 from stationwise.operators.stations import load_stations, station_filter
 from stationwise.sources.files import (
     read_delimited,
@@ -83,26 +84,21 @@ class Layout:
         return self._p("gold", "neighbourhood_summary", "neighbourhood_overview")
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
 # ------------------------------------------------------------------ bronze
 
 
 def ingest_properties(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Landed property roll (delimited text) -> bronze Parquet."""
-    df, obs = _counted(read_delimited(spark, layout.landing_properties), "bronze_properties")
+    df, obs = observe_counts(read_delimited(spark, layout.landing_properties), "bronze_properties")
     write_parquet(df, layout.bronze_properties)
     return {"bronze_properties": obs.get["rows"]}
 
 
 def ingest_stops(spark: SparkSession, layout: Layout, token: str = STATION_TOKEN) -> dict[str, int]:
     """Landed stops table -> bronze stops, and the stations among them."""
-    stops, s_obs = _counted(read_delimited(spark, layout.landing_stops), "bronze_stops")
+    stops, s_obs = observe_counts(read_delimited(spark, layout.landing_stops), "bronze_stops")
     write_parquet(stops, layout.bronze_stops)
-    stations, st_obs = _counted(station_filter(read_parquet_checked(spark, layout.bronze_stops), token), "stations")
+    stations, st_obs = observe_counts(station_filter(read_parquet_checked(spark, layout.bronze_stops), token), "stations")
     write_parquet(stations, layout.bronze_stations)
     return {"bronze_stops": s_obs.get["rows"], "bronze_stations": st_obs.get["rows"]}
 
@@ -115,8 +111,8 @@ def clean_job(spark: SparkSession, layout: Layout, as_of_year: int | None = None
     raw = read_parquet_checked(spark, layout.bronze_properties)
     typed = raw.transform(rename_columns).transform(cast_types)
     typed = typed.transform(derive_values) if as_of_year is None else typed.transform(derive_values, as_of_year)
-    typed, before = _counted(typed, "before_filter")
-    cleaned, after = _counted(filter_valid(typed), "after_filter")
+    typed, before = observe_counts(typed, "before_filter")
+    cleaned, after = observe_counts(filter_valid(typed), "after_filter")
     write_partitioned(cleaned, layout.silver_properties, "neighbourhood_code")
     n_in, n_out = before.get["rows"], after.get["rows"]
     log.info("cleaning kept %d of %d rows", n_out, n_in)
@@ -158,8 +154,8 @@ def gold_job(
 ) -> dict[str, int]:
     """Silver with transit -> gold detail and overview tables (small, one file each)."""
     silver = read_partitioned(spark, layout.silver_transit, "transit_proximity_category")
-    detail, d_obs = _counted(gold_detail(silver, names, median=median), "detail")
-    overview, o_obs = _counted(gold_overview(silver, names), "overview")
+    detail, d_obs = observe_counts(gold_detail(silver, names, median=median), "detail")
+    overview, o_obs = observe_counts(gold_overview(silver, names), "overview")
     write_single_file(detail, layout.gold_detail)
     write_single_file(overview, layout.gold_overview)
     return {"detail_rows": d_obs.get["rows"], "overview_rows": o_obs.get["rows"]}
