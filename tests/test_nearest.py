@@ -132,3 +132,15 @@ def test_driver_tables_with_a_hot_cell_match_all_pairs(spark):
     c = mod.points(spark, SF_SMALL).where("CAST(neighbourhood_code AS BIGINT) < 300")
     s = mod.stations(spark, SF_SMALL)
     assert rows(nearest_station(c, s)) == rows(brute(c, s))
+
+
+def test_ties_one_removes_fan_out_on_tied_stops(spark):
+    from conftest import SF_CHECK
+    from stationwise.operators import clean_properties, enrich_properties, load_stations
+    from stationwise.sources import fixtures as fx
+
+    clean = clean_properties(fx.properties_raw(spark, SF_CHECK))
+    stations = load_stations(fx.stops_tied(spark, SF_CHECK), "Station")
+    cents = fx.centroids(spark, SF_CHECK)
+    assert enrich_properties(clean, cents, stations).count() == 28655
+    assert enrich_properties(clean, cents, stations, ties="one").count() == 14435
