@@ -11,8 +11,8 @@ Semantics (same as ranking every centroid x station pair):
 Plan, for centroid points with valid coordinates:
 
 1. *Bound.* Stations are indexed on a pyramid of lat/lon grids (cell
-   edge ``1/256`` degree, x4 per level, 9 levels; the top level is one
-   cell). Each grid cell keeps one representative station (a map-side
+   edge ``1/256`` degree, x4 per level, 9 levels; the top level has two
+   cells covering the globe). Each grid cell keeps one representative station (a map-side
    combined aggregate). Every point probes its 3x3 cell block on every
    level: at most 81 probe rows, one representative per hit. The least
    distance to any representative bounds the true nearest distance.
@@ -20,14 +20,16 @@ Plan, for centroid points with valid coordinates:
 2. *Exact.* The spherical cap of that radius (plus the rounding slack)
    holds every station that can share rank 1. Its lat/lon bounding box
    is enumerated as cells of the level where the box spans a handful
-   of cells, joined to the stations of those cells, and ranked.
+   of cells, joined to the stations of those cells (a join salted over
+   ``SPLIT`` sub-keys, so one crowded cell spreads over several tasks),
+   and ranked per code.
 
 Work per point is bounded by the stations in a box a few times the
 nearest distance, never by the station count. Points or stations with
-null or invalid coordinates cannot be placed on the grid; they are
-paired explicitly (a null-coordinate station ranks first for every
-point; a null-coordinate point ties with every station), which is the
-size of the result those rows define.
+null or invalid coordinates cannot be placed on the grid; they meet in
+the same join through special cells (a null-coordinate station ranks
+first for every point; a null-coordinate point ties with every
+station), which is the size of the result those rows define.
 """
 
 from __future__ import annotations
