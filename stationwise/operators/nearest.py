@@ -20,9 +20,9 @@ Plan, for centroid points with valid coordinates:
 2. *Exact.* The spherical cap of that radius (plus the rounding slack)
    holds every station that can share rank 1. Its lat/lon bounding box
    is enumerated as cells of the level where the box spans a handful
-   of cells, joined to the stations of those cells (a join salted over
-   ``SPLIT`` sub-keys, so one crowded cell spreads over several tasks),
-   and ranked per code.
+   of cells, joined to the stations of those cells, and ranked per code.
+   Points and stations are spread over the cluster's cores before they
+   fan out into probe and level rows.
 
 Work per point is bounded by the stations in a box a few times the
 nearest distance, never by the station count. Points or stations with
@@ -49,11 +49,6 @@ N_LEVELS = 9
 # The exact pass picks the level whose cells are at least 1/BOX_CELLS of
 # the box half-width, so a box spans at most 2 * BOX_CELLS + 2 cells per axis.
 BOX_CELLS = 4
-# The exact-pass join is salted: the stations of one cell are split over
-# SPLIT sub-keys (by a content hash) and each probe is repeated per
-# sub-key, so a cell holding a large share of all stations is spread
-# over SPLIT tasks instead of one.
-SPLIT = 8
 
 
 def grid_levels() -> list[tuple[int, float, int, int]]:
@@ -89,10 +84,27 @@ def _cell_x(lon: str, lv: str) -> str:
     return f"least(floor((pmod({lon} + 180.0D, 360.0D)) / {lv}.g), {lv}.nlon - 1)"
 
 
+def _spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-partition rows over the cluster's cores before they fan out.
+
+    Each point (station) expands into tens of probe or cell (level) rows,
+    so the work is much larger than the input's bytes suggest: without
+    this, a table stored in one small file (or coalesced by adaptive
+    execution) would run the whole expansion in one or two tasks. An
+    explicit partition count is kept by adaptive execution; hashing by
+    content keeps retries deterministic.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    # By a hash expression, not the bare columns: a partitioning equal to
+    # the preceding aggregate's would be dropped as already satisfied, and
+    # that aggregate's shuffle is one adaptive execution may coalesce.
+    return df.repartition(n, F.xxhash64(*(cols or ("plat", "plon"))))
+
+
 def _stations_on_grid(stations: DataFrame) -> DataFrame:
     """Every placeable station once per level, keyed by (lvl, cy, cx)."""
     return (
-        stations.where(placeable_sql("station_lat", "station_long"))
+        _spread(stations.where(placeable_sql("station_lat", "station_long")), "station_lat", "station_long")
         .selectExpr(*STATION_COLUMNS, f"explode({LEVELS_SQL}) AS L")
         .selectExpr(
             "L.lvl AS lvl",
@@ -116,7 +128,8 @@ def _distance_bounds(points: DataFrame, on_grid: DataFrame, radius_km: float) ->
         for dx in (-1, 0, 1)
     )
     probes = (
-        points.selectExpr("plat", "plon", f"explode({LEVELS_SQL}) AS L")
+        _spread(points)
+        .selectExpr("plat", "plon", f"explode({LEVELS_SQL}) AS L")
         .selectExpr("plat", "plon", "L.lvl AS lvl", f"explode(array_distinct(array({block}))) AS c")
         .selectExpr("plat", "plon", "lvl", "c.cy AS cy", "c.cx AS cx")
     )
@@ -151,7 +164,8 @@ def _box_cells(bounds: DataFrame, radius_km: float, decimals: int) -> DataFrame:
         "least(L.nlat - 1, floor((plat + dphi + 90.0D) / L.g)))"
     )
     return (
-        bounds.selectExpr("plat", "plon", "d_ub", f"{dphi} AS dphi", f"{dlam} AS dlam")
+        _spread(bounds)
+        .selectExpr("plat", "plon", "d_ub", f"{dphi} AS dphi", f"{dlam} AS dlam")
         .selectExpr("plat", "plon", "dphi", "dlam", f"element_at({LEVELS_SQL}, {lvl} + 1) AS L")
         .selectExpr("plat", "plon", "L.lvl AS lvl", f"explode({lat_cells}) AS cy", f"{lon_cells} AS xs")
         .selectExpr("plat", "plon", "lvl", "cy", "explode(xs) AS cx")
@@ -192,11 +206,8 @@ def candidate_pairs(
     ).selectExpr("plat", "plon", "c.lvl AS lvl", "c.cy AS cy", "c.cx AS cx")
     special_stations = stations.where(f"NOT {st_ok}").selectExpr("-1 AS lvl", "0L AS cy", "0L AS cx", *STATION_COLUMNS)
     cells = _box_cells(bounds, radius_km, decimals).unionByName(special_probes)
-    cells = cells.selectExpr("*", f"explode(sequence(0, {SPLIT - 1})) AS part")
-    grid = on_grid.unionByName(special_stations).selectExpr(
-        "*", f"CAST(pmod(xxhash64({', '.join(STATION_COLUMNS)}), {SPLIT}) AS INT) AS part"
-    )
-    pairs = cells.join(grid, ["lvl", "cy", "cx", "part"]).select("plat", "plon", *STATION_COLUMNS)
+    grid = on_grid.unionByName(special_stations)
+    pairs = cells.join(grid, ["lvl", "cy", "cx"]).select("plat", "plon", *STATION_COLUMNS)
 
     dist = haversine_sql("plat", "plon", "station_lat", "station_long", radius_km, decimals)
     return pairs.selectExpr("*", f"{dist} AS distance_km")
