@@ -141,7 +141,8 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Rep
     copies = stored(texts.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")), "repeats-copies")
     first = texts.select("doc_id", "key", "anchors").join(_named(copies, "c_", "key", "first_id"), (F.col("key") == F.col("c_key")) & F.col("doc_id").eqNullSafe(F.col("c_first_id")))
     each = stored(first.select("key", F.explode("anchors").alias("a")), "repeats-anchors")
-    seeds = each.groupBy("a").count().where("count > 1").select(F.col("a").alias("seed"))
+    # counts are stored before they are joined: the join then deals both sides itself, and a hot key can be split
+    seeds = stored(each.groupBy("a").count().where("count > 1").select(F.col("a").alias("seed")), "repeats-seeds")
     wanted = each.join(seeds, F.col("a") == F.col("seed"), "left_semi").groupBy("key").agg(F.collect_set("a").alias("seeds")).join(copies, "key")
     wanted = wanted.select(F.col("key").alias("w_key"), F.col("first_id").alias("w_id"), "seeds")
     found = docs.join(wanted, (F.col("key") == F.col("w_key")) & F.col("doc_id").eqNullSafe(F.col("w_id"))).select("key", "text", "seeds")
@@ -177,12 +178,12 @@ def _spans(bodies: DataFrame, window: int, gram: int) -> DataFrame:
     found = stored(bodies.select("key", "text", "seeds").mapInArrow(reaches, schema), "repeats-reaches")
     same = found.groupBy("a", "reach").agg(F.count("*").alias("times"), F.min(F.struct("key", "begin")).alias("one"))
     same = stored(same, "repeats-same")
-    kinds = same.groupBy("a").agg(F.count("*").alias("kinds")).where("kinds > 1").select(F.col("a").alias("k_a"), F.lit(True).alias("differs"))
+    kinds = stored(same.groupBy("a").agg(F.count("*").alias("kinds")).where("kinds > 1").select(F.col("a").alias("k_a"), F.lit(True).alias("differs")), "repeats-kinds")
     judged = same.join(kinds, F.col("a") == F.col("k_a"), "left").where("times > 1 OR differs").select(F.col("a").alias("j_a"), F.col("reach").alias("j_reach"), "times", "one", F.coalesce("differs", F.lit(False)).alias("differs"))
     marked = stored(found.join(judged, (F.col("a") == F.col("j_a")) & (F.col("reach") == F.col("j_reach"))).select("key", "begin", "n", "a", "times", (F.col("differs") & ((F.col("times") == 1) | ((F.col("one.key") == F.col("key")) & (F.col("one.begin") == F.col("begin"))))).alias("opened"), F.when(F.col("differs"), F.col("windows")).alias("windows")), "repeats-marked")
     whole = marked.where("times > 1").select("key", "begin", (F.col("begin") + F.col("n") + (window - 1)).alias("end"))
     opened = marked.where("opened").select("key", "begin", "a", "times", F.posexplode("windows").alias("i", "w"))
-    twice = opened.groupBy("a", "w").count().where("count > 1").select(F.col("a").alias("t_a"), F.col("w").alias("t_w"))
+    twice = stored(opened.groupBy("a", "w").count().where("count > 1").select(F.col("a").alias("t_a"), F.col("w").alias("t_w")), "repeats-twice")
     start = F.col("begin") + F.col("i")
     ends = opened.where("times = 1").join(twice, (F.col("a") == F.col("t_a")) & (F.col("w") == F.col("t_w")), "left_semi").select("key", start.alias("begin"), (start + window).alias("end"))
     return whole.unionByName(ends).groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
