@@ -35,7 +35,7 @@ from .common import append_columns, cut, free_names
 SHINGLE = 4
 MAX_BITS = 4
 #: Points that a shard is meant to hold, and points from which the dividing tree is fitted at most.
-SHARD_POINTS = 6_000
+SHARD_POINTS = 30_000
 SAMPLE_POINTS = 40_000
 LEAF = 128
 #: Shingles whose bits are counted at a time.
