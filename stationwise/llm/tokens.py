@@ -2,16 +2,22 @@
 
 1. Texts are tokenised by a public byte-pair vocabulary (its path is a
    parameter), ended by ``END`` and cut into sequences of ``LENGTH`` tokens,
-   the last one padded. Sequences are written once, numbered within their
-   partition; partition sizes, summed up, make the numbers global and gapless.
+   the last one padded. A first pass keeps only the index: a narrow row for each
+   sequence, numbered within its partition. Partition sizes, summed up, make
+   the numbers global and gapless.
 2. A Feistel network over the smallest even number of bits that holds all
    numbers, walked until it lands below their count, is a permutation of them:
    the training order, a function of key and count alone.
-3. Slot ranges of ``PER_SHARD`` are shards. Each is one task and one file of
+3. Slot ranges of ``PER_SHARD`` are shards. A second pass tokenises again, which costs less than
+   a stored copy of all tokens, and deals records by shard. Each shard is one task and one file of
    records of ``2 * LENGTH + 1`` bytes: little-endian 16-bit tokens and a line end. Record i
    of shard s is slot ``s * PER_SHARD + i`` at byte ``i * stride``, so a reader seeks to any
    step and resumes there. Spark's own text writer commits the files on any file system it knows.
 
+The two passes must see the same rows in the same partitions, as scans of a
+written table do (retried tasks included); store anything else first. A task
+of the second pass whose count differs from the index stops the job.
+
 Edge cases: a null text or one without tokens has no sequence; equal texts get
 sequences of their own; an empty table writes no shard; extra columns are not stored.
 """
@@ -26,9 +32,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import chunks, shared_dir, stored
 
@@ -86,68 +91,86 @@ class TokenShards:
         return 2 * self.length + 1
 
 
-def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH) -> DataFrame:
-    """(doc_id, piece, n_tokens, tokens, part, place): padded sequences, numbered within their partition."""
-    schema = "doc_id long, piece int, n_tokens int, tokens binary, part int, place long"
+def _tokens(docs: DataFrame, vocabulary: str, batch_rows, schema: str) -> DataFrame:
+    """``batch_rows(part, place, ids, token lists)`` for batches of documents that have tokens; it returns arrays and the next place."""
 
     def run(batches):
         encode, part, place = tokenizer(vocabulary).encode_ordinary, TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
             for texts in chunks(batch.column(1)):
-                ids, pieces, sizes, bodies = [], [], [], []
-                for doc, text in zip(batch.column(0).slice(at, len(texts)).to_pylist(), texts, strict=True):
-                    tokens = encode(text.decode()) if text else []
-                    if tokens:
-                        tokens.append(END)
-                        n = -(-len(tokens) // length)
-                        padded = np.full(n * length, END, "<u2")
-                        padded[: len(tokens)] = tokens
-                        ids += [doc] * n
-                        pieces += range(n)
-                        sizes += [length] * (n - 1) + [len(tokens) - (n - 1) * length]
-                        bodies += [row.tobytes() for row in padded.reshape(n, length)]
+                rows = [(doc, [*encode(text.decode()), END]) for doc, text in zip(batch.column(0).slice(at, len(texts)).to_pylist(), texts, strict=True) if text]
                 at += len(texts)
-                n = len(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(pieces, pa.int32()), pa.array(sizes, pa.int32()), pa.array(bodies, pa.binary()), pa.array([part] * n, pa.int32()), pa.array(range(place, place + n), pa.int64())],
-                    names=["doc_id", "piece", "n_tokens", "tokens", "part", "place"],
-                )
-                place += n
+                made, place = batch_rows(part, place, rows)
+                yield made
+        batch_rows(part, place, None)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, schema)
 
 
-def _slotted(rows: DataFrame, count: int, key: int, per_shard: int) -> DataFrame:
-    """``rows`` with ``slot``, ``shard`` and ``record`` from ``number``."""
-    names = [*rows.columns, "slot", "shard", "record"]
-    at = rows.columns.index("number")
+def sequence_index(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH) -> DataFrame:
+    """(doc_id, piece, n_tokens, part, place): the sequences, numbered within their partition."""
+
+    def batch_rows(part, place, rows):
+        if rows is None:
+            return None
+        ids, pieces, sizes = [], [], []
+        for doc, tokens in rows:
+            n = -(-len(tokens) // length)
+            ids += [doc] * n
+            pieces += range(n)
+            sizes += [length] * (n - 1) + [len(tokens) - (n - 1) * length]
+        n = len(ids)
+        arrays = [pa.array(ids, pa.int64()), pa.array(pieces, pa.int32()), pa.array(sizes, pa.int32()), pa.array([part] * n, pa.int32()), pa.array(range(place, place + n), pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "n_tokens", "part", "place"]), place + n
+
+    return _tokens(docs, vocabulary, batch_rows, "doc_id long, piece int, n_tokens int, part int, place long")
 
-    def run(batches):
-        for batch in batches:
-            slots = permute(batch.column(at).to_numpy(zero_copy_only=False), count, key)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(slots), pa.array((slots // per_shard).astype(np.int32)), pa.array((slots % per_shard).astype(np.int32))], names=names)
 
-    schema = T.StructType([*rows.schema.fields, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("record", T.IntegerType())])
-    return rows.mapInArrow(run, schema)
+def _records(docs: DataFrame, vocabulary: str, length: int, per_shard: int, key: int, starts, count: int) -> DataFrame:
+    """(shard, slot, tokens) of every sequence; ``starts`` broadcasts {part: (first number, sequences)}."""
+
+    def batch_rows(part, place, rows):
+        first, expected = starts.value.get(part, (0, 0))
+        bodies = []
+        for _, tokens in rows or ():
+            padded = np.full(-(-len(tokens) // length) * length, END, "<u2")
+            padded[: len(tokens)] = tokens
+            bodies += [row.tobytes() for row in padded.reshape(-1, length)]
+        n = len(bodies)
+        if place + n > expected or rows is None and place != expected:
+            raise RuntimeError(f"partition {part} has other rows than in the first pass: {place + n} sequences, not {expected}")
+        slots = permute(first + place + np.arange(n), count, key)
+        arrays = [pa.array((slots // per_shard).astype(np.int32)), pa.array(slots), pa.array(bodies, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, names=["shard", "slot", "tokens"]), place + n
+
+    return _tokens(docs, vocabulary, batch_rows, "shard int, slot long, tokens binary")
 
 
 def write_shards(docs: DataFrame, path: str | None = None, vocabulary: str = VOCABULARY, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> TokenShards:
     """Write the shards of ``docs`` (doc_id, text) to ``path`` (default: a new folder in the shared folder)."""
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark).rstrip('/')}/token-shards-{uuid.uuid4().hex}"
-    rows = stored(sequences(docs, vocabulary, length), "token-sequences")
-    sizes = rows.groupBy("part").agg(F.count("*").alias("n"))  # one row for each task of the first pass
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col("part").alias("s_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"), "n")
-    count = starts.agg(F.max(F.col("start") + F.col("n"))).first()[0] or 0
-    numbered = rows.join(F.broadcast(starts.drop("n")), F.col("part") == F.col("s_part")).withColumn("number", F.col("start") + F.col("place"))
+    index = stored(sequence_index(docs, vocabulary, length), "token-index")
+    sizes = index.groupBy("part").count().collect()  # a pair of numbers for each task of the first pass
+    starts, count = {}, 0
+    for part, n in sorted((r[0], r[1]) for r in sizes):
+        starts[part], count = (count, n), count + n
+    shared = spark.sparkContext.broadcast(starts)
     if count:
-        shards = -(-count // per_shard)
-        ready = _slotted(numbered.select("number", "tokens"), count, key, per_shard).select("shard", "slot", "tokens")
-        by_range = ready.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
+        records = _records(docs, vocabulary, length, per_shard, key, shared, count)
+        by_range = records.repartitionById(-(-count // per_shard), F.col("shard")).sortWithinPartitions("slot")
         by_range.select(F.col("tokens").cast("string").alias("value")).write.mode("overwrite").text(path)
-    listed = _slotted(numbered.select("doc_id", "piece", "n_tokens", "number"), count, key, per_shard).drop("number")
+
+    def place(batches):
+        for batch in batches:
+            parts, places = batch.column(3).to_pylist(), batch.column(4).to_numpy(zero_copy_only=False)
+            numbers = np.array([shared.value[p][0] for p in parts], np.int64) + places
+            slots = permute(numbers, count, key)
+            made = [pa.array(slots), pa.array((slots // per_shard).astype(np.int32)), pa.array((slots % per_shard).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=["doc_id", "piece", "n_tokens", "slot", "shard", "record"])
+
+    listed = index.mapInArrow(place, "doc_id long, piece int, n_tokens int, slot long, shard int, record int")
     return TokenShards(listed, path, count, length, per_shard)
 
 
