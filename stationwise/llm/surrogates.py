@@ -31,7 +31,7 @@ import json
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, free_names, stored
+from .common import cut, free_names
 
 KEY = "surrogates-1"
 #: Entities with another attempt that are looked up within the row at most.
@@ -50,9 +50,9 @@ SYLLABLES = {
     "greek": ("αλ βαλ γαλ δαλ θαλ καλ κορ λαν λορ μαρ μελ νερ παλ περ ραλ σολ ταλ τερ φαλ χαρ".split(), ["ος", "ης", "ας"], ["α", "η", "ια"], ["ου", "ις", "ω"]),
 }
 
-_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _ACCESS = r"\bAKIA[0-9A-Z]{16}\b"
-_SECRET = r"(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)[^\s\"',;=:]{6,}"
+_SECRET = r"(?<=[=:\"']|[=:][ ]|[=:][ ][ ])(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)[^\s\"',;=:]{6,}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _IP = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
 _IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
@@ -63,10 +63,11 @@ _PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,
 _CODE = r"^(\+\d{1,3})?(.*)$"
 _TITLE = "(?:" + "|".join(t for g in TITLES.values() for t in g) + r")\.?"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
-_PERSON = rf"(?<!\p{{L}}){_TITLE} {_NAME}(?: {_NAME}){{0,2}}"
+_PERSON = rf"(?=\p{{L}})(?<!\p{{L}}){_TITLE} {_NAME}(?: {_NAME}){{0,2}}"
 #: Types in the order in which they claim a text.
 TYPES = {"email": _EMAIL, "access_key": _ACCESS, "secret": _SECRET, "ip": _IP, "ssn": _SSN, "card": _CARD, "iban": _IBAN, "phone": _PHONE, "person": _PERSON}
-PATTERN = "|".join(f"(?:{p})" for p in TYPES.values())
+#: Every type begins where no ASCII letter or digit stands before it: most places of a text fail at once.
+PATTERN = "(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{p})" for p in TYPES.values()) + ")"
 
 
 def matches_of(text) -> F.Column:
@@ -198,7 +199,9 @@ def _refilled(form, fill) -> F.Column:
 def exceptions(docs: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, entity, attempt) of the entities whose attempt is above 0."""
     found = docs.select(F.explode(entities_of(F.col("text"))).alias("e")).select("e.kind", "e.entity")
-    every = stored(found.groupBy("kind", "entity").count().drop("count"), "surrogate-entities")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # few bytes but much work for each: dealt over the cluster's usual number of tasks
+    every = cut(found.groupBy("kind", "entity").count().drop("count").repartition(tasks, "kind", "entity"))
     real = every.select(F.col("kind").alias("r_kind"), F.col("entity").alias("r_entity"))
     state = every.withColumn("attempt", F.lit(0))
     while True:
