@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from stationwise.plans.queries import QUERIES  # noqa: E402
 from stationwise.session import local_session  # noqa: E402
 
-HEADLINE = ("clean_properties", "enrich_properties", "gold_detail", "gold_overview", "bucket_summary")
+HEADLINE = ("clean_properties", "enrich_properties", "gold_detail", "gold_overview", "bucket_summary", "nearest_supplier")
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,9 +31,10 @@ def proximity_bucket(
 
 
 def name_lookup(code: Column | str, names: Mapping[str, str] = NEIGHBOURHOOD_NAMES) -> Column:
-    """Map literal lookup; an unknown or null code gives null.
+    """Name of a code from a constant table; an unknown or null code gives null.
 
-    The map is a constant, folded by the optimizer: no join, no shuffle.
+    The table is two constant arrays, folded by the optimizer: no join, no shuffle.
     """
-    mapping = F.create_map(*[F.lit(x) for x in chain(*names.items())])
-    return mapping[_col(code).cast("string")]
+    codes = F.array(*(F.lit(str(k)) for k in names))
+    found = F.array_position(codes, _col(code).cast("string"))
+    return F.get(F.array(*(F.lit(v) for v in names.values())), (found - 1).cast("int"))

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from stationwise.constants import NEAR_BUCKET, NEIGHBOURHOOD_NAMES, SKETCH_ACCURACY
 from stationwise.functions.labels import name_lookup
-from stationwise.operators.quantile import _N, _Q, bracket_aggs, exact_percentile
-from stationwise.operators.sizing import materialize, order_small
+from stationwise.operators.quantile import exact_percentile
 
 CODE = "neighbourhood_code"
 BUCKET = "transit_proximity_category"
@@ -25,17 +24,30 @@ def add_neighbourhood_names(
     """Attach a display name per code; unknown or null code -> null.
 
     A mapping becomes a constant map expression (no join). A DataFrame of
-    (code, name) is left-joined; Spark broadcasts it only when its size
-    is under the broadcast threshold.
+    (code, name) is left-joined, whatever way Spark sizes the join; a code
+    that it lists with different names is an error, not extra rows.
     """
     if isinstance(names, DataFrame):
         cols = names.columns
-        dim = names.select(F.col(cols[0]).cast("string").alias("_name_code"), F.col(cols[1]).alias(out))
+        known = names.select(F.col(cols[0]).cast("string").alias("_name_code"), F.col(cols[1]).alias(out))
+        one = F.when(F.min(out).eqNullSafe(F.max(out)), F.min(out)).otherwise(
+            F.raise_error(F.concat(F.lit("two names for code "), F.col("_name_code"))).cast("string")
+        )
+        dim = known.groupBy("_name_code").agg(one.alias(out))
         joined = df.join(dim, F.col(code).cast("string") == F.col("_name_code"), "left")
         return joined.drop("_name_code")
     return df.withColumn(out, name_lookup(code, names))
 
 
+def _with_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on grouping keys, null keys matching."""
+    renamed = right.select(*(F.col(k).alias(f"_r_{k}") for k in keys), *(c for c in right.columns if c not in keys))
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & left[k].eqNullSafe(renamed[f"_r_{k}"])
+    return left.join(renamed, condition, "left").drop(*(f"_r_{k}" for k in keys))
+
+
 def gold_detail(
     silver: DataFrame,
     names: Mapping[str, str] | DataFrame = NEIGHBOURHOOD_NAMES,
@@ -66,24 +78,16 @@ def gold_detail(
         F.round(F.min(land), 0).alias("min_land_value"),
         F.round(F.max(land), 0).alias("max_land_value"),
         F.round(F.avg("distance_km"), 3).alias("avg_distance_to_station_km"),
-        F.mode("station_name", deterministic=True).alias("primary_station"),
         F.round(F.avg("land_value_change_pct"), 2).alias("avg_yoy_change_pct"),
     ]
-    if median == "exact":
-        aggs += bracket_aggs("current_land_value", 0.5, accuracy)
     summary = silver.groupBy(*keys).agg(*aggs)
     if median == "exact":
-        # Written once: it feeds the median passes and the final result.
-        summary, _ = materialize(summary)
-        med = exact_percentile(
-            silver, keys, "current_land_value", 0.5, False, "median_land_value", accuracy,
-            summary.select(*keys, _N, _Q), stats_measured=True,
-        )
-        med = med.select(*[F.col(k).alias(f"_m_{k}") for k in keys], F.round("median_land_value", 0).alias("median_land_value"))
-        cond = F.lit(True)
-        for k in keys:
-            cond = cond & summary[k].eqNullSafe(med[f"_m_{k}"])
-        summary = summary.drop(_N, _Q).join(med, cond, "left").drop(*[f"_m_{k}" for k in keys])
+        exact = exact_percentile(silver, keys, "current_land_value", alias="median_land_value")
+        summary = _with_groups(summary, exact.withColumn("median_land_value", F.round("median_land_value", 0)), keys)
+    # counted by station first, so the wide aggregate above stays a hash aggregate
+    stations = silver.where(F.col("station_name").isNotNull()).groupBy(*keys, "station_name").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct((-F.col("n")).alias("n"), F.col("station_name").alias("name")))["name"]
+    summary = _with_groups(summary, stations.groupBy(*keys).agg(first.alias("primary_station")), keys)
     summary = summary.select(
         *keys,
         "property_count",
@@ -96,9 +100,8 @@ def gold_detail(
         "primary_station",
         "avg_yoy_change_pct",
     )
-    if order:
-        summary = order_small(summary, *keys)
-    return add_neighbourhood_names(summary, names)
+    summary = add_neighbourhood_names(summary, names)
+    return summary.orderBy(*keys) if order else summary
 
 
 def gold_overview(
@@ -112,8 +115,7 @@ def gold_overview(
     ``pct_within_500m_station`` counts every row of the near bucket (also
     rows without an id) over the count of ids; a zero count gives null.
     """
-    near = F.sum(F.when(F.col(BUCKET) == near_label, 1).otherwise(0))
-    share = F.try_divide(near, F.count("property_id")) * 100
+    share = F.try_divide(F.count_if(F.col(BUCKET) == near_label), F.count("property_id")) * 100
     overview = silver.groupBy(CODE).agg(
         F.count("property_id").alias("total_properties"),
         F.round(F.avg("current_land_value"), 0).alias("avg_land_value"),
@@ -121,27 +123,16 @@ def gold_overview(
         F.round(share, 1).alias("pct_within_500m_station"),
         F.round(F.avg("land_value_change_pct"), 2).alias("avg_yoy_change_pct"),
     )
-    if order:
-        overview = order_small(overview, F.col("avg_land_value").desc())
-    return add_neighbourhood_names(overview, names)
+    overview = add_neighbourhood_names(overview, names)
+    return overview.orderBy(F.col("avg_land_value").desc_nulls_last(), F.col(CODE).asc_nulls_last()) if order else overview
 
 
-def bucket_summary(silver: DataFrame, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+def bucket_summary(silver: DataFrame) -> DataFrame:
     """Per proximity bucket: count of ids, mean land value, true (interpolated) median.
 
     Five buckets means every group is a large share of the table; the
     median is exact and distributed (operators/quantile.py).
     """
-    aggs = [
-        F.count("property_id").alias("property_count"),
-        F.avg("current_land_value").alias("avg_land_value"),
-        *bracket_aggs("current_land_value", 0.5, accuracy),
-    ]
-    summary, _ = materialize(silver.groupBy(BUCKET).agg(*aggs))
-    med = exact_percentile(
-        silver, [BUCKET], "current_land_value", 0.5, True, "median_land_value", accuracy,
-        summary.select(BUCKET, _N, _Q),
-        stats_measured=True,
-    ).withColumnRenamed(BUCKET, "_m_bucket")
-    out = summary.drop(_N, _Q).join(med, summary[BUCKET].eqNullSafe(med["_m_bucket"]), "left")
-    return order_small(out.drop("_m_bucket"), BUCKET)
+    means = silver.groupBy(BUCKET).agg(F.count("property_id").alias("property_count"), F.avg("current_land_value").alias("avg_land_value"))
+    exact = exact_percentile(silver, [BUCKET], "current_land_value", interpolate=True, alias="median_land_value")
+    return _with_groups(means, exact, [BUCKET]).orderBy(BUCKET)

@@ -11,7 +11,6 @@ from stationwise.constants import FAR_BUCKET, PROXIMITY_BUCKETS
 from stationwise.functions.labels import proximity_bucket
 from stationwise.functions.typing import normalize_code
 from stationwise.operators.nearest import nearest_station
-from stationwise.operators.sizing import small_side
 
 
 def attach_nearest(properties: DataFrame, nearest: DataFrame, code: str = "neighbourhood_code") -> DataFrame:
@@ -19,13 +18,10 @@ def attach_nearest(properties: DataFrame, nearest: DataFrame, code: str = "neigh
 
     Unmatched properties keep null station columns; tied stations fan a
     property out to one row per station. ``nearest`` holds one row per
-    code (x ties): it is written once, counted, and broadcast when that
-    measured size fits the broadcast threshold, so the properties are
-    never shuffled for this join. A larger table falls back to a shuffle
-    join, where adaptive execution splits a code that holds a large
-    share of the properties.
+    code (x ties); adaptive execution measures it while the query runs and
+    broadcasts it if it fits the threshold; beyond that it
+    splits a code that holds a large share of the properties.
     """
-    nearest = small_side(nearest)
     if dict(properties.dtypes).get(code) != "string":
         # Numeric codes (e.g. re-inferred from partition paths) become the
         # text form used everywhere else; text codes were normalised when

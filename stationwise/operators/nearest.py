@@ -85,16 +85,16 @@ def _cell_x(lon: str, lv: str) -> str:
 
 
 def _spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-partition rows over the cluster's cores before they fan out.
+    """Hash-partition rows before they fan out.
 
     Each point (station) expands into tens of probe or cell (level) rows,
     so the work is much larger than the input's bytes suggest: without
-    this, a table stored in one small file (or coalesced by adaptive
-    execution) would run the whole expansion in one or two tasks. An
-    explicit partition count is kept by adaptive execution; hashing by
-    content keeps retries deterministic.
+    this, a table stored in one small file would run the whole expansion in
+    one task. The count is the session's number of shuffle partitions, which
+    does not depend on the executors present when the plan is made; hashing by content keeps
+    retries deterministic.
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # By a hash expression, not the bare columns: a partitioning equal to
     # the preceding aggregate's would be dropped as already satisfied, and
     # that aggregate's shuffle is one adaptive execution may coalesce.

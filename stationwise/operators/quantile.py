@@ -1,23 +1,19 @@
 """Exact per-group percentiles without gathering a group in one task.
 
 ``percentile_disc`` / ``median`` keep every distinct value of a group in
-one aggregation buffer, merged in one task: a group holding a third of
-all rows would have to fit in one executor. Here the work is split:
-
-1. ``percentile_approx`` (a mergeable sketch, combined map-side) gives
-   per group a bracket ``[q_lo, q_hi]`` around the target rank, a few
-   rank-error budgets wide, plus the exact count ``n``.
-2. One map-side combined count gives the exact number of values below
-   ``q_lo``.
-3. Only the rows inside the bracket (about ``8 n / accuracy`` of them)
-   are ranked with a window, which fixes the exact order statistic; the
-   values just outside the bracket (kept by step 2) cover an
-   interpolation neighbour one rank out. A group whose target rank the
-   bracket does not cover is ranked in full, so the answer is exact
-   whatever the sketch returns.
-
-The bracket aggregates can ride along with a caller's own aggregation
-(``bracket_aggs``) so the input is scanned three times in total.
+one aggregation buffer. Here the work is narrowed by counts:
+
+1. Equal values are counted per group (map-side combined), so a repeated
+   value is one row, however often it occurs.
+2. Values fall into bins that grow with their size (``BINS_PER_OCTAVE``
+   for each doubling); a running sum over a group's few bins finds the
+   bin that holds the target rank.
+3. That bin's range is cut into ``SLICES`` equal slices, and again the
+   running sum finds the slice.
+4. Only the distinct values of that slice are ranked.
+
+Every step is an aggregate, a join on the group and a window over bins or
+over one slice: exact, lazy, and the same at every size.
 """
 
 from __future__ import annotations
@@ -27,28 +23,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationwise.constants import SKETCH_ACCURACY
-from stationwise.operators.sizing import small_side
+BINS_PER_OCTAVE = 32
+SLICES = 4096
 
-_N, _Q = "_q_n", "_q_bracket"
 
+def _bin(v: Column) -> Column:
+    """Bin number, never falling as ``v`` rises."""
+    return (F.signum(v) * F.floor(F.log2(F.lit(1.0) + F.abs(v)) * BINS_PER_OCTAVE)).cast("long")
 
-def bracket_aggs(value: str, p: float = 0.5, accuracy: int = SKETCH_ACCURACY) -> list[Column]:
-    """Aggregate expressions (count and sketch bracket) for ``exact_percentile``."""
-    width = 4.0 / accuracy
-    lo, hi = max(0.0, p - width), min(1.0, p + width)
-    v = F.col(value).cast("double")
-    return [
-        F.count(v).alias(_N),
-        F.percentile_approx(v, [lo, hi], accuracy).alias(_Q),
-    ]
 
+def _holding(counts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The row of ``counts`` (per ``keys``, ordered) whose running ``_c`` reaches ``_k``; ``_k`` becomes the rank inside it."""
+    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    held = counts.withColumn("_upto", upto).where((F.col("_k") <= F.col("_upto")) & (F.col("_k") > F.col("_upto") - F.col("_c")))
+    return held.withColumn("_k", F.col("_k") - (F.col("_upto") - F.col("_c"))).drop("_upto", "_c")
 
-def _null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    cond = F.lit(True)
-    for a, b in pairs:
-        cond = cond & left[a].eqNullSafe(right[b])
-    return cond
+
+def _joined(rows: DataFrame, picked: DataFrame, keys: list[str]) -> DataFrame:
+    renamed = picked.select(*(F.col(c).alias(f"_p{c}") if c in keys else F.col(c) for c in picked.columns))
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & rows[k].eqNullSafe(renamed[f"_p{k}"])
+    return rows.join(renamed, condition).drop(*(f"_p{k}" for k in keys))
 
 
 def exact_percentile(
@@ -58,107 +54,42 @@ def exact_percentile(
     p: float = 0.5,
     interpolate: bool = False,
     alias: str = "percentile",
-    accuracy: int = SKETCH_ACCURACY,
-    stats: DataFrame | None = None,
-    stats_measured: bool = False,
 ) -> DataFrame:
     """(keys..., alias): exact percentile of ``value`` per group, nulls ignored.
 
     ``interpolate=False`` returns an element (``percentile_disc``; for
     p = 0.5 the lower middle value). ``interpolate=True`` interpolates
     linearly between the two neighbouring elements, as ``percentile`` /
-    ``median`` do. Null grouping keys form a group, as in ``groupBy``.
-    ``stats`` may carry the ``bracket_aggs`` columns already computed per
-    group by the caller (one scan saved); ``stats_measured`` says they come
-    from a materialised table whose size the planner already knows.
+    ``median`` do. Null grouping keys form a group, as in ``groupBy``; a
+    group without values has no row. Without keys there is one row, null
+    for an empty input.
     """
     keys = list(keys)
-    if not keys:
-        with_key = df.withColumn("_all", F.lit(0))
-        out = exact_percentile(with_key, ["_all"], value, p, interpolate, alias, accuracy, stats)
-        return out.drop("_all")
-
-    base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    if stats is None:
-        stats = base.groupBy(*keys).agg(*bracket_aggs("_v", p, accuracy))
+    g = [f"_g{i}" for i in range(len(keys))]
+    v = F.col("_v")
+    base = df.select(*(F.col(k).alias(x) for k, x in zip(keys, g)), F.col(value).cast("double").alias("_v")).where(v.isNotNull())
+    counts = base.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", _bin(v))
 
-    g_keys = [f"_g{i}" for i in range(len(keys))]
-    n = F.col(_N)
+    bins = counts.groupBy(*g, "_b").agg(F.sum("_c").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    n = F.sum("_c").over(Window.partitionBy(*g))
     if interpolate:
-        pos = (n - 1).cast("double") * F.lit(p)  # 0-based position
-        lo, hi = F.floor(pos), F.ceil(pos)
-        k_lo, k_hi, w_lo, w_hi = lo + 1, hi + 1, hi - pos, pos - lo
+        position = (n - 1).cast("double") * F.lit(p)
+        low, high, weight = F.floor(position) + 1, F.ceil(position) + 1, position - F.floor(position)
     else:
-        # First value whose cumulative share reaches p.
-        k = F.greatest(F.lit(1).cast("long"), F.ceil(n.cast("double") * F.lit(p)))
-        k_lo, k_hi, w_lo, w_hi = k, k, F.lit(1.0), F.lit(0.0)
-    groups = stats.where(n > 0).select(
-        *[F.col(k).alias(g) for k, g in zip(keys, g_keys)],
-        F.col(_Q)[0].alias("_q_lo"),
-        F.col(_Q)[1].alias("_q_hi"),
-        k_lo.alias("_k_lo"),
-        k_hi.alias("_k_hi"),
-        w_lo.alias("_w_lo"),
-        w_hi.alias("_w_hi"),
-    )
-    # One row per group: written once, counted, broadcast when that fits
-    # the threshold (the values are then never shuffled for this join).
-    if not stats_measured:
-        groups = small_side(groups)
-    joined = base.join(groups, _null_safe(base, groups, list(zip(keys, g_keys)))).drop(*keys)
-
-    # One combined pass: count below the bracket, plus the nearest values
-    # just outside it (an interpolation neighbour may sit one rank out).
-    q_lo, q_hi, v = F.col("_q_lo"), F.col("_q_hi"), F.col("_v")
-    edges = joined.groupBy(*g_keys).agg(
-        F.count_if(v < q_lo).alias("_below"),
-        F.count_if((v >= q_lo) & (v <= q_hi)).alias("_band_n"),
-        F.max(F.when(v < q_lo, v)).alias("_max_below"),
-        F.min(F.when(v > q_hi, v)).alias("_min_above"),
-        F.max("_k_lo").alias("_k_lo"),
-        F.max("_k_hi").alias("_k_hi"),
-        F.max("_w_lo").alias("_w_lo"),
-        F.max("_w_hi").alias("_w_hi"),
-    )
-    below_n, band_n = F.col("_below"), F.col("_band_n")
-    # The bracket plus its two outside neighbours covers ranks
-    # [below, below + band_n + 1]. A group whose target ranks fall outside
-    # (the sketch's error bound makes this not happen) is ranked in full,
-    # so the result never depends on the approximation.
-    covered = (F.col("_k_lo") >= below_n) & (F.col("_k_hi") <= below_n + band_n + 1)
-    edges = small_side(edges.withColumn("_full", ~covered))
-    flags = edges.select(*[F.col(g).alias(f"_b{g}") for g in g_keys], "_below", "_full")
-
-    band = (
-        joined.join(flags, _null_safe(joined, flags, [(g, f"_b{g}") for g in g_keys]))
-        .where(((v >= q_lo) & (v <= q_hi)) | F.col("_full"))
-        .select(*g_keys, "_v", "_k_lo", "_k_hi", "_below", "_full")
-    )
-    band = band.withColumn("_rn", F.row_number().over(Window.partitionBy(*g_keys).orderBy("_v")))
-    ranked = band.withColumn("_rank", F.col("_rn") + F.when(F.col("_full"), F.lit(0)).otherwise(F.col("_below")))
-    rank = F.col("_rank")
-    picks = (
-        ranked.where((rank == F.col("_k_lo")) | (rank == F.col("_k_hi")))
-        .groupBy(*g_keys)
-        .agg(
-            F.max(F.when(rank == F.col("_k_lo"), v)).alias("_lo_pick"),
-            F.max(F.when(rank == F.col("_k_hi"), v)).alias("_hi_pick"),
-        )
-        .select(*[F.col(g).alias(f"_p{g}") for g in g_keys], "_lo_pick", "_hi_pick")
-    )
-    final = edges.join(picks, _null_safe(edges, picks, [(g, f"_p{g}") for g in g_keys]), "left")
-    part = ~F.col("_full")
-
-    def value_at(k: Column, pick: Column) -> Column:
-        # Inside the bracket: the ranked pick; one rank outside it on either
-        # side: the nearest value kept by the edge pass.
-        return F.coalesce(
-            pick,
-            F.when(part & (k == below_n), F.col("_max_below")),
-            F.when(part & (k == below_n + band_n + 1), F.col("_min_above")),
-        )
-
-    lo_v = value_at(F.col("_k_lo"), F.col("_lo_pick"))
-    hi_v = value_at(F.col("_k_hi"), F.col("_hi_pick"))
-    result = F.when(lo_v == hi_v, lo_v).otherwise(F.col("_w_lo") * lo_v + F.col("_w_hi") * hi_v)
-    return final.select(*[F.col(g).alias(k) for k, g in zip(keys, g_keys)], result.alias(alias))
+        low = F.greatest(F.lit(1).cast("long"), F.ceil(n.cast("double") * F.lit(p)))
+        high, weight = low, F.lit(0.0)
+    ranks = F.array(F.struct(F.lit(0).alias("side"), low.cast("long").alias("k")), F.struct(F.lit(1).alias("side"), high.cast("long").alias("k")))
+    bins = bins.withColumn("_w", weight).withColumn("_r", ranks).withColumn("_r", F.explode("_r"))
+    bins = bins.select(*g, "_b", "_c", "_lo", "_hi", "_w", F.col("_r.side").alias("_side"), F.col("_r.k").alias("_k"))
+    in_bin = _joined(counts, _holding(bins, [*g, "_side"], "_b"), [*g, "_b"]).drop("_b")
+
+    spread = F.col("_hi") - F.col("_lo")
+    sliced = in_bin.withColumn("_s", F.when(spread > 0, F.floor((v - F.col("_lo")) / spread * SLICES)).otherwise(0))
+    slices = sliced.groupBy(*g, "_side", "_s").agg(F.sum("_c").alias("_c"), F.max("_k").alias("_k"))
+    in_slice = _joined(sliced.drop("_k"), _holding(slices, [*g, "_side"], "_s"), [*g, "_side", "_s"])
+    picks = _holding(in_slice, [*g, "_side"], "_v")
+
+    low_v, high_v = F.max(F.when(F.col("_side") == 0, v)), F.max(F.when(F.col("_side") == 1, v))
+    w = F.max("_w")
+    result = F.when(low_v == high_v, low_v).otherwise((1 - w) * low_v + w * high_v)
+    return picks.groupBy(*g).agg(result.alias(alias)).select(*(F.col(x).alias(k) for x, k in zip(g, keys)), alias)

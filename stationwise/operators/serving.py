@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationwise.constants import OVERVIEW_FIELDS, SERVING_SORT_FIELDS, TRANSIT_DETAIL_FIELDS
+from stationwise.sources.files import read_parquet_checked
 
 CODE = "neighbourhood_code"
 
 
+class GoldDataMissing(FileNotFoundError):
+    """The gold tables have not been written."""
+
+
 class NeighbourhoodNotFound(LookupError):
     """No gold row for the requested neighbourhood code."""
 
@@ -39,17 +44,18 @@ def serve_overview(overview: DataFrame, min_properties: int = 0, sort_by: str =
     return df
 
 
-def serve_one(overview: DataFrame, code: str, strict: bool = False) -> DataFrame:
+def serve_one(overview: DataFrame, code: str, strict: bool = True) -> DataFrame:
     """The overview record of one code (exact text match, at most one row).
 
-    ``strict=True`` raises ``NeighbourhoodNotFound`` when there is none
-    (a one-row probe of the filtered table).
+    Raises ``NeighbourhoodNotFound`` when there is none (a one-row probe of
+    the filtered table); ``strict=False`` gives an empty result instead,
+    without running a job.
     """
     df = _records(overview.where(F.col(CODE).cast("string") == F.lit(code)), OVERVIEW_FIELDS).limit(1)
     return _require_rows(df, code) if strict else df
 
 
-def serve_transit_analysis(detail: DataFrame, code: str, strict: bool = False) -> DataFrame:
+def serve_transit_analysis(detail: DataFrame, code: str, strict: bool = True) -> DataFrame:
     """Every proximity-bucket record of one code, in bucket order."""
     df = _records(detail.where(F.col(CODE).cast("string") == F.lit(code)), TRANSIT_DETAIL_FIELDS)
     df = df.orderBy("transit_proximity_category")
@@ -77,3 +83,11 @@ def preview_properties(cleaned: DataFrame, n: int = 10) -> DataFrame:
         "year_built",
     ]
     return cleaned.select(*cols).orderBy(F.col("property_id").asc_nulls_last()).limit(n)
+
+
+def stored_gold(spark: SparkSession, path: str) -> DataFrame:
+    """A stored gold table, all part files; ``GoldDataMissing`` if the folder is absent or holds none."""
+    try:
+        return read_parquet_checked(spark, path)
+    except FileNotFoundError as exc:
+        raise GoldDataMissing(f"no gold data at {path}: run the batch job first") from exc

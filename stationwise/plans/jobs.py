@@ -34,7 +34,7 @@ from stationwise.sources.literal import centroid_table
 
 log = logging.getLogger(__name__)
 
-STAGES = ("ingest", "ingest_properties", "ingest_stops", "transform", "gold")
+STAGES = ("ingest", "ingest_properties", "ingest_stops", "ingest_translink", "transform", "gold")
 DEFAULT_STAGES = ("ingest", "transform", "gold")
 
 
@@ -170,12 +170,16 @@ def run_batch(
     stages: Sequence[str] | None = None,
     skip_ingestion: bool = False,
     centroids: DataFrame | None = None,
+    names: Mapping[str, str] | DataFrame = NEIGHBOURHOOD_NAMES,
+    as_of_year: int | None = None,
+    ties: str = "all",
 ) -> dict[str, dict[str, int]]:
     """Run the chosen stages in order; a failing stage stops the batch.
 
-    ``stages`` is any of ``ingest``, ``ingest_properties``, ``ingest_stops``,
-    ``transform``, ``gold`` (default: ingest, transform, gold).
-    ``skip_ingestion`` keeps the existing bronze tables.
+    ``stages`` is any of ``ingest``, ``ingest_properties``, ``ingest_stops``
+    (also called ``ingest_translink``), ``transform``, ``gold`` (default:
+    ingest, transform, gold). ``skip_ingestion`` keeps the existing bronze
+    tables. ``names``, ``as_of_year`` and ``ties`` go to the stages that use them.
     """
     chosen = tuple(stages) if stages is not None else DEFAULT_STAGES
     unknown = set(chosen) - set(STAGES)
@@ -186,13 +190,13 @@ def run_batch(
     if not skip_ingestion:
         if "ingest" in chosen or "ingest_properties" in chosen:
             plan.append(("ingest_properties", lambda: ingest_properties(spark, layout)))
-        if "ingest" in chosen or "ingest_stops" in chosen:
+        if {"ingest", "ingest_stops", "ingest_translink"} & set(chosen):
             plan.append(("ingest_stops", lambda: ingest_stops(spark, layout)))
     if "transform" in chosen:
-        plan.append(("transform_properties", lambda: clean_job(spark, layout)))
-        plan.append(("transform_proximity", lambda: enrich_job(spark, layout, centroids)))
+        plan.append(("transform_properties", lambda: clean_job(spark, layout, as_of_year)))
+        plan.append(("transform_proximity", lambda: enrich_job(spark, layout, centroids, ties)))
     if "gold" in chosen:
-        plan.append(("gold", lambda: gold_job(spark, layout)))
+        plan.append(("gold", lambda: gold_job(spark, layout, names)))
     results: dict[str, dict[str, int]] = {}
     for name, run in plan:
         t0 = time.time()

@@ -10,14 +10,77 @@ literals and integer division differ between engines.
 
 from __future__ import annotations
 
-from stationwise.constants import (
-    FAR_BUCKET,
-    MAX_LAND_VALUE,
-    NEIGHBOURHOOD_CENTROIDS,
-    NEIGHBOURHOOD_NAMES,
-    PROXIMITY_BUCKETS,
+# Fixed values, spelt out here so that a wrong constant in the library shows.
+MAX_LAND_VALUE = 500000000
+FAR_BUCKET = "> 5km"
+PROXIMITY_BUCKETS = ((0.5, "< 500m"), (1.0, "500m - 1km"), (2.0, "1km - 2km"), (5.0, "2km - 5km"))
+NEIGHBOURHOOD_CENTROIDS = (
+    ("1", 49.2668, -123.201),
+    ("2", 49.2672, -123.1638),
+    ("3", 49.2467, -123.1622),
+    ("4", 49.2361, -123.1891),
+    ("5", 49.2257, -123.1238),
+    ("6", 49.2093, -123.1237),
+    ("7", 49.2651, -123.128),
+    ("8", 49.2479, -123.1419),
+    ("9", 49.2322, -123.1571),
+    ("10", 49.2215, -123.0856),
+    ("11", 49.2453, -123.1167),
+    ("12", 49.2093, -123.101),
+    ("13", 49.2631, -123.1009),
+    ("14", 49.2739, -123.0705),
+    ("15", 49.25, -123.101),
+    ("16", 49.2454, -123.0793),
+    ("17", 49.22, -123.0299),
+    ("18", 49.2174, -123.0611),
+    ("19", 49.2479, -123.0454),
+    ("20", 49.2174, -123.0611),
+    ("21", 49.2791, -123.049),
+    ("22", 49.2479, -123.0454),
+    ("23", 49.2454, -123.0793),
+    ("24", 49.22, -123.0299),
+    ("25", 49.2408, -123.1175),
+    ("26", 49.2827, -123.1207),
+    ("27", 49.2888, -123.1394),
+    ("28", 49.2888, -123.1394),
+    ("29", 49.2827, -123.1207),
+    ("30", 49.2827, -123.1207),
 )
-from stationwise.plans.queries import SERVE_CODE, SERVE_MIN_PROPERTIES, SERVE_SORT
+NEIGHBOURHOOD_NAMES = {
+    "1": "West Point Grey",
+    "2": "Kitsilano",
+    "3": "Arbutus Ridge",
+    "4": "Dunbar-Southlands",
+    "5": "Oakridge",
+    "6": "Marpole",
+    "7": "Fairview",
+    "8": "Shaughnessy",
+    "9": "Kerrisdale",
+    "10": "Sunset",
+    "11": "Cambie",
+    "12": "Victoria-Fraserview",
+    "13": "Mount Pleasant",
+    "14": "Grandview-Woodland",
+    "15": "Riley Park",
+    "16": "Kensington-Cedar Cottage",
+    "17": "Killarney",
+    "18": "Victoria-Fraserview",
+    "19": "Renfrew-Collingwood",
+    "20": "Sunset",
+    "21": "Hastings-Sunrise",
+    "22": "Renfrew-Collingwood",
+    "23": "Kensington-Cedar Cottage",
+    "24": "Killarney",
+    "25": "South Cambie",
+    "26": "Downtown",
+    "27": "West End",
+    "28": "West End",
+    "29": "Downtown",
+    "30": "Downtown",
+}
+SERVE_CODE = "2"
+SERVE_MIN_PROPERTIES = 500
+SERVE_SORT = "avg_distance_to_station_km"
 
 
 def _hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
@@ -280,7 +343,30 @@ stop_pairs AS (
 )"""
 
 
+NEAREST_SUPPLIER = f"""
+WITH points AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS code,
+    CAST(49100 + (c_custkey * 7919) % 997 AS DOUBLE) / CAST(1000 AS DOUBLE) AS lat,
+    CAST(-123300 + (c_custkey * 6271) % 1499 AS DOUBLE) / CAST(1000 AS DOUBLE) AS lon
+  FROM customer
+), places AS (
+  SELECT s_suppkey AS station_id, s_name AS station_name,
+    CASE WHEN s_suppkey % 10 = 0 THEN CAST(49100 + (s_suppkey * 577) % 991 AS DOUBLE) / CAST(1000 AS DOUBLE)
+         ELSE CAST(49280000 + (s_suppkey * 389) % 4999 AS DOUBLE) / CAST(1000000 AS DOUBLE) END AS station_lat,
+    CASE WHEN s_suppkey % 10 = 0 THEN CAST(-123300 + (s_suppkey * 613) % 1493 AS DOUBLE) / CAST(1000 AS DOUBLE)
+         ELSE CAST(-123120000 + (s_suppkey * 677) % 4993 AS DOUBLE) / CAST(1000000 AS DOUBLE) END AS station_long
+  FROM supplier
+), ranked AS (
+  SELECT code, station_id, station_name, station_lat, station_long,
+    {_hav("lat", "lon", "station_lat", "station_long")} AS distance_km,
+    row_number() OVER (PARTITION BY code ORDER BY {_hav("lat", "lon", "station_lat", "station_long")}, station_name, station_id) AS r
+  FROM points, places
+)
+SELECT code AS neighbourhood_code, station_id, station_name, station_lat, station_long, distance_km FROM ranked WHERE r = 1
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "nearest_supplier": NEAREST_SUPPLIER,
     "rename_columns": _with(PROPERTIES_RAW, RENAMED) + "SELECT * FROM renamed",
     "cast_types": _with(PROPERTIES_RAW, RENAMED, TYPED) + "SELECT * FROM typed",
     "derive_values": _with(PROPERTIES_RAW, RENAMED, TYPED, DERIVED) + "SELECT * FROM derived",

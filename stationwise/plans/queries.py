@@ -2,9 +2,8 @@
 
 Every query reads the given tables (through ``sources.fixtures``), so its
 work grows with them. Each callable takes ``(spark, sf_dir)`` and
-returns a DataFrame; the gold queries first materialise the enriched
-silver table once (the batch job's written layer plays that part), so
-their multi-pass aggregates do not recompute it.
+returns a DataFrame without running a job: nothing is written or cached.
+The lookups filter on their code before the aggregates.
 """
 
 from __future__ import annotations
@@ -41,7 +40,6 @@ from stationwise.operators import (
     unmatched_count,
 )
 from stationwise.functions import haversine_km, normalize_code
-from stationwise.operators.sizing import materialize
 from stationwise.sources import centroid_table
 from stationwise.sources import fixtures as fx
 
@@ -68,15 +66,6 @@ def _enriched(spark: SparkSession, sf: str, tied: bool = False) -> DataFrame:
     return enrich_properties(_clean(spark, sf), fx.centroids(spark, sf), _stations(spark, sf, tied))
 
 
-def _silver(spark: SparkSession, sf: str) -> DataFrame:
-    """Enriched silver, written once for the multi-pass gold aggregates.
-
-    A Parquet table in the cluster's checkpoint folder: the batch job's
-    written silver layer plays the same part.
-    """
-    return materialize(_enriched(spark, sf), reliable=True, count=False)[0]
-
-
 def _stop_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Each stop with the centroid of its supplier's nation (an equi-join)."""
     pairs = fx.stops_with_code(spark, sf).join(fx.centroids(spark, sf), "neighbourhood_code")
@@ -156,6 +145,10 @@ def q_nearest_station_tied(spark, sf):
     return nearest_station(fx.centroids(spark, sf), _stations(spark, sf, tied=True))
 
 
+def q_nearest_supplier(spark, sf):
+    return nearest_station(fx.customer_points(spark, sf), fx.supplier_stations(spark, sf), ties="one")
+
+
 def q_enrich_properties(spark, sf):
     return _enriched(spark, sf)
 
@@ -173,28 +166,27 @@ def q_filter_counts(spark, sf):
 
 
 def q_dq_report(spark, sf):
-    silver = _silver(spark, sf)
-    return dq_report(_clean(spark, sf), silver)
+    return dq_report(_clean(spark, sf), _enriched(spark, sf))
 
 
 def q_gold_detail(spark, sf):
-    return gold_detail(_silver(spark, sf))
+    return gold_detail(_enriched(spark, sf))
 
 
 def q_gold_overview(spark, sf):
-    return gold_overview(_silver(spark, sf))
+    return gold_overview(_enriched(spark, sf))
 
 
 def q_bucket_summary(spark, sf):
-    return bucket_summary(_silver(spark, sf))
+    return bucket_summary(_enriched(spark, sf))
 
 
 def q_top_neighbourhoods(spark, sf):
-    return top_neighbourhoods(gold_overview(_silver(spark, sf), order=False))
+    return top_neighbourhoods(gold_overview(_enriched(spark, sf), order=False))
 
 
 def q_detail_by_name(spark, sf):
-    return detail_by_name(gold_detail(_silver(spark, sf), order=False))
+    return detail_by_name(gold_detail(_enriched(spark, sf), order=False))
 
 
 def q_preview_properties(spark, sf):
@@ -202,24 +194,25 @@ def q_preview_properties(spark, sf):
 
 
 def q_gold_health(spark, sf):
-    return gold_health(gold_overview(_silver(spark, sf), order=False))
+    return gold_health(gold_overview(_enriched(spark, sf), order=False))
 
 
 def q_serve_overview(spark, sf):
-    return serve_overview(gold_overview(_silver(spark, sf), order=False))
+    return serve_overview(gold_overview(_enriched(spark, sf), order=False))
 
 
 def q_serve_overview_min(spark, sf):
-    overview = gold_overview(_silver(spark, sf), order=False)
+    overview = gold_overview(_enriched(spark, sf), order=False)
     return serve_overview(overview, SERVE_MIN_PROPERTIES, SERVE_SORT)
 
 
 def q_serve_one(spark, sf):
-    return serve_one(gold_overview(_silver(spark, sf), order=False), SERVE_CODE)
+    return serve_one(gold_overview(_enriched(spark, sf), order=False), SERVE_CODE, strict=False)
 
 
 def q_serve_transit_analysis(spark, sf):
-    return serve_transit_analysis(gold_detail(_silver(spark, sf), order=False), SERVE_CODE)
+    one = _enriched(spark, sf).where(F.col("neighbourhood_code") == SERVE_CODE)
+    return serve_transit_analysis(gold_detail(one, order=False), SERVE_CODE, strict=False)
 
 
 QUERIES: dict[str, Query] = {
@@ -238,6 +231,7 @@ QUERIES: dict[str, Query] = {
     "centroid_literal": q_centroid_literal,
     "nearest_station": q_nearest_station,
     "nearest_station_tied": q_nearest_station_tied,
+    "nearest_supplier": q_nearest_supplier,
     "enrich_properties": q_enrich_properties,
     "enrich_properties_tied": q_enrich_properties_tied,
     "unmatched_count": q_unmatched_count,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -22,29 +20,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-_local_dirs: dict[int, str] = {}
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder: the cluster's ``spark.checkpoint.dir`` when set.
-
-    Only a local-mode session without that setting (tests, the bench)
-    gets a scratch folder of its own; on a cluster the setting is
-    required, since a machine-local folder would not survive the loss
-    of an executor.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:  # set up already (spark.checkpoint.dir is applied at start)
-        return current
-    d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
-        d = _local_dirs.setdefault(id(sc), tempfile.mkdtemp(prefix="stationwise-ckpt-"))
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d

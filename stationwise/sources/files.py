@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stationwise.constants import NULL_TOKENS
 from stationwise.functions.typing import null_tokens
@@ -25,25 +25,44 @@ def read_delimited(
     path: str,
     sep: str = ",",
     tokens: Sequence[str] = NULL_TOKENS,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Delimited text with a header row; every column read as text.
+    """Delimited text with a header row in every file; every column read as text.
 
     No schema inference (that would be a second full pass and gives
     types that change with the data); typing is the cleaning step's job.
     Missing-value tokens (``NA``, ``n/a``, ``NULL``, empty, ...) become null.
+
+    Quoted fields may hold the separator and doubled quotes. Short rows are
+    padded with nulls. A row with more fields than the header, a file whose
+    header differs, and, unless ``multi_line`` is set, a quoted line break
+    are errors when rows are read, whatever columns a query uses. With ``multi_line``
+    quoted line breaks are part of the field, and a file is read by one task.
     """
-    df = (
-        spark.read.option("header", True)
-        .option("sep", sep)
-        .option("inferSchema", False)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
+    options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "enforceSchema": False, "multiLine": multi_line, "columnPruning": False}
+    names = spark.read.options(**options | {"inferSchema": False}).csv(path).columns
+    bad = "_bad_record"
+    schema = StructType([StructField(c, StringType()) for c in [*names, bad]])
+    reader = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=bad, unescapedQuoteHandling="RAISE_ERROR")
+    df = reader.schema(schema).csv(path)
+    record = F.col(bad)
+    # a record of another width: parsed again with one more field to tell long ones from short ones
+    wide = ", ".join(f"f{i} string" for i in range(len(names) + 1))
+    again = F.from_csv(record, wide, {"sep": sep, "quote": '"', "escape": '"', "nullValue": "\u0000", "multiLine": "true"})
+    quotes = F.length(record) - F.length(F.replace(record, F.lit('"'), F.lit("")))
+    trouble = (
+        F.when(quotes % 2 == 1, F.lit("a quoted field does not end on its line (read with multi_line=True): "))
+        .when(again[f"f{len(names)}"].isNotNull(), F.lit(f"more than {len(names)} fields: "))
     )
-    return df.select(*[null_tokens(F.col(f"`{c}`"), tuple(tokens)).alias(c) for c in df.columns])
+
+    def checked(c: str) -> Column:
+        return F.when(trouble.isNotNull(), F.raise_error(F.concat(trouble, record)).cast("string")).otherwise(null_tokens(F.col(f"`{c}`"), tuple(tokens)))
+
+    return df.select(*(checked(c).alias(c) for c in names))
 
 
 def read_parquet_checked(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Parquet reader that raises ``FileNotFoundError`` for a missing path.
+    """Parquet reader that raises ``FileNotFoundError`` for a missing path or one without a data file.
 
     ``schema`` fixes the column types, including partition columns, so a
     partition value such as ``007`` is not re-typed as the integer 7.
@@ -52,7 +71,7 @@ def read_parquet_checked(spark: SparkSession, path: str, schema: StructType | No
     try:
         return reader.parquet(path)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in (exc.getCondition() or "") or "Path does not exist" in str(exc):
+        if (exc.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise FileNotFoundError(f"no data at {path}") from exc
         raise
 

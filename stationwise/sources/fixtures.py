@@ -105,3 +105,24 @@ def stops_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
         "stop_lon",
     )
     return stops.unionByName(twins)
+
+
+def customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as a point of its own code: the point table grows with the data."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS neighbourhood_code",
+        "CAST(49100 + (c_custkey * 7919) % 997 AS DOUBLE) / CAST(1000 AS DOUBLE) AS neighbourhood_lat",
+        "CAST(-123300 + (c_custkey * 6271) % 1499 AS DOUBLE) / CAST(1000 AS DOUBLE) AS neighbourhood_lon",
+    )
+
+
+def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier as a station with a name of its own; nine in ten lie in one small cluster."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS station_id",
+        "s_name AS station_name",
+        "CASE WHEN s_suppkey % 10 = 0 THEN CAST(49100 + (s_suppkey * 577) % 991 AS DOUBLE) / CAST(1000 AS DOUBLE) "
+        "ELSE CAST(49280000 + (s_suppkey * 389) % 4999 AS DOUBLE) / CAST(1000000 AS DOUBLE) END AS station_lat",
+        "CASE WHEN s_suppkey % 10 = 0 THEN CAST(-123300 + (s_suppkey * 613) % 1493 AS DOUBLE) / CAST(1000 AS DOUBLE) "
+        "ELSE CAST(-123120000 + (s_suppkey * 677) % 4993 AS DOUBLE) / CAST(1000000 AS DOUBLE) END AS station_long",
+    )

@@ -103,8 +103,8 @@ def test_serving_lookup(spark):
     ov = overview(spark)
     assert serve_one(ov, "2").first().neighbourhood_name == "B"
     with pytest.raises(NeighbourhoodNotFound):
-        serve_one(ov, "42", strict=True)
-    assert serve_one(ov, "42").count() == 0
+        serve_one(ov, "42")
+    assert serve_one(ov, "42", strict=False).count() == 0
 
 
 def test_transit_analysis_lookup(spark):
@@ -114,8 +114,30 @@ def test_transit_analysis_lookup(spark):
     assert [r.transit_proximity_category for r in got] == ["< 500m", "> 5km"]
     assert len(got[0]) == 9
     with pytest.raises(NeighbourhoodNotFound):
-        serve_transit_analysis(detail, "5", strict=True)
+        serve_transit_analysis(detail, "5")
 
 
 def test_top_k(spark):
     assert [r[0] for r in top_neighbourhoods(overview(spark), 2).collect()] == ["3", "1"]
+
+
+def test_order_holds_with_a_names_table_and_shuffle_joins(spark):
+    rows = [(str(i), str(i % 40), "< 500m", float((i * 37) % 20 + 1), 1.0, 0.2, "S", None) for i in range(400)]
+    names = spark.createDataFrame([(str(i), f"name {i}") for i in range(40)], "code string, name string").repartition(7)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = gold_overview(silver(spark, rows), names).collect()
+        assert [(-r.avg_land_value, r.neighbourhood_code) for r in got] == sorted((-r.avg_land_value, r.neighbourhood_code) for r in got)
+        assert all(r.neighbourhood_name == f"name {r.neighbourhood_code}" for r in got)
+        detail = [r.neighbourhood_code for r in gold_detail(silver(spark, rows), names).collect()]
+        assert detail == sorted(detail) and len(detail) == 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_two_names_for_a_code_raise(spark):
+    df = spark.createDataFrame([("1",)], "neighbourhood_code string")
+    names = spark.createDataFrame([("1", "a"), ("1", "b")], "code string, name string")
+    with pytest.raises(Exception, match="two names for code 1"):
+        add_neighbourhood_names(df, names).collect()

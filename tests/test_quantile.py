@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from stationwise.operators import exact_percentile
@@ -28,19 +29,18 @@ def brute_disc(vals, p):
 def test_disc_matches_sort(spark):
     rows = data(11)
     df = spark.createDataFrame(rows, "k string, v double")
-    for acc in (100, 10_000):
-        got = {r[0]: r[1] for r in exact_percentile(df, ["k"], "v", 0.5, False, "m", accuracy=acc).collect()}
-        groups = {}
-        for k, v in rows:
-            groups.setdefault(k, []).append(v)
-        want = {k: brute_disc(vs, 0.5) for k, vs in groups.items() if brute_disc(vs, 0.5) is not None}
-        assert got == want
+    got = {r[0]: r[1] for r in exact_percentile(df, ["k"], "v", 0.5, False, "m").collect()}
+    groups = {}
+    for k, v in rows:
+        groups.setdefault(k, []).append(v)
+    want = {k: brute_disc(vs, 0.5) for k, vs in groups.items() if brute_disc(vs, 0.5) is not None}
+    assert got == want
     assert got["even"] == 2.0
 
 
 def test_interpolated_matches_spark_median(spark):
     df = spark.createDataFrame(data(5), "k string, v double")
-    got = {r[0]: r[1] for r in exact_percentile(df, ["k"], "v", 0.5, True, "m", accuracy=100).collect()}
+    got = {r[0]: r[1] for r in exact_percentile(df, ["k"], "v", 0.5, True, "m").collect()}
     want = {r[0]: r[1] for r in df.groupBy("k").agg(F.median("v")).collect() if r[1] is not None}
     assert got == want
     assert got["even"] == 2.5
@@ -50,7 +50,7 @@ def test_other_percentiles(spark):
     rows = data(3, 5000)
     df = spark.createDataFrame(rows, "k string, v double")
     for p in (0.1, 0.9):
-        got = {r[0]: r[1] for r in exact_percentile(df, ["k"], "v", p, True, "m", accuracy=200).collect()}
+        got = {r[0]: r[1] for r in exact_percentile(df, ["k"], "v", p, True, "m").collect()}
         want = {r[0]: r[1] for r in df.groupBy("k").agg(F.percentile("v", p)).collect() if r[1] is not None}
         assert got == want
 
@@ -66,23 +66,29 @@ def test_two_keys_with_nulls(spark):
     assert got == {k: brute_disc(vs, 0.5) for k, vs in groups.items()}
 
 
-def test_exact_even_when_the_bracket_misses(spark, monkeypatch):
-    """Force a useless bracket: groups fall back to full ranking, still exact."""
+@pytest.mark.parametrize("repeated", [0.4, 0.0])
+def test_no_window_ranks_more_than_a_small_share(spark, monkeypatch, repeated):
+    """A third way to read the plan: the rows that each window gets, counted from the data."""
     import stationwise.operators.quantile as q
 
-    def bad_bracket(value, p=0.5, accuracy=10_000):
-        v = F.col(value).cast("double")
-        return [F.count(v).alias(q._N), F.array(F.min(v), F.min(v)).alias(q._Q)]
+    n = 200_000
+    v = F.when(F.rand(3) < repeated, F.lit(500.0)).otherwise(F.round(F.exp(F.randn(5) + 6), 3))
+    df = spark.range(n).select(F.lit("one").alias("k"), v.alias("v")).cache()
+    ranked, holding = [], q._holding
 
-    monkeypatch.setattr(q, "bracket_aggs", bad_bracket)
-    rows = data(9, 3000)
-    df = spark.createDataFrame(rows, "k string, v double")
-    got = {r[0]: r[1] for r in exact_percentile(df, ["k"], "v", 0.5).collect()}
-    groups = {}
-    for k, v in rows:
-        groups.setdefault(k, []).append(v)
-    want = {k: brute_disc(vs, 0.5) for k, vs in groups.items() if brute_disc(vs, 0.5) is not None}
-    assert got == want
-    got_i = {r[0]: r[1] for r in exact_percentile(df, ["k"], "v", 0.5, True).collect()}
-    want_i = {r[0]: r[1] for r in df.groupBy("k").agg(F.median("v")).collect() if r[1] is not None}
-    assert got_i == want_i
+    def counted(counts, keys, order):
+        ranked.append(counts.count())
+        return holding(counts, keys, order)
+
+    monkeypatch.setattr(q, "_holding", counted)
+    got = exact_percentile(df, ["k"], "v", 0.5, True, "m").first()["m"]
+    assert got == df.agg(F.median("v")).first()[0]
+    assert len(ranked) == 3 and max(ranked) < 0.05 * n
+    df.unpersist()
+
+
+def test_no_keys_and_edges(spark):
+    rows = spark.createDataFrame([(v,) for v in (-5.0, -5.0, 0.0, 2.0, 1e12, -1e12, None)], "v double")
+    assert exact_percentile(rows, [], "v", 0.5, True, "m").collect() == [(-2.5,)]
+    assert exact_percentile(rows.limit(0), [], "v", 0.5, True, "m").collect() == [(None,)]
+    assert exact_percentile(rows, [], "v", 1.0, False, "m").first()[0] == 1e12

@@ -92,16 +92,61 @@ def test_partitioned_write_splits_a_hot_value(spark, tmp_path):
     assert read_parquet_checked(spark, out).count() == 200_000
 
 
-def test_checkpoint_folder_and_written_tables(spark):
-    from stationwise.operators.sizing import materialize
-    from stationwise.session import ensure_checkpoint_dir
-
-    d = ensure_checkpoint_dir(spark)
-    assert d and ensure_checkpoint_dir(spark) == d == spark.sparkContext.getCheckpointDir()
-    df = spark.range(1000).selectExpr("id", "id % 7 AS k")
-    saved, n = materialize(df, reliable=True)
-    assert n == 1000 and sorted(saved.columns) == ["id", "k"]
-    plan = saved._jdf.queryExecution().executedPlan().toString()
-    assert "Range" not in plan  # lineage cut: reads the written table
-    cached, m = materialize(df)
-    assert m == 1000 and cached.is_cached
+def _as_pandas_reads(path, **options):
+    import pandas as pd
+
+    frame = pd.read_csv(path, dtype=str, **options)
+    return sorted(map(repr, frame.astype(object).where(frame.notna(), None).itertuples(index=False, name=None)))
+
+
+QUOTED = 'PID,NOTE,V\n1,"say ""hi"", ok",20\n2,"a, b",NA\n3,back\\slash\\,30\n4,"ends with \\",40\n5,short\n6,"",50\n7,#N/A,NULL\n8,nan,n/a\n9,-nan,<NA>\n'
+
+
+def test_quotes_short_rows_and_null_tokens_as_pandas(spark, tmp_path):
+    p = tmp_path / "roll.csv"
+    p.write_text(QUOTED)
+    assert sorted(map(repr, map(tuple, read_delimited(spark, str(p)).collect()))) == _as_pandas_reads(p)
+
+
+def test_quoted_line_break(spark, tmp_path):
+    p = tmp_path / "roll.csv"
+    p.write_text('PID,NOTE,V\n1,"two\nlines",20\n2,"x ""y""\n, z",3\n')
+    got = read_delimited(spark, str(p), multi_line=True)
+    assert sorted(map(repr, map(tuple, got.collect()))) == _as_pandas_reads(p)
+    with pytest.raises(Exception, match="multi_line"):
+        read_delimited(spark, str(p)).select("PID").collect()
+    p.write_text('PID,NOTE\n1,"last\ncolumn"\n')
+    with pytest.raises(Exception, match="multi_line"):
+        read_delimited(spark, str(p)).select("PID").collect()
+
+
+@pytest.mark.parametrize("columns", [["PID"], ["V"], ["PID", "V"]])
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_too_many_fields_raise(spark, tmp_path, columns, multi_line):
+    p = tmp_path / "roll.csv"
+    p.write_text("PID,V\n1,2\n3,4,5\n")
+    with pytest.raises(Exception, match="more than 2 fields"):
+        read_delimited(spark, str(p), multi_line=multi_line).select(*columns).collect()
+
+
+@pytest.mark.parametrize("columns", [["PID"], ["V"], ["PID", "V"]])
+def test_files_with_other_headers_raise(spark, tmp_path, columns):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("PID,V\n10,1\n")
+    (tmp_path / "in" / "b.csv").write_text("V,PID\n20,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, str(tmp_path / "in")).select(*columns).collect()
+
+
+def test_gold_health_empty_folder_and_zero_rows(spark, tmp_path):
+    from stationwise.operators.serving import GoldDataMissing, stored_gold
+
+    (tmp_path / "none").mkdir()
+    assert gold_health_at(spark, str(tmp_path / "none")).first()["status"] == "degraded"
+    write_parquet(spark.range(0), str(tmp_path / "zero"))
+    zero = gold_health_at(spark, str(tmp_path / "zero")).first()
+    assert (zero["status"], zero["gold_data_available"], zero["neighbourhood_count"]) == ("healthy", True, 0)
+    assert stored_gold(spark, str(tmp_path / "zero")).count() == 0
+    for missing in ("none", "absent"):
+        with pytest.raises(GoldDataMissing):
+            stored_gold(spark, str(tmp_path / missing))
