@@ -8,64 +8,43 @@ Semantics (same as ranking every centroid x station pair):
   nulls first, and every pair of rank 1 is kept (ties fan out), or one
   pair with ``ties="one"``.
 
-Plan, for centroid points with valid coordinates:
-
-1. *Bound.* Stations are indexed on a pyramid of lat/lon grids (cell
-   edge ``1/256`` degree, x4 per level, 9 levels; the top level has two
-   cells covering the globe). Each grid cell keeps one representative station (a map-side
-   combined aggregate). Every point probes its 3x3 cell block on every
-   level: at most 81 probe rows, one representative per hit. The least
-   distance to any representative bounds the true nearest distance.
-   The top level always hits, so every point gets a bound.
-2. *Exact.* The spherical cap of that radius (plus the rounding slack)
-   holds every station that can share rank 1. Its lat/lon bounding box
-   is enumerated as cells of the level where the box spans a handful
-   of cells, joined to the stations of those cells, and ranked per code.
-   Points and stations are spread over the cluster's cores before they
-   fan out into probe and level rows.
-
-Work per point is bounded by the stations in a box a few times the
-nearest distance, never by the station count. Points or stations with
-null or invalid coordinates cannot be placed on the grid; they meet in
-the same join through special cells (a null-coordinate station ranks
+Plan, for centroid points with valid coordinates: stations lie in a pyramid of
+lat/lon cells, four levels from 8 degrees down to about 25 metres, each
+32 times finer per axis. A level's table has one row for each cell that
+holds stations: their real extent and one representative. All points start at
+the two half-globes and descend together, level by level:
+
+1. the cells kept so far meet their children (an equi-join on the cell);
+2. a point's bound is the least distance to a representative of its children;
+3. children whose extent is farther than the bound are dropped.
+
+Stations themselves are joined only for the cells that are left at the finest level, and
+their pairs are ranked per code. What a point evaluates is set by the cells along the rim of
+its bound, not by the number of stations, also where it looks at a dense
+cluster from afar. The coarsest table has a proven size (1,035 rows at most)
+and is broadcast; the finer ones are left to the planner, which splits hot cells.
+
+Points or stations with null or invalid coordinates cannot be placed on the
+grid; they meet through special cells (a null-coordinate station ranks
 first for every point; a null-coordinate point ties with every
 station), which is the size of the result those rows define.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationwise.constants import DISTANCE_DECIMALS, EARTH_RADIUS_KM
 from stationwise.functions.geo import great_circle_sql, haversine_sql
 from stationwise.operators.stations import STATION_COLUMNS
 
-LEVEL0_DEG = 1.0 / 256.0
-LEVEL_FACTOR = 4
-N_LEVELS = 9
-# The exact pass picks the level whose cells are at least 1/BOX_CELLS of
-# the box half-width, so a box spans at most 2 * BOX_CELLS + 2 cells per axis.
-BOX_CELLS = 4
-
-
-def grid_levels() -> list[tuple[int, float, int, int]]:
-    """(level, cell edge in degrees, cells in latitude, cells in longitude)."""
-    out = []
-    for lvl in range(N_LEVELS):
-        g = LEVEL0_DEG * LEVEL_FACTOR**lvl
-        out.append((lvl, g, math.ceil(180.0 / g), math.ceil(360.0 / g)))
-    return out
-
-
-LEVELS_SQL = "array({})".format(
-    ", ".join(
-        f"named_struct('lvl', {lvl}, 'g', {g!r}D, 'nlat', {nlat}L, 'nlon', {nlon}L)"
-        for lvl, g, nlat, nlon in grid_levels()
-    )
-)
+#: Cells per degree at the finest level; each level above is 2**SHIFT times coarser per axis.
+FINEST = 4_096
+SHIFT = 5
+TOP = 3
+#: Levels whose cells on the whole globe are few enough to broadcast: 1,035 of 8 degrees.
+BROADCAST_FROM = 3
 
 
 def placeable_sql(lat: str, lon: str) -> str:
@@ -76,100 +55,70 @@ def placeable_sql(lat: str, lon: str) -> str:
     )
 
 
-def _cell_y(lat: str, lv: str) -> str:
-    return f"least(floor(({lat} + 90.0D) / {lv}.g), {lv}.nlat - 1)"
+def _east(lon: str) -> str:
+    """Degrees east of the antimeridian, 0 to below 360."""
+    return f"(pmod({lon} + 180.0D, 360.0D))"
 
 
-def _cell_x(lon: str, lv: str) -> str:
-    return f"least(floor((pmod({lon} + 180.0D, 360.0D)) / {lv}.g), {lv}.nlon - 1)"
-
-
-def _spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-partition rows before they fan out.
-
-    Each point (station) expands into tens of probe or cell (level) rows,
-    so the work is much larger than the input's bytes suggest: without
-    this, a table stored in one small file would run the whole expansion in
-    one task. The count is the session's number of shuffle partitions, which
-    does not depend on the executors present when the plan is made; hashing by content keeps
-    retries deterministic.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # By a hash expression, not the bare columns: a partitioning equal to
-    # the preceding aggregate's would be dropped as already satisfied, and
-    # that aggregate's shuffle is one adaptive execution may coalesce.
-    return df.repartition(n, F.xxhash64(*(cols or ("plat", "plon"))))
+def _on_grid(stations: DataFrame) -> DataFrame:
+    """Every placeable station with its finest cell (cy, cx) and ``east``."""
+    return stations.where(placeable_sql("station_lat", "station_long")).selectExpr(
+        *STATION_COLUMNS,
+        f"least(CAST(floor((station_lat + 90.0D) * {FINEST}) AS BIGINT), {180 * FINEST - 1}L) AS cy",
+        f"least(CAST(floor({_east('station_long')} * {FINEST}) AS BIGINT), {360 * FINEST - 1}L) AS cx",
+        f"{_east('station_long')} AS east",
+    )
 
 
-def _stations_on_grid(stations: DataFrame) -> DataFrame:
-    """Every placeable station once per level, keyed by (lvl, cy, cx)."""
-    return (
-        _spread(stations.where(placeable_sql("station_lat", "station_long")), "station_lat", "station_long")
-        .selectExpr(*STATION_COLUMNS, f"explode({LEVELS_SQL}) AS L")
-        .selectExpr(
-            "L.lvl AS lvl",
-            f"{_cell_y('station_lat', 'L')} AS cy",
-            f"{_cell_x('station_long', 'L')} AS cx",
-            *STATION_COLUMNS,
+def _levels(on_grid: DataFrame) -> list[DataFrame]:
+    """Cell tables, finest first: (cy, cx), extent, representative."""
+    parts = on_grid.selectExpr("cy", "cx", "station_lat AS lat1", "station_lat AS lat2", "east AS lon1", "east AS lon2", "station_lat AS rlat", "east AS rlon")
+    out = []
+    for _ in range(TOP + 1):
+        cells = parts.groupBy("cy", "cx").agg(
+            *(F.min(c).alias(c) for c in ("lat1", "lon1")),
+            *(F.max(c).alias(c) for c in ("lat2", "lon2")),
+            F.min_by("rlon", "rlat").alias("rlon"),  # the representative is a real station: least latitude, with its longitude
+            F.min("rlat").alias("rlat"),
         )
-    )
+        out.append(cells)
+        parts = cells.withColumns({c: F.shiftright(c, SHIFT) for c in ("cy", "cx")})
+    return out
 
 
-def _distance_bounds(points: DataFrame, on_grid: DataFrame, radius_km: float) -> DataFrame:
-    """(plat, plon, d_ub): distance to the nearest cell representative found."""
-    # min(lat) with the longitude of that row: a real station, hash-aggregated.
-    reps = on_grid.groupBy("lvl", "cy", "cx").agg(
-        F.min("station_lat").alias("rlat"), F.min_by("station_long", "station_lat").alias("rlon")
-    )
-    cy0, cx0 = _cell_y("plat", "L"), _cell_x("plon", "L")
-    block = ", ".join(
-        f"named_struct('cy', greatest(0L, least({cy0} + ({dy}), L.nlat - 1)), 'cx', pmod({cx0} + ({dx}), L.nlon))"
-        for dy in (-1, 0, 1)
-        for dx in (-1, 0, 1)
-    )
-    probes = (
-        _spread(points)
-        .selectExpr("plat", "plon", f"explode({LEVELS_SQL}) AS L")
-        .selectExpr("plat", "plon", "L.lvl AS lvl", f"explode(array_distinct(array({block}))) AS c")
-        .selectExpr("plat", "plon", "lvl", "c.cy AS cy", "c.cx AS cx")
-    )
-    d = great_circle_sql("plat", "plon", "rlat", "rlon", radius_km)
-    return (
-        probes.join(reps, ["lvl", "cy", "cx"])
-        .groupBy("plat", "plon")
-        .agg(F.min(F.expr(d)).alias("d_ub"))
-    )
+def _nearest_latitude_sql() -> str:
+    """Latitude of the point of a cell's extent that is nearest to a point ``dl`` degrees of longitude away.
 
+    On the extent's nearest meridian that is ``atan2(sin, cos * cos dl)``, or an end if that lies outside.
+    """
 
-def _box_cells(bounds: DataFrame, radius_km: float, decimals: int) -> DataFrame:
-    """(plat, plon, lvl, cy, cx) for every cell meeting the search box."""
-    slack = 10.0 ** (-decimals) + 1e-9  # pairs tied after rounding
-    ang = f"((d_ub * (1.0D + 1e-9D) + {slack!r}D) / {float(radius_km)!r}D)"
-    s = f"(sin(least({ang}, {math.pi / 2!r}D)) / cos(radians(plat)))"
-    dphi = f"(degrees({ang}) * (1.0D + 1e-9D) + 1e-12D)"
-    all_lon = f"(plat + {dphi} >= 90.0D OR plat - {dphi} <= -90.0D OR {ang} >= {math.pi / 2!r}D OR {s} >= 1.0D)"
-    dlam = f"(CASE WHEN {all_lon} THEN 180.0D ELSE degrees(asin({s})) * (1.0D + 1e-9D) + 1e-12D END)"
-    lvl = (
-        f"CAST(least({N_LEVELS - 1}, greatest(0, ceil(log({float(LEVEL_FACTOR)!r}D, "
-        f"greatest(dphi, dlam) / {BOX_CELLS * LEVEL0_DEG!r}D)))) AS INT)"
-    )
-    base = "pmod(plon + 180.0D, 360.0D)"
-    cx_lo, cx_hi = f"floor(({base} - dlam) / L.g)", f"floor(({base} + dlam) / L.g)"
-    lon_cells = (
-        f"CASE WHEN dlam >= 180.0D OR {cx_hi} - {cx_lo} + 1 >= L.nlon THEN sequence(0L, L.nlon - 1) "
-        f"ELSE array_distinct(transform(sequence({cx_lo}, {cx_hi}), x -> pmod(x, L.nlon))) END"
-    )
-    lat_cells = (
-        "sequence(greatest(0L, floor((plat - dphi + 90.0D) / L.g)), "
-        "least(L.nlat - 1, floor((plat + dphi + 90.0D) / L.g)))"
-    )
-    return (
-        _spread(bounds)
-        .selectExpr("plat", "plon", "d_ub", f"{dphi} AS dphi", f"{dlam} AS dlam")
-        .selectExpr("plat", "plon", "dphi", "dlam", f"element_at({LEVELS_SQL}, {lvl} + 1) AS L")
-        .selectExpr("plat", "plon", "L.lvl AS lvl", f"explode({lat_cells}) AS cy", f"{lon_cells} AS xs")
-        .selectExpr("plat", "plon", "lvl", "cy", "explode(xs) AS cx")
-    )
+    def cosine(lat: str) -> str:
+        return f"(sin(radians(plat)) * sin(radians({lat})) + cos(radians(plat)) * cos(radians({lat})) * cos(radians(dl)))"
+
+    return f"CASE WHEN abs(star) <= 90.0D THEN least(greatest(star, lat1), lat2) WHEN {cosine('lat1')} >= {cosine('lat2')} THEN lat1 ELSE lat2 END"
+
+
+def _descend(points: DataFrame, on_grid: DataFrame, radius_km: float, decimals: int) -> DataFrame:
+    """(plat, plon, up_y, up_x): the finest cells that can hold a rank-1 station of a point."""
+    slack = 10.0 ** (-decimals) + 1e-6  # pairs tied after rounding
+    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    levels = _levels(on_grid)
+    # Each point fans out into many cells: dealt by an explicit count, which adaptive execution
+    # keeps, and by the window's own key, so the coarse levels need no further shuffle.
+    front = points.repartition(n, "plat", "plon").selectExpr("plat", "plon", f"{_east('plon')} AS pe", "0L AS up_y", "explode(array(0L, 1L)) AS up_x")
+    own = Window.partitionBy("plat", "plon")
+    for level in range(TOP, -1, -1):
+        cells = levels[level].selectExpr("*", f"shiftright(cy, {SHIFT}) AS up_y", f"shiftright(cx, {SHIFT}) AS up_x")
+        met = front.join(F.broadcast(cells) if level >= BROADCAST_FROM else cells, ["up_y", "up_x"]).selectExpr(
+            "plat", "plon", "pe", "cy", "cx",
+            "CASE WHEN pe BETWEEN lon1 AND lon2 THEN 0.0D ELSE least(abs(pe - lon1), 360.0D - abs(pe - lon1), abs(pe - lon2), 360.0D - abs(pe - lon2)) END AS dl",
+            "degrees(atan2(sin(radians(plat)), cos(radians(plat)) * cos(radians(dl)))) AS star",
+            f"{_nearest_latitude_sql()} AS near_lat",
+            f"{great_circle_sql('plat', '(0.0D)', 'near_lat', 'dl', radius_km)} AS near",
+            f"{great_circle_sql('plat', 'pe', 'rlat', 'rlon', radius_km)} AS far",
+        ).withColumn("bound", F.min("far").over(own))
+        front = met.where(f"near <= bound * (1.0D + 1e-9D) + {slack!r}D").selectExpr("plat", "plon", "pe", "cy AS up_y", "cx AS up_x")
+    return front
 
 
 def candidate_pairs(
@@ -181,36 +130,22 @@ def candidate_pairs(
     """(plat, plon, station columns, distance_km) holding every rank-1 pair.
 
     ``points`` holds distinct (plat, plon) rows, nulls allowed. Besides the
-    rank-1 stations of each point the result holds other stations of its
-    search box; rank them per point (or per code) to finish.
+    rank-1 stations of each point the result holds a few others that are
+    about as near; rank them per point (or per code) to finish.
     """
     stations = stations.select(*STATION_COLUMNS)
     pt_ok = placeable_sql("plat", "plon")
     st_ok = placeable_sql("station_lat", "station_long")
-    on_grid = _stations_on_grid(stations)
-
-    bounds = _distance_bounds(points.where(pt_ok), on_grid, radius_km)
-    # Rows the grid cannot hold meet in the same join: unplaceable stations
-    # sit in a special cell (level -1) probed by every point, and an
-    # unplaceable point also probes every top-level cell, which together
-    # hold all placeable stations.
-    top, _, top_nlat, top_nlon = grid_levels()[-1]
-    top_cells = ", ".join(
-        f"named_struct('lvl', {top}, 'cy', {y}L, 'cx', {x}L)" for y in range(top_nlat) for x in range(top_nlon)
-    )
-    special_probes = points.selectExpr(
-        "plat",
-        "plon",
-        f"explode(CASE WHEN {pt_ok} THEN array(named_struct('lvl', -1, 'cy', 0L, 'cx', 0L)) "
-        f"ELSE array(named_struct('lvl', -1, 'cy', 0L, 'cx', 0L), {top_cells}) END) AS c",
-    ).selectExpr("plat", "plon", "c.lvl AS lvl", "c.cy AS cy", "c.cx AS cx")
-    special_stations = stations.where(f"NOT {st_ok}").selectExpr("-1 AS lvl", "0L AS cy", "0L AS cx", *STATION_COLUMNS)
-    cells = _box_cells(bounds, radius_km, decimals).unionByName(special_probes)
-    grid = on_grid.unionByName(special_stations)
-    pairs = cells.join(grid, ["lvl", "cy", "cx"]).select("plat", "plon", *STATION_COLUMNS)
-
+    on_grid = _on_grid(stations)
+    cells = _descend(points.where(pt_ok), on_grid, radius_km, decimals)
+    near = cells.join(on_grid, (F.col("up_y") == F.col("cy")) & (F.col("up_x") == F.col("cx"))).select("plat", "plon", *STATION_COLUMNS)
+    # Rows the grid cannot hold: every point meets the unplaceable stations (key 0),
+    # an unplaceable point the placeable ones too (key 1).
+    keyed = stations.selectExpr(*STATION_COLUMNS, f"CASE WHEN {st_ok} THEN 1 ELSE 0 END AS kind")
+    probes = points.selectExpr("plat", "plon", f"explode(CASE WHEN {pt_ok} THEN array(0) ELSE array(0, 1) END) AS p_kind")
+    special = probes.join(keyed, F.col("p_kind") == F.col("kind")).select("plat", "plon", *STATION_COLUMNS)
     dist = haversine_sql("plat", "plon", "station_lat", "station_long", radius_km, decimals)
-    return pairs.selectExpr("*", f"{dist} AS distance_km")
+    return near.unionByName(special).selectExpr("*", f"{dist} AS distance_km")
 
 
 def nearest_station(

@@ -1,10 +1,11 @@
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stationwise.functions import haversine_km
-from stationwise.operators import nearest_station
+from stationwise.operators import candidate_pairs, nearest_station
 
 CENT = "neighbourhood_code string, neighbourhood_lat double, neighbourhood_lon double"
 ST = "station_id long, station_name string, station_lat double, station_long double"
@@ -144,3 +145,14 @@ def test_ties_one_removes_fan_out_on_tied_stops(spark):
     cents = fx.centroids(spark, SF_CHECK)
     assert enrich_properties(clean, cents, stations).count() == 28655
     assert enrich_properties(clean, cents, stations, ties="one").count() == 14435
+
+
+@pytest.mark.parametrize("n_points,n_stations", [(100, 1000), (100, 4000)])
+def test_points_outside_a_dense_cluster(spark, n_points, n_stations):
+    """Seen from 3 km away, a cluster costs a point a few candidates, however many stations it holds."""
+    rnd = random.Random(4)
+    stations = spark.createDataFrame([(i, f"S{i}", 49.28 + rnd.random() * 0.004, -123.12 + rnd.random() * 0.004) for i in range(n_stations)], ST)
+    cents = spark.createDataFrame([(str(i), 49.25 + rnd.random() * 0.002, -123.12 + rnd.random() * 0.004) for i in range(n_points)], CENT)
+    points = cents.selectExpr("neighbourhood_lat AS plat", "neighbourhood_lon AS plon")
+    assert candidate_pairs(points, stations).count() < 5 * n_points
+    assert rows(nearest_station(cents, stations)) == rows(brute(cents, stations))
