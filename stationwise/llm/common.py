@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 #: Words of white-space separated text, as a Java and DuckDB pattern. ``bytes.split()`` finds the same words in UTF-8.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes that one Python step works on at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -91,12 +91,11 @@ def append_columns(df: DataFrame, text: str, fields: list[T.StructField], make:
     def run(batches):
         work = make()
         for batch in batches:
-            lists: list[list] = [[] for _ in kinds]
+            done = 0
             for texts in chunks(batch.column(at)):
-                for out, values in zip(lists, work(texts), strict=True):
-                    out.extend(values)
-            columns = [*batch.columns, *(pa.array(v, type=k) for v, k in zip(lists, kinds, strict=True))]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                made = [pa.array(v, type=k) for v, k in zip(work(texts), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.slice(done, len(texts)).columns, *made], names=names)
+                done += len(texts)
 
     return df.mapInArrow(run, schema)
 

@@ -38,7 +38,7 @@ from .common import append_columns, chunks, free_names, stored
 WINDOW = 35
 GRAM = 10
 #: Most words whose hashes a task remembers.
-MEMORY = 200_000
+MEMORY = 100_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -200,18 +200,17 @@ def _kept(words: list[bytes], spans) -> list[bytes]:
 def _cut_texts(df: DataFrame, fields: list[T.StructField], result) -> DataFrame:
     """``df`` (with ``text`` and ``spans`` somewhere in it) with ``fields`` from the kept words of each row."""
     at = df.columns.index("text"), df.columns.index("spans")
-    schema = T.StructType([*df.schema.fields, *fields])
+    schema, kinds = T.StructType([*df.schema.fields, *fields]), {"bigint": pa.int64(), "string": pa.string()}
 
     def run(batches):
         for batch in batches:
-            rows, done = [], 0
+            done = 0
             for texts in chunks(batch.column(at[0])):
-                for text, spans in zip(texts, batch.column(at[1]).slice(done, len(texts)).to_pylist(), strict=True):
-                    words = (text or b"").split()
-                    rows.append(result(words, _kept(words, spans)))
+                part = batch.slice(done, len(texts))
+                rows = [result(words, _kept(words, spans)) for words, spans in zip(((t or b"").split() for t in texts), part.column(at[1]).to_pylist(), strict=True)]
+                made = [pa.array([r[i] for r in rows], kinds[f.dataType.simpleString()]) for i, f in enumerate(fields)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=schema.names)
                 done += len(texts)
-            made = [pa.array([r[i] for r in rows], {"long": pa.int64(), "string": pa.string()}[f.dataType.simpleString().replace("bigint", "long")]) for i, f in enumerate(fields)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
