@@ -2,7 +2,6 @@
 
 from stationwise.functions.geo import (
     central_angle_sql,
-    great_circle_km,
     great_circle_sql,
     haversine_km,
     haversine_sql,
@@ -14,7 +13,6 @@ __all__ = [
     "central_angle_sql",
     "great_circle_sql",
     "haversine_sql",
-    "great_circle_km",
     "haversine_km",
     "name_lookup",
     "normalize_code",

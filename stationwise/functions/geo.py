@@ -50,11 +50,6 @@ def haversine_sql(
     return f"round({great_circle_sql(lat1, lon1, lat2, lon2, radius_km)}, {int(decimals)})"
 
 
-def great_circle_km(lat1: str, lon1: str, lat2: str, lon2: str, radius_km: float = EARTH_RADIUS_KM) -> Column:
-    """Unrounded haversine distance in km between columns named by the arguments."""
-    return F.expr(great_circle_sql(lat1, lon1, lat2, lon2, radius_km))
-
-
 def haversine_km(
     lat1: str,
     lon1: str,

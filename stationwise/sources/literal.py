@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from stationwise.constants import NEIGHBOURHOOD_CENTROIDS, NEIGHBOURHOOD_NAMES
+from stationwise.constants import NEIGHBOURHOOD_CENTROIDS
 
 CENTROID_SCHEMA = StructType(
     [
@@ -29,7 +29,3 @@ def centroid_table(
 ) -> DataFrame:
     """Neighbourhood centroids as a small DataFrame with an explicit schema."""
     return spark.createDataFrame([tuple(r) for r in rows], schema=CENTROID_SCHEMA)
-
-
-def name_table(spark: SparkSession, names: Mapping[str, str] = NEIGHBOURHOOD_NAMES) -> DataFrame:
-    return spark.createDataFrame(list(names.items()), schema=NAME_SCHEMA)
