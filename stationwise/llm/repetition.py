@@ -26,11 +26,11 @@ from .common import append_columns, free_names
 MIN_WORDS = 50
 MAX_REPEAT_WORDS = 0.5
 SYMBOLS = b"#*$%&|<>"
-#: Greatest share of word characters inside repeated n-grams, by n, and inside repeated lines. Wide enough that a short text
-#: that ends with its own headline, and is good otherwise, stays.
-NGRAM_LIMITS = {5: 0.40, 6: 0.38, 7: 0.36, 8: 0.34, 9: 0.32, 10: 0.30}
+#: Greatest share of word characters inside repeated n-grams, by n: half, as the base rule has it for words, so that a short
+#: text that ends with its own headline, and is good otherwise, stays. And inside the later copies of repeated lines.
+NGRAM_LIMITS = {n: 0.50 for n in (5, 6, 7, 8, 9, 10)}
 LINE_LIMIT = 0.30
-#: Greatest share of symbol characters among word characters.
+#: Greatest number of symbols for each word (a published rule for web text).
 SYMBOL_LIMIT = 0.10
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -107,9 +107,9 @@ def score_repetition(docs: DataFrame, text: str = "text") -> DataFrame:
         return lambda texts: [list(x) for x in zip(*map(measure, texts), strict=True)] if texts else [[] for _ in kinds]
 
     rows = append_columns(docs, text, [T.StructField(n, k) for n, k in zip(names, kinds, strict=False)], make)
-    words, chars, symbols, _, repeat, shares, lines, failed, kept = names
+    words, _, symbols, _, repeat, shares, lines, failed, kept = names
     below = [F.col(shares)[i] <= limit for i, limit in enumerate(NGRAM_LIMITS.values())]
-    verdict = (F.col(lines) <= LINE_LIMIT) & (F.col(symbols) <= SYMBOL_LIMIT * F.col(chars))
+    verdict = (F.col(lines) <= LINE_LIMIT) & (F.col(symbols) <= SYMBOL_LIMIT * F.col(words))
     for x in below:
         verdict = verdict & x
     base = (F.col(words) < MIN_WORDS) | (100 * F.col(repeat) > int(100 * MAX_REPEAT_WORDS) * F.col(words))
@@ -147,7 +147,7 @@ f AS (SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coale
       FROM d LEFT JOIN tot USING (r) LEFT JOIN sh USING (r) LEFT JOIN dl USING (r)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND n_symbols <= 0.10::DOUBLE * word_chars AND dup_chars::DOUBLE / word_chars <= 0.30::DOUBLE AND c5::DOUBLE / word_chars <= 0.40::DOUBLE
-       AND c6::DOUBLE / word_chars <= 0.38::DOUBLE AND c7::DOUBLE / word_chars <= 0.36::DOUBLE AND c8::DOUBLE / word_chars <= 0.34::DOUBLE
-       AND c9::DOUBLE / word_chars <= 0.32::DOUBLE AND c10::DOUBLE / word_chars <= 0.30::DOUBLE AS kept FROM b
+       NOT base_failed AND n_symbols <= 0.10::DOUBLE * n_words AND dup_chars::DOUBLE / word_chars <= 0.30::DOUBLE AND c5::DOUBLE / word_chars <= 0.50::DOUBLE
+       AND c6::DOUBLE / word_chars <= 0.50::DOUBLE AND c7::DOUBLE / word_chars <= 0.50::DOUBLE AND c8::DOUBLE / word_chars <= 0.50::DOUBLE
+       AND c9::DOUBLE / word_chars <= 0.50::DOUBLE AND c10::DOUBLE / word_chars <= 0.50::DOUBLE AS kept FROM b
 """

@@ -379,7 +379,7 @@ def test_repetition_equals_brute_force(spark, docs, rows, empty, clashing):
         symbols, repeat = len(re.findall(r"[#*$%&|<>]", text)), len(_covered(words, 3))
         failed = len(words) < 50 or 100 * repeat > 50 * len(words)
         shares = [sum(len(words[i]) for i in _covered(words, n)) <= limit * chars for n, limit in repetition.NGRAM_LIMITS.items()]
-        kept = not failed and all(shares) and dup_chars <= repetition.LINE_LIMIT * chars and symbols <= repetition.SYMBOL_LIMIT * chars
+        kept = not failed and all(shares) and dup_chars <= repetition.LINE_LIMIT * chars and symbols <= repetition.SYMBOL_LIMIT * len(words)
         want.append((doc, len(words), chars, symbols, sum(n - 1 for n in lines.values()), repeat, failed, kept))
     assert got == sorted(want, key=repr)
     assert repetition.keep_good(empty).count() == 0 and repetition.keep_good(docs).columns == docs.columns

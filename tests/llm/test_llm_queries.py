@@ -66,10 +66,9 @@ def test_pipeline_equals_brute_force(spark):
 
 def _kept(text):
     words, _, symbols, _, repeat, shares, lines = repetition.measure((text or "").encode())
-    chars = sum(len(w.decode()) for w in (text or "").encode().split())
     if words < 50 or 2 * repeat > words:
         return False
-    return lines <= repetition.LINE_LIMIT and symbols <= repetition.SYMBOL_LIMIT * chars and all(s <= x for s, x in zip(shares, repetition.NGRAM_LIMITS.values(), strict=True))
+    return lines <= repetition.LINE_LIMIT and symbols <= repetition.SYMBOL_LIMIT * words and all(s <= x for s, x in zip(shares, repetition.NGRAM_LIMITS.values(), strict=True))
 
 
 def test_pipeline_on_empty_tables(spark, tmp_path):
