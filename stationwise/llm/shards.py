@@ -29,6 +29,8 @@ from .common import cut, free_names
 SLOTS = 4096
 SHARDS = 16
 KEEP = 0.97
+#: Most places that one array holds while a repeated row is written out.
+RUN = 65_536
 
 
 def slot_of(doc_id, text_crc32, slots: int = SLOTS) -> F.Column:
@@ -129,8 +131,10 @@ def numbered(records: DataFrame, versions: DataFrame) -> DataFrame:
     starts = starts.select("vslot", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = counted.withColumn("skip", F.coalesce(F.sum("count").over(inside), F.lit(0))).join(F.broadcast(starts), "vslot")
-    place = F.col("start") + F.col("skip")
-    return placed.withColumn("slot", F.explode(F.sequence(place, place + F.col("count") - 1))).drop("start", "skip", "count")
+    place, end = F.col("start") + F.col("skip"), F.col("start") + F.col("skip") + F.col("count")
+    # written out in runs of a bounded length, so no array grows with the count
+    runs = placed.withColumn("run", F.explode(F.sequence(place, end - 1, F.lit(RUN).cast("long"))))
+    return runs.withColumn("slot", F.explode(F.sequence("run", F.least(F.col("run") + RUN, end) - 1))).drop("start", "skip", "count", "run")
 
 
 def op7_shards(spark, sf_dir: str) -> DataFrame:
