@@ -10,7 +10,9 @@
    later shard that its ball of ``max_bits`` overlaps (triangle bounds; the
    partner of a pair is found from the earlier side), so no pair is lost.
 4. Each shard builds its own vantage-point tree in numpy and prunes with the
-   same bounds; leaves are compared whole. A shard returns a spanning forest
+   same bounds; leaves are compared whole. A shard that many queries reach is
+   worked on in blocks of queries, each beside all of its members, so a task's
+   rows stay bounded however many balls overlap. A block returns a spanning forest
    of its links, not the links: at most one edge for each point it received.
 5. Components come from rounds of large-star and small-star over the edges
    (joins and map-side combined minima), checkpointed until they stand still.
@@ -37,6 +39,8 @@ MAX_BITS = 4
 #: Points that a shard is meant to hold, and points from which the dividing tree is fitted at most.
 SHARD_POINTS = 30_000
 SAMPLE_POINTS = 40_000
+#: Queries that a block is meant to hold.
+BLOCK_QUERIES = 500_000
 LEAF = 128
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 16
@@ -151,15 +155,15 @@ class _Forest:
             self.root[max(a, b)] = min(a, b)
 
 
-def shard_links(members: np.ndarray, queries: np.ndarray, max_bits: int = MAX_BITS, leaf: int = LEAF, seed: int = 7) -> list[tuple[int, int]]:
-    """Spanning forest, as edges (point, root), of the links of members with each other and with the queries.
+def shard_links(members: np.ndarray, queries: np.ndarray, max_bits: int = MAX_BITS, leaf: int = LEAF, seed: int = 7, inner: bool = True) -> list[tuple[int, int]]:
+    """Spanning forest, as edges (point, root), of the links of members with the queries and, if ``inner``, with each other.
 
     Points are numbered members first. Links of queries with each other belong
     to other shards. Distances of a leaf are taken in blocks of bounded size.
     """
     points = np.concatenate((members, queries))
     n, forest, rng = len(members), _Forest(len(points)), np.random.default_rng(seed)
-    stack = [(np.arange(n), np.arange(len(points)))]
+    stack = [(np.arange(n), np.arange(0 if inner else n, len(points)))]
     while stack:
         own, ask = stack.pop()
         if not len(own) or not len(ask):
@@ -194,31 +198,47 @@ def shard_links(members: np.ndarray, queries: np.ndarray, max_bits: int = MAX_BI
     return [(i, r) for i in range(len(points)) if (r := forest.find(i)) != i]
 
 
-def near_links(points: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS, sample_points: int = SAMPLE_POINTS) -> DataFrame:
+def query_blocks(sample: np.ndarray, nodes: list[tuple], n: int, max_bits: int = MAX_BITS, block_queries: int = BLOCK_QUERIES) -> np.ndarray:
+    """Blocks of each shard: the queries that ``n`` points will send there, judged by the sample's, over ``block_queries``."""
+    sent = np.zeros(len(nodes) + 1)
+    for lo in range(0, len(sample), 2_000):
+        _, shard, home = route(sample[lo : lo + 2_000], nodes, max_bits)
+        sent += np.bincount(shard[~home], minlength=len(sent))
+    return np.maximum(1, np.ceil(sent * n / max(len(sample), 1) / block_queries)).astype(np.int64)
+
+
+def near_links(points: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS, sample_points: int = SAMPLE_POINTS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """Edges (u, v) that join exactly the fingerprints of ``points`` (a column ``fp`` of distinct longs) linked at ``max_bits`` or fewer."""
     spark, n = points.sparkSession, points.count()
     sample = points.orderBy(F.xxhash64("fp"), "fp").limit(sample_points).collect() if n > shard_points else []
     fitted = np.array([r[0] for r in sample], np.int64).view(np.uint64)
     nodes = fit_tree(fitted, -(-n // shard_points)) if len(sample) else []
-    tree = spark.sparkContext.broadcast(nodes)
+    tree = spark.sparkContext.broadcast((nodes, query_blocks(fitted, nodes, n, max_bits, block_queries)))
 
     def send(batches):
+        nodes, blocks = tree.value
         for batch in batches:
             own = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for lo in range(0, len(own), 2_000):
                 part = own[lo : lo + 2_000]
-                who, shard, home = route(part, tree.value, max_bits)
-                yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(part[who].view(np.int64)), pa.array(home)], names=["shard", "fp", "home"])
+                who, shard, home = route(part, nodes, max_bits)
+                fp, of = part[who], blocks[shard]
+                # a query goes to one block of a shard, a member to all of them
+                block = (fp * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % of
+                for k in range(int(of.max(initial=1))):
+                    at = np.where(home, of > k, block == k)
+                    yield pa.RecordBatch.from_arrays([pa.array(shard[at], pa.int32()), pa.array(np.full(at.sum(), k, np.int32)), pa.array(fp[at].view(np.int64)), pa.array(home[at])], names=["shard", "block", "fp", "home"])
 
     def link(rows: pd.DataFrame) -> pd.DataFrame:
         fps, home = rows["fp"].to_numpy(), rows["home"].to_numpy()
         ordered = np.concatenate((fps[home], fps[~home]))
-        edges = shard_links(ordered[: home.sum()].view(np.uint64), ordered[home.sum() :].view(np.uint64), max_bits)
+        first = len(rows) > 0 and rows["block"].iloc[0] == 0
+        edges = shard_links(ordered[: home.sum()].view(np.uint64), ordered[home.sum() :].view(np.uint64), max_bits, inner=first)
         pairs = np.array(edges, np.int64).reshape(-1, 2)
         return pd.DataFrame({"u": ordered[pairs[:, 0]], "v": ordered[pairs[:, 1]]})
 
-    sent = points.select("fp").mapInArrow(send, "shard int, fp long, home boolean")
-    return sent.groupBy("shard").applyInPandas(link, "u long, v long")
+    sent = points.select("fp").mapInArrow(send, "shard int, block int, fp long, home boolean")
+    return sent.groupBy("shard", "block").applyInPandas(link, "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -243,10 +263,10 @@ def components(edges: DataFrame) -> DataFrame:
         mark = tuple(now)
 
 
-def clusters(fps: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS) -> DataFrame:
+def clusters(fps: DataFrame, max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """(fp, root) for the fingerprints that have a link to another one; ``fps`` has a column ``fp``."""
     points = cut(fps.select("fp").distinct())
-    nodes = components(near_links(points, max_bits, shard_points))
+    nodes = components(near_links(points, max_bits, shard_points, block_queries=block_queries))
     # the least node of each component is the root of the rest
     return nodes.unionByName(nodes.select(F.col("root").alias("node"), "root").distinct()).select(F.col("node").alias("fp"), "root")
 

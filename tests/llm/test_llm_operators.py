@@ -210,8 +210,8 @@ def test_simhash_equals_brute_force(docs, rows):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(least.values(), key=repr)
 
 
-@pytest.mark.parametrize("shard_points", [40, 100_000])
-def test_sharded_trees_lose_no_link(spark, shard_points):
+@pytest.mark.parametrize(("shard_points", "block_queries"), [(40, 500_000), (40, 60), (100_000, 500_000)])
+def test_sharded_trees_lose_no_link(spark, shard_points, block_queries):
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
     chain = [base[0]]
@@ -220,7 +220,7 @@ def test_sharded_trees_lose_no_link(spark, shard_points):
     ball = [base[1] ^ np.uint64(1 << a) ^ np.uint64(1 << b) for a in range(25) for b in range(a)]
     points = np.unique(np.concatenate((base, np.array(chain + ball, np.uint64), base[:200] ^ np.uint64(0b10110))))
     df = spark.createDataFrame([(int(x),) for x in points.view(np.int64)], "fp long")
-    got = {r["fp"]: r["root"] for r in simhash.clusters(df, shard_points=shard_points).collect()}
+    got = {r["fp"]: r["root"] for r in simhash.clusters(df, shard_points=shard_points, block_queries=block_queries).collect()}
     labels = _components(points)
     roots = [got.get(int(x), int(x)) for x in points.view(np.int64)]
     assert len(set(zip(labels, roots, strict=True))) == len(set(labels)) == len(set(roots))
@@ -314,6 +314,16 @@ def test_shards(docs, rows, empty, clashing):
         assert slots == list(range(len(slots)))
 
 
+def test_a_row_repeated_beyond_one_run(spark):
+    n = 2 * shards.RUN + 5
+    rows = spark.range(n).select(F.lit(None).cast("long").alias("doc_id"), F.lit(1).cast("long").alias("size"), F.lit(0).cast("long").alias("text_crc32"))
+    rows = rows.unionByName(spark.range(7).select(F.col("id").alias("doc_id"), F.lit(2).cast("long").alias("size"), F.col("id").alias("text_crc32")))
+    records = rows.withColumn("vslot", shards.slot_of(F.col("doc_id"), F.col("text_crc32")))
+    got = shards.numbered(records, shards.first_map(spark)).groupBy("shard").agg(F.count("*"), F.countDistinct("slot"), F.min("slot"), F.max("slot")).collect()
+    assert sum(r[1] for r in got) == n + 7
+    assert all(r[1] == r[2] == r[4] + 1 and r[3] == 0 for r in got)
+
+
 def test_rebalance_and_grow(spark):
     by_slot = spark.range(shards.SLOTS).select(F.col("id").cast("int").alias("slot"), (F.pmod(F.xxhash64("id"), F.lit(1000)) + F.when(F.col("id") % 16 == 3, 900).otherwise(0)).alias("bytes"))
     first = shards.first_map(spark)
