@@ -65,8 +65,8 @@ def _dealt(freed: DataFrame, loads: DataFrame) -> DataFrame:
 
     ``freed`` (slot, bytes) and ``loads`` (shard, load) are bounded by the map's size.
     """
-    queue = freed.agg(F.sort_array(F.collect_list(F.struct("bytes", (-F.col("slot")).alias("slot"))), asc=False).alias("queue"))
-    start = loads.agg(F.sort_array(F.collect_list(F.struct("shard", "load"))).alias("start"))
+    items = freed.select(F.struct("bytes", (-F.col("slot")).alias("slot")).alias("item")).unionByName(loads.select(F.struct("shard", "load").alias("held")), allowMissingColumns=True)
+    both = items.agg(F.sort_array(F.collect_list("item"), asc=False).alias("queue"), F.sort_array(F.collect_list("held")).alias("start"))
 
     def step(state, item):
         best = F.array_position(state["loads"], F.array_min(state["loads"])).cast("int")
@@ -74,7 +74,7 @@ def _dealt(freed: DataFrame, loads: DataFrame) -> DataFrame:
         return F.struct(fuller.alias("loads"), best.alias("best"), F.concat(state["to"], F.array(best)).alias("to"))
 
     init = F.struct(F.transform("start", lambda s: s["load"].cast("long")).alias("loads"), F.lit(1).alias("best"), F.array().cast("array<int>").alias("to"))
-    dealt = queue.join(start).select("queue", "start", F.aggregate("queue", init, step)["to"].alias("to"))
+    dealt = both.select("queue", "start", F.aggregate("queue", init, step)["to"].alias("to"))
     pairs = dealt.select("start", F.explode(F.arrays_zip("queue", "to")).alias("x"))
     return pairs.select((-F.col("x.queue.slot")).alias("slot"), F.element_at("start", F.col("x.to"))["shard"].alias("shard"))
 
