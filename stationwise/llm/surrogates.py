@@ -6,7 +6,7 @@ title (Latin, Cyrillic or Greek). Each gets a replacement that depends on a
 secret key, its type and its canonical form alone, so one entity has one
 replacement in the whole corpus:
 
-- character classes, separators and country codes stay; card numbers that pass the Luhn check still do; hex stays hex;
+- character classes (of any script), separators and country codes stay; card numbers that pass the Luhn check still do; hex stays hex;
   addresses lie below a reserved domain; octets stay octets;
 - names are replaced word by word ("Mr. John Smith" and "Mr. Smith" agree on Smith) by syllables of the
   word's own script, the first of several words with an ending of the title's gender, capitals kept.
@@ -14,12 +14,15 @@ replacement in the whole corpus:
 Collision check: the distinct entities of the corpus (counted map-side, so a hot
 one is one row) are replaced, and a replacement that two entities share, or
 that is itself an entity, is drawn again with a next attempt until none is left.
+From attempt 2 a form grows by one character with each attempt (an IPv4 address moves to the
+IPv6 documentation range instead), so it outgrows every entity and the space of forms outgrows their
+number: the loop ends also where a shape is used up or cannot change.
 The few entities with attempts above 0 are looked up while the texts are
 rewritten: within the row if they are at most ``INLINE``, else by a join.
 
 Native: texts are split and rebuilt by DataFrame expressions, where they lie.
 
-Edge cases: a null text stays null, without entities; a text without entities stays as it is;
+Edge cases: a secret without a letter or digit (``********``) is a mask and no entity; a null text stays null, without entities; a text without entities stays as it is;
 equal texts are rewritten alike; an empty table gives no rows. Extra columns pass through; a result
 column whose name is taken gets a trailing ``_``.
 """
@@ -50,9 +53,12 @@ SYLLABLES = {
     "greek": ("αλ βαλ γαλ δαλ θαλ καλ κορ λαν λορ μαρ μελ νερ παλ περ ραλ σολ ταλ τερ φαλ χαρ".split(), ["ος", "ης", "ας"], ["α", "η", "ια"], ["ου", "ις", "ω"]),
 }
 
+#: Letters of scripts that do not lie in 128 code points: Han, Hangul, Hiragana, Katakana. Fixed values.
+RANGES = [(0x4E00, 0x9FA5), (0xAC00, 0xD7A3), (0x3041, 0x3096), (0x30A1, 0x30FA)]
+
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _ACCESS = r"\bAKIA[0-9A-Z]{16}\b"
-_SECRET = r"(?<=[=:\"']|[=:][ ]|[=:][ ][ ])(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)[^\s\"',;=:]{6,}"
+_SECRET = r"(?<=[=:\"']|[=:][ ]|[=:][ ][ ])(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)(?=[^\s\"',;=:]*[\p{L}\p{N}])[^\s\"',;=:]{6,}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _IP = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
 _IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
@@ -70,6 +76,11 @@ TYPES = {"email": _EMAIL, "access_key": _ACCESS, "secret": _SECRET, "ip": _IP, "
 PATTERN = "(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{p})" for p in TYPES.values()) + ")"
 
 
+def _let(value, body) -> F.Column:
+    """``body(value)`` with the value computed once, and once in the plan."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def matches_of(text) -> F.Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), 0)
 
@@ -100,8 +111,29 @@ def _pick(values: list[str], digest, i) -> F.Column:
     return F.element_at(F.array(*map(F.lit, values)), _at(digest, i, len(values)) + 1)
 
 
-def _shaped(text, digest) -> F.Column:
-    """Digits for digits, letters for letters of the same case, the rest as it is; hex texts stay hex."""
+def _char(point) -> F.Column:
+    return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+
+
+def _beyond_ascii(c, digest, i) -> F.Column:
+    """A character of the same script and case: of a large range as a whole, else of the letters of its kind among its 128 code points."""
+    point, drawn = F.ascii(c), _at(digest, i, 65536)
+    kinds = (r"\p{Lu}", r"\p{Ll}", r"\p{Nd}", r"[\p{L}&&[^\p{Lu}\p{Ll}]]", r"[\p{N}&&[^\p{Nd}]]")
+    kind = F.coalesce(*(F.when(c.rlike(k), F.lit(k)) for k in kinds), F.lit("^$"))
+    block = F.transform(F.sequence(F.lit(0), F.lit(127)), lambda j: _char(point - point % 128 + j))
+    new = _let(kind, lambda k: _let(F.filter(block, lambda x: F.rlike(x, k)), lambda own: F.when(F.size(own) > 0, F.get(own, F.pmod(drawn, F.size(own))))))
+    for first, last in RANGES:
+        new = F.when(point.between(first, last), _char(first + F.pmod(drawn, F.lit(last - first + 1)))).otherwise(new)
+    return F.coalesce(new, c)
+
+
+def _longer(text, attempt) -> F.Column:
+    """``text`` with one more character to fill for each attempt above 1."""
+    return F.concat(text, F.repeat(F.when(text.rlike("[a-z]|[^ -~]"), F.lit("a")).otherwise(F.lit("0")), F.greatest(attempt - 1, F.lit(0))))
+
+
+def _shaped(text, digest, any_script: bool = False) -> F.Column:
+    """Digits for digits, letters for letters of the same case (and script), the rest as it is; hex texts stay hex."""
     hexed = text.rlike(r"^(?=.*\d)(?=.*[a-f])[0-9a-f]{8,}$")
 
     def one(c, i):
@@ -111,7 +143,7 @@ def _shaped(text, digest) -> F.Column:
             .when(c.rlike("[0-9]"), _at(digest, i, 10).cast("string"))
             .when(c.rlike("[a-z]"), lower)
             .when(c.rlike("[A-Z]"), F.upper(lower))
-            .otherwise(c)
+            .otherwise(F.when(c.rlike(r"[^\x00-\x7F]"), _beyond_ascii(c, digest, i)).otherwise(c) if any_script else c)
         )
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
@@ -123,20 +155,20 @@ def _luhn(digits) -> F.Column:
     return F.pmod(F.aggregate(reversed_digits, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))), F.lit(10))
 
 
-def _card(match, digest) -> F.Column:
+def _card(match, form, digest) -> F.Column:
     """Scheme digit and separators stay; the last digit keeps the Luhn check passed where it was."""
     drawn = F.concat(F.substring(match, 1, 1), F.substring(_shaped(match, digest), F.lit(2), F.length(match) - 2))
     digits = F.regexp_replace(drawn, r"[ -]", "")
     check = F.pmod(10 - _luhn(F.concat(digits, F.lit("0"))), F.lit(10)).cast("string")
-    was_valid = _luhn(F.regexp_replace(match, r"[ -]", "")) == 0
+    was_valid = _luhn(F.regexp_replace(form, r"[ -]", "")) == 0
     return F.concat(drawn, F.when(was_valid, check).otherwise(_at(digest, F.lit(40), 10).cast("string")))
 
 
-def _email(match, digest, key: str) -> F.Column:
+def _email(match, digest, attempt, key: str) -> F.Column:
     local, domain = F.substring_index(match, "@", 1), F.lower(F.substring_index(match, "@", -1))
     owner = F.regexp_replace(domain, r"(?:\.example)?\.[a-z]+$", "")
-    host = F.regexp_replace(_shaped(owner, _digest(key, F.lit("domain"), domain, F.lit(0))), r"\.", "-")
-    return F.concat(_shaped(local, digest), F.lit("@"), host, F.lit(".example."), F.substring_index(domain, ".", -1))
+    host = F.regexp_replace(_let(_digest(key, F.lit("domain"), domain, F.lit(0)), lambda d: _shaped(owner, d)), r"\.", "-")
+    return F.concat(_shaped(_longer(local, attempt), digest), F.lit("@"), host, F.lit(".example."), F.substring_index(domain, ".", -1))
 
 
 def _word(word, kind, digest) -> F.Column:
@@ -162,38 +194,43 @@ def name_words(match) -> F.Column:
 def entities_of(text) -> F.Column:
     """(kind, entity) of a text: matches in canonical form, names as words."""
 
-    def one(m):
-        kind = type_of(m)
+    def one(m, kind):
         return F.when(kind == "person", F.transform(name_words(m), lambda w: F.struct(w["kind"].alias("kind"), w["word"].alias("entity")))).otherwise(F.array(F.struct(kind.alias("kind"), _canonical(kind, m).alias("entity"))))
 
-    return F.flatten(F.transform(matches_of(text), one))
+    return F.flatten(F.transform(matches_of(text), lambda m: _let(type_of(m), lambda kind: one(m, kind))))
 
 
 def surrogate(kind, entity, attempt, key: str = KEY, form=None) -> F.Column:
     """Replacement of an entity; ``form`` is the match whose format it takes (default: the canonical form)."""
-    form = entity if form is None else form
-    digest = _digest(key, kind, entity, attempt)
+    known = F.struct(kind.alias("kind"), entity.alias("entity"), attempt.alias("attempt"), (entity if form is None else form).alias("form"))
+    return _let(known, lambda x: _let(_digest(key, x["kind"], x["entity"], x["attempt"]), lambda d: _surrogate(x["kind"], x["attempt"], x["form"], d, key)))
+
+
+def _surrogate(kind, attempt, form, digest, key: str) -> F.Column:
     octets = F.concat_ws(".", *((1 + _at(digest, F.lit(i), 254)).cast("string") for i in (0, 2, 4, 6)))
+    ipv6 = F.concat(F.lit("2001:db8:"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.substring(digest, i * 4 + 1, F.lit(4))), ":"))
     rest = F.regexp_extract(form, _CODE, 2)
-    phone = F.concat(F.regexp_extract(form, _CODE, 1), _refilled(rest, _shaped(F.regexp_replace(rest, r"\D", ""), digest)))
-    compact = F.regexp_replace(form, r"[ -]", "")
+    phone = F.concat(F.regexp_extract(form, _CODE, 1), _let(_shaped(_longer(F.regexp_replace(rest, r"\D", ""), attempt), digest), lambda fill: _refilled(rest, fill)))
+    compact = _longer(F.regexp_replace(form, r"[ -]", ""), attempt)
     head = F.when(kind == "iban", 2).otherwise(4)
-    headed = F.concat(F.substring(compact, F.lit(1), head), _shaped(F.substring(compact, head + 1, F.lit(99)), digest))
+    headed = _let(compact, lambda c: F.concat(F.substring(c, F.lit(1), head), _shaped(F.substring(c, head + 1, F.lit(99)), digest)))
     return (
-        F.when(kind == "email", _email(form, digest, key))
-        .when(kind == "ip", octets)
-        .when(kind == "card", _refilled(form, _card(compact, digest)))
+        F.when(kind == "email", _email(form, digest, attempt, key))
+        .when(kind == "ip", F.when(attempt > 3, ipv6).otherwise(octets))
+        .when(kind == "card", _let(_let(compact, lambda c: _card(c, form, digest)), lambda fill: _refilled(form, fill)))
         .when(kind == "phone", phone)
-        .when(kind.isin("access_key", "iban"), _refilled(form, headed))
+        .when(kind.isin("access_key", "iban"), _let(headed, lambda fill: _refilled(form, fill)))
         .when(kind.isin("given-m", "given-f", "given-n", "family"), _word(form, kind, digest))
-        .otherwise(_shaped(form, digest))
+        .otherwise(_shaped(_longer(form, attempt), digest, any_script=True))
     )
 
 
 def _refilled(form, fill) -> F.Column:
-    """``form`` with its ASCII letters and digits replaced in order by the characters of ``fill``."""
+    """``form`` with its ASCII letters and digits replaced in order by the characters of ``fill``, and what is left of it."""
+    slots = F.length(F.regexp_replace(form, r"[^0-9A-Za-z]", ""))
     seen = lambda i: F.length(F.regexp_replace(F.substring(form, F.lit(1), i + 1), r"[^0-9A-Za-z]", ""))
-    return F.array_join(F.transform(F.split(form, ""), lambda c, i: F.when(c.rlike("[0-9A-Za-z]"), F.substring(fill, seen(i), F.lit(1))).otherwise(c)), "")
+    filled = F.array_join(F.transform(F.split(form, ""), lambda c, i: F.when(c.rlike("[0-9A-Za-z]"), F.substring(fill, seen(i), F.lit(1))).otherwise(c)), "")
+    return F.concat(filled, F.substring(fill, slots + 1, F.lit(9999)))
 
 
 def exceptions(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -204,8 +241,9 @@ def exceptions(docs: DataFrame, key: str = KEY) -> DataFrame:
     every = cut(found.groupBy("kind", "entity").count().drop("count").repartition(tasks, "kind", "entity"))
     real = every.select(F.col("kind").alias("r_kind"), F.col("entity").alias("r_entity"))
     state = every.withColumn("attempt", F.lit(0))
+    new = surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), key)
     while True:
-        drawn = state.withColumn("new", surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), key))
+        drawn = state.withColumn("new", new)
         drawn = drawn.withColumn("place", F.row_number().over(Window.partitionBy("kind", "new").orderBy("attempt", "entity")))
         taken = drawn.join(real, (F.col("kind") == F.col("r_kind")) & (_canonical(F.col("kind"), F.col("new")) == F.col("r_entity")), "left")
         state = cut(taken.select("kind", "entity", "attempt", ((F.col("place") > 1) | F.col("r_kind").isNotNull()).alias("again")))
@@ -217,15 +255,14 @@ def exceptions(docs: DataFrame, key: str = KEY) -> DataFrame:
 def _rebuilt(text, attempt_of, key: str) -> F.Column:
     """``text`` with each match replaced; ``attempt_of(kind, entity)`` is a column."""
 
-    def one(m):
-        kind = type_of(m)
-        canonical = _canonical(kind, m)
+    def one(m, kind):
         title = F.concat(F.substring_index(m, " ", 1), F.lit(" "))
         words = F.transform(name_words(m), lambda w: surrogate(w["kind"], w["word"], attempt_of(w["kind"], w["word"]), key))
-        return F.when(kind == "person", F.concat(title, F.array_join(words, " "))).otherwise(surrogate(kind, canonical, attempt_of(kind, canonical), key, form=m))
+        other = _let(_canonical(kind, m), lambda canonical: surrogate(kind, canonical, attempt_of(kind, canonical), key, form=m))
+        return F.when(kind == "person", F.concat(title, F.array_join(words, " "))).otherwise(other)
 
     pieces = F.split(text, PATTERN, -1)
-    return F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("piece"), F.transform(matches_of(text), one).alias("new")), lambda x: F.array(x["piece"], F.coalesce(x["new"], F.lit(""))))), "")
+    return F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("piece"), F.transform(matches_of(text), lambda m: _let(type_of(m), lambda kind: one(m, kind))).alias("new")), lambda x: F.array(x["piece"], F.coalesce(x["new"], F.lit(""))))), "")
 
 
 def replace_personal_data(docs: DataFrame, key: str = KEY, inline: int = INLINE) -> DataFrame:

@@ -298,6 +298,22 @@ def test_surrogates_stay_distinct(spark):
     assert got.agg(F.countDistinct("text")).first()[0] == 1500
 
 
+def test_surrogates_of_shapes_that_cannot_change(spark):
+    masks = ["password: ********", "token = ......", "pwd: ______"]
+    texts = [*masks, "password: пароль", "pwd: κωδικός", "token = Ünïcode1", "secret: пароль123", "password: 漢字漢字漢字", "_@-.example.com wrote"]
+    # each of the 100 values of one shape is an entity, so none of that shape is free
+    texts += [f"token=____{i:02}" for i in range(100)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in surrogates.replace_personal_data(df).collect()}
+    new = [got[i]["text"] for i in range(len(texts))]
+    assert new[:3] == masks and [got[i]["n_entities"] for i in range(3)] == [0, 0, 0]
+    assert not set(new[3:]) & set(texts) and len(set(new[9:])) == 100
+    assert re.fullmatch("password: [\u0400-\u04ff]{6,}", new[3]) and re.fullmatch("secret: [\u0400-\u04ff]{6}[0-9]{3}", new[6])
+    assert re.fullmatch("pwd: [\u0370-\u03ff]{7}", new[4]) and re.fullmatch("password: [\u3400-\u9fff]{6}", new[7])
+    assert new[5][8] != "Ü" and new[5][8].isupper() and not new[5][8].isascii() and new[5][10] != "ï" and re.fullmatch(r"token = .[a-z].[a-z]{4}\d", new[5])
+    assert re.fullmatch(r"_[a-z0-9]+@-\.example\.com wrote", new[8])
+
+
 def test_shards(docs, rows, empty, clashing):
     versions = shards.shard_map(docs)
     placed = shards.assign(docs, versions)
