@@ -9,7 +9,8 @@ replacement in the whole corpus:
 - character classes (of any script), separators and country codes stay; card numbers that pass the Luhn check still do; hex stays hex;
   addresses lie below a reserved domain; octets stay octets;
 - names are replaced word by word ("Mr. John Smith" and "Mr. Smith" agree on Smith) by syllables of the
-  word's own script, the first of several words with an ending of the title's gender, capitals kept.
+  word's own script, the first of several words with an ending of the title's gender, capitals kept; a further
+  attempt has a syllable more, so there are always more names than entities.
 
 Collision check: the distinct entities of the corpus (counted map-side, so a hot
 one is one row) are replaced, and a replacement that two entities share, or
@@ -171,16 +172,17 @@ def _email(match, digest, attempt, key: str) -> F.Column:
     return F.concat(_shaped(_longer(local, attempt), digest), F.lit("@"), host, F.lit(".example."), F.substring_index(domain, ".", -1))
 
 
-def _word(word, kind, digest) -> F.Column:
-    """A name word of the same script, with an ending by its kind (``given-m``, ``given-f``, ``given-n`` or ``family``)."""
+def _word(word, kind, attempt, digest) -> F.Column:
+    """A name word of the same script, of three syllables and one more for each attempt above 0, with an ending by its kind (``given-m``, ``given-f``, ``given-n`` or ``family``)."""
 
     def of(script: str) -> F.Column:
         syllables, male, female, either = SYLLABLES[script]
-        body = F.concat(*(_pick(syllables, digest, F.lit(i)) for i in (0, 2, 4)))
+        more = F.transform(F.sequence(F.lit(1), F.greatest(attempt, F.lit(1))), lambda i: F.when(i <= attempt, _pick(syllables, digest, 9 + 2 * i)).otherwise(F.lit("")))
+        body = F.concat(*(_pick(syllables, digest, F.lit(i)) for i in (0, 2, 4)), F.array_join(more, ""))
         return F.concat(body, F.when(kind == "given-m", _pick(male, digest, F.lit(9))).when(kind == "given-f", _pick(female, digest, F.lit(9))).otherwise(_pick(either, digest, F.lit(9))))
 
     name = F.when(word.rlike(r"\p{IsCyrillic}"), of("cyrillic")).when(word.rlike(r"\p{IsGreek}"), of("greek")).otherwise(of("latin"))
-    return F.when(word == F.upper(word), F.upper(name)).otherwise(F.concat(F.upper(F.substring(name, 1, 1)), F.substring(name, 2, 99)))
+    return F.when(word == F.upper(word), F.upper(name)).otherwise(F.concat(F.upper(F.substring(name, 1, 1)), F.substring(name, F.lit(2), F.length(name))))
 
 
 def name_words(match) -> F.Column:
@@ -220,7 +222,7 @@ def _surrogate(kind, attempt, form, digest, key: str) -> F.Column:
         .when(kind == "card", _let(_let(compact, lambda c: _card(c, form, digest)), lambda fill: _refilled(form, fill)))
         .when(kind == "phone", phone)
         .when(kind.isin("access_key", "iban"), _let(headed, lambda fill: _refilled(form, fill)))
-        .when(kind.isin("given-m", "given-f", "given-n", "family"), _word(form, kind, digest))
+        .when(kind.isin("given-m", "given-f", "given-n", "family"), _word(form, kind, attempt, digest))
         .otherwise(_shaped(_longer(form, attempt), digest, any_script=True))
     )
 

@@ -314,6 +314,16 @@ def test_surrogates_of_shapes_that_cannot_change(spark):
     assert re.fullmatch(r"_[a-z0-9]+@-\.example\.com wrote", new[8])
 
 
+def test_more_names_than_words_of_three_syllables(spark, monkeypatch):
+    # 8 bodies and one ending of each kind: 60 surnames find distinct words only by growing
+    monkeypatch.setitem(surrogates.SYLLABLES, "latin", (["bal", "cor"], ["o"], ["a"], ["er"]))
+    names = [f"Mr. {a}{b}son" for a in "ABCDEFGHIJ" for b in "klmnpr"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate([*names, "Mr. Balbalbaler"])], "doc_id long, text string")
+    got = [r["text"] for r in surrogates.replace_personal_data(df).collect()]
+    assert len(set(got)) == 61 and not set(got) & {*names, "Mr. Balbalbaler"}
+    assert all(re.fullmatch(r"Mr\. (?i:bal|cor){3,}er", x) for x in got)
+
+
 def test_shards(docs, rows, empty, clashing):
     versions = shards.shard_map(docs)
     placed = shards.assign(docs, versions)
