@@ -6,6 +6,7 @@ import glob
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -173,6 +174,15 @@ def test_licenses_found_and_confirmed(spark, docs, empty, clashing):
     assert scanned.columns[: len(clashing.columns)] == clashing.columns and scanned.count() == clashing.count()
 
 
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+def test_wrapped_notices_of_every_family_are_found(spark, docs, mark):
+    notices = [(f, t) for f, ts in licenses.TEMPLATES.items() for t in ts if len(t) > 72]
+    assert {f for f, _ in notices} >= {"apache-2.0", "bsd", "cc-by", "cc-by-nc", "cc-by-sa", "gpl", "lgpl", "mit", "mpl-2.0", "proprietary", "public-domain"}
+    texts = [(i, "Some words first.\n\n" + "\n".join(mark + x for x in textwrap.wrap(t, 60)) + f"\n{mark.rstrip()}\nOther words.") for i, (_, t) in enumerate(notices)]
+    got = licenses.scan(spark.createDataFrame(texts, "doc_id long, text string"), licenses.train(docs)).orderBy("doc_id").collect()
+    assert [(r["license"], len(r["licenses"]), r["n_unconfirmed"]) for r in got] == [(f, 1, 0) for f, _ in notices]
+
+
 def test_every_template_has_an_anchor():
     assert all(re.search(licenses.ANCHORS, t) for ts in licenses.TEMPLATES.values() for t in ts)
 
