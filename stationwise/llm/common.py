@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -75,17 +75,17 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[list[bytes |
         yield column.slice(begin).to_pylist()
 
 
-def append_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Callable[[], Callable[[list[bytes | None]], list]]) -> DataFrame:
+def append_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Callable[[], Callable[..., list]], beside: Sequence[str] = ()) -> DataFrame:
     """``df`` with columns computed from its text column in Arrow batches; every other column passes through.
 
     ``make()`` runs once per task and returns a function from a list of UTF-8
-    texts to one list of values for each field.
+    texts, and a list of values for each column ``beside``, to one list of values for each field.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
     kinds = [to_arrow_type(f.dataType) for f in fields]
     schema = T.StructType([*df.schema.fields, *fields])
-    at = df.columns.index(text)
+    at, near = df.columns.index(text), [df.columns.index(c) for c in beside]
     names = schema.names
 
     def run(batches):
@@ -93,7 +93,8 @@ def append_columns(df: DataFrame, text: str, fields: list[T.StructField], make:
         for batch in batches:
             done = 0
             for texts in chunks(batch.column(at)):
-                made = [pa.array(v, type=k) for v, k in zip(work(texts), kinds, strict=True)]
+                others = (batch.column(i).slice(done, len(texts)).to_pylist() for i in near)
+                made = [pa.array(v, type=k) for v, k in zip(work(texts, *others), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(done, len(texts)).columns, *made], names=names)
                 done += len(texts)
 
