@@ -19,15 +19,15 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_runs_and_agrees_with_sql(spark, name):
     got = queries.QUERIES[name](spark, SF).toPandas()
-    assert len(got) and {"doc_id"} <= set(got.columns)
+    assert len(got) and {"doc_id", "conv_id"} & set(got.columns)
     if name in queries.ORACLE_SQL:
         db = duckdb.connect()
-        for table in ("documents", "benchmark"):
+        for table in ("documents", "benchmark", "conversations"):
             db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
         want = db.execute(queries.ORACLE_SQL[name]).df()
         columns = sorted(got.columns)
         assert columns == sorted(want.columns)
-        rows = [sorted(map(repr, x[columns].astype(object).itertuples(index=False, name=None))) for x in (got, want)]
+        rows = [sorted(map(repr, x[columns].convert_dtypes().astype(object).itertuples(index=False, name=None))) for x in (got, want)]
         assert rows[0] == rows[1]
 
 
