@@ -12,8 +12,9 @@ tables over the bytes that occur in training, a dead end leading to where the by
 from the root, marked as a phrase's end; so numpy walks all languages over many stretches at once. A document
 is parsed in stretches of ``STRETCH`` bytes, a phrase ending with its stretch.
 
-The model is fitted on a bounded sample: of each language the rows of least hash that fit
-into ``TRAIN_BYTES`` of text together, whole (less where many languages share ``TRAIN_TOTAL``); a language with longer rows only has its shortest.
+The model is fitted on a bounded sample: of each language the distinct texts of least hash that fit
+into ``TRAIN_BYTES`` together, whole (less where many languages share ``TRAIN_TOTAL``); a language with longer texts only
+has the shortest of its sample. Languages are taken to be few, as each has an automaton.
 Only the sample's texts are broadcast; each Python worker builds the automata once. Every document is parsed whole, where it lies, without a shuffle.
 
 Edge cases: null texts and texts without a letter are ``und``, score 0, as is everything if no row
@@ -155,14 +156,24 @@ def held_out(doc_id, folds: int = 4, fold: int = 2) -> F.Column:
 
 def training_texts(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[str, bytes]]:
     """(language, normalised text) of the bounded sample, languages by code point; rows are set apart by a zero byte."""
-    rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     size = F.octet_length("text")
-    long = size > TRAIN_BYTES
-    order = [long, F.when(long, size), F.xxhash64("text"), F.col("text")]
-    # Spark keeps the first rows of each group before it shuffles
-    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("n") <= SAMPLE_ROWS)
+    rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("long", size > TRAIN_BYTES)
+    # distinct texts of each language tell below which hash some four times the sample lies, so that no task ranks more
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct(F.when(~F.col("long"), F.col("h"))).alias("short"), F.approx_count_distinct("h").alias("all")).collect()
+    if not counts:
+        return []
+
+    def of(values):
+        return F.element_at(F.create_map(*(F.lit(x) for pair in values for x in pair)), F.col("lang"))
+
+    rate = of([(r["lang"], 4.0 * SAMPLE_ROWS / (r["short"] or r["all"])) for r in counts])
+    wanted = of([(r["lang"], r["short"] == 0) for r in counts]) == F.col("long")
+    few = rows.where(wanted & (F.col("h") / 2.0**64 + 0.5 < rate)).groupBy("lang", "long", "h", "text").agg(F.count(F.lit(1)).alias("n_rows"))
+    order = [F.when(F.col("long"), size), "h", "text"]
+    ranked = few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("n") <= SAMPLE_ROWS)
     upto = F.sum(size).over(Window.partitionBy("lang").orderBy("n"))
-    picked = rows.withColumn("upto", upto).where((F.col("upto") <= TRAIN_BYTES) | (F.col("n") == 1)).select("lang", "n", "text")
+    picked = ranked.withColumn("upto", upto).where((F.col("upto") <= TRAIN_BYTES) | (F.col("n") == 1)).select("lang", "n", "text")
     found: dict[str, list[bytes]] = {}
     for r in picked.orderBy("lang", "n").collect():
         found.setdefault(r["lang"], []).append(normal(r["text"].encode()))
