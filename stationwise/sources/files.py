@@ -6,6 +6,7 @@ an object store; nothing here lists or deletes files by hand.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -15,6 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from stationwise.constants import NULL_TOKENS
 from stationwise.functions.typing import null_tokens
+from stationwise.sources.records import whole_records
 
 
 # ----------------------------------------------------------------- sources
@@ -34,25 +36,29 @@ def read_delimited(
     Missing-value tokens (``NA``, ``n/a``, ``NULL``, empty, ...) become null.
 
     Quoted fields may hold the separator and doubled quotes. Short rows are
-    padded with nulls. A row with more fields than the header, a file whose
-    header differs, and, unless ``multi_line`` is set, a quoted line break
+    padded with nulls. A row with more fields than the header, empty ones
+    included, a file whose header differs, and, unless ``multi_line`` is set, a quoted line break
     are errors when rows are read, whatever columns a query uses. With ``multi_line``
-    quoted line breaks are part of the field, and a file is read by one task.
+    quoted line breaks are part of the field; files are still read by many tasks
+    (see ``sources.records``), at the price of a pass that looks for the records' begins when
+    the DataFrame is made.
     """
     options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "enforceSchema": False, "multiLine": multi_line, "columnPruning": False}
     names = spark.read.options(**options | {"inferSchema": False}).csv(path).columns
     bad = "_bad_record"
     schema = StructType([StructField(c, StringType()) for c in [*names, bad]])
-    reader = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=bad, unescapedQuoteHandling="RAISE_ERROR")
-    df = reader.schema(schema).csv(path)
+    parsing = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad, "unescapedQuoteHandling": "RAISE_ERROR"}
+    if multi_line:
+        texts = options | parsing | {"header": False}
+        parsed = F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "), {k: str(v).lower() if isinstance(v, bool) else v for k, v in texts.items()})
+        df = whole_records(spark, path, sep).select(parsed.alias("r")).select("r.*")
+    else:
+        df = spark.read.options(**options, **parsing).schema(schema).csv(path)
     record = F.col(bad)
-    # a record of another width: parsed again with one more field to tell long ones from short ones
-    wide = ", ".join(f"f{i} string" for i in range(len(names) + 1))
-    again = F.from_csv(record, wide, {"sep": sep, "quote": '"', "escape": '"', "nullValue": "\u0000", "multiLine": "true"})
     quotes = F.length(record) - F.length(F.replace(record, F.lit('"'), F.lit("")))
     trouble = (
-        F.when(quotes % 2 == 1, F.lit("a quoted field does not end on its line (read with multi_line=True): "))
-        .when(again[f"f{len(names)}"].isNotNull(), F.lit(f"more than {len(names)} fields: "))
+        F.when((quotes % 2 == 1) & F.lit(not multi_line), F.lit("a quoted field does not end on its line (read with multi_line=True): "))
+        .when(field_count(record, sep) > len(names), F.lit(f"more than {len(names)} fields: "))
     )
 
     def checked(c: str) -> Column:
@@ -61,6 +67,17 @@ def read_delimited(
     return df.select(*(checked(c).alias(c) for c in names))
 
 
+def field_count(record: Column, sep: str = ",") -> Column:
+    """Fields of a record: its separators outside of quoted fields, and one.
+
+    A quoted field begins at a field's begin; its doubled quotes end one span of text
+    without quotes and begin the next, so spans are taken away one after the other.
+    """
+    quoted = rf'(^|{re.escape(sep)}|\G(?<="))"[^"]*+"'
+    bare = F.regexp_replace(record, quoted, "$1")
+    return (F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep) + 1
+
+
 def read_parquet_checked(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Parquet reader that raises ``FileNotFoundError`` for a missing path or one without a data file.
 

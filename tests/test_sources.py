@@ -150,3 +150,79 @@ def test_gold_health_empty_folder_and_zero_rows(spark, tmp_path):
     for missing in ("none", "absent"):
         with pytest.raises(GoldDataMissing):
             stored_gold(spark, str(tmp_path / missing))
+
+
+WIDE = ["1,2,,x", "1,2,", "1,2,,", '1,"a,b",', '"1","say ""x"", y",z', "1,2,3,4,5", ',,"q"', '1,2,"', '"a""",b,c']
+
+
+@pytest.mark.parametrize("record", WIDE[:-2] + WIDE[-1:])
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_every_wide_row_raises_as_in_pandas(spark, tmp_path, record, multi_line):
+    import pandas as pd
+
+    for before in (["3,4"], ["3,4", "5,6", "7"]):
+        p = tmp_path / f"roll{len(before)}.csv"
+        p.write_text("\n".join(["A,B", *before, record, "8,9"]) + "\n")
+        with pytest.raises(pd.errors.ParserError):
+            pd.read_csv(p, dtype=str)
+        with pytest.raises(Exception, match="more than 2 fields"):
+            read_delimited(spark, str(p), multi_line=multi_line).select("B" if len(before) > 1 else "A").collect()
+
+
+def test_rows_that_are_not_wide(spark, tmp_path):
+    p = tmp_path / "roll.csv"
+    p.write_text('A,B\n1\n"x,y","a "",b"" c"\nq"",r\n2,in "the" field\n"",\n"a,""b"\n')
+    for multi_line in (False, True):
+        assert sorted(map(repr, map(tuple, read_delimited(spark, str(p), multi_line=multi_line).collect()))) == _as_pandas_reads(p)
+
+
+def test_field_count(spark):
+    from stationwise.sources.files import field_count
+
+    cases = {"": 1, "a": 1, "a,b": 2, "a,": 2, ',"x,y",': 3, '"a "",b"" c",d': 2, 'a"",b,"x,y"': 3, '"",""': 2, '"a\n,b",c': 2}
+    df = spark.createDataFrame([(k,) for k in cases], "r string")
+    assert {r[0]: int(r[1]) for r in df.select("r", field_count(F.col("r"))).collect()} == cases
+    two = spark.createDataFrame([('a||"b||c"||d',)], "r string")
+    assert two.select(field_count(F.col("r"), "||")).first()[0] == 3
+
+
+@pytest.mark.parametrize("split", ["100", "1000"])
+def test_quoted_line_breaks_over_many_ranges(spark, tmp_path, split):
+    """Files of several byte ranges: fields over several ranges, doubled quotes and line ends at their edges."""
+    import random
+
+    rng = random.Random(int(split))
+    (tmp_path / "in").mkdir()
+    paths = []
+    for f in range(3):
+        lines = ["PID,NOTE,V"]
+        for i in range(30):
+            note = "".join(rng.choice(['"', "\n", ",", "a", "ü", " ", "\r\n"]) for _ in range(rng.choice([0, 1, 3, 9, 200])))
+            lines.append(f'{f}-{i},"' + note.replace('"', '""') + f'",{i}' if rng.random() < 0.7 else f'{f}-{i},plain "text",{i}')
+            if rng.random() < 0.1:
+                lines.append("")
+        paths.append(tmp_path / "in" / f"{f}.csv")
+        paths[-1].write_bytes(("\r\n" if f == 1 else "\n").join([*lines, ""] if f else lines).encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = read_delimited(spark, str(tmp_path / "in"), multi_line=True)
+        assert df.rdd.getNumPartitions() > 6
+        got = sorted(map(repr, map(tuple, df.collect())))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = sorted(x for p in paths for x in _as_pandas_reads(p))
+    assert got == want
+
+
+def test_multi_line_errors(spark, tmp_path):
+    p = tmp_path / "roll.csv"
+    p.write_text('A,B\n1,"never\nends\n2,3\n')
+    with pytest.raises(Exception, match="does not end"):
+        read_delimited(spark, str(p), multi_line=True)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('A,B\n1,"x\ny"\n')
+    (tmp_path / "in" / "b.csv").write_text("B,A\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, str(tmp_path / "in"), multi_line=True).collect()
