@@ -195,6 +195,5 @@ NULL_TOKENS: tuple[str, ...] = (
     "null",
 )
 
-# Defaults for the exact-median operator: rank-error budget of the sketch
-# used to bracket the answer (see operators/quantile.py).
+# Default rank accuracy of the approximate median (``percentile_approx``).
 SKETCH_ACCURACY = 10_000

@@ -11,11 +11,13 @@ from stationwise.operators.clean import (
 )
 from stationwise.operators.enrich import add_proximity_bucket, attach_nearest, enrich_properties
 from stationwise.operators.nearest import candidate_pairs, nearest_station
-from stationwise.operators.quality import dq_report, filter_counts, gold_health, gold_health_at, unmatched_count
-from stationwise.operators.quantile import exact_percentile
+from stationwise.operators.quality import dq_report, dq_report_by_code, filter_counts, gold_health, gold_health_at, unmatched_count
+from stationwise.operators.quantile import exact_percentile, percentile_of_counts
 from stationwise.operators.serving import (
     NeighbourhoodNotFound,
+    codes_named,
     detail_by_name,
+    of_named,
     preview_properties,
     serve_one,
     serve_overview,
@@ -32,10 +34,12 @@ __all__ = [
     "bucket_summary",
     "cast_types",
     "clean_properties",
+    "codes_named",
     "dedupe_stations",
     "derive_values",
     "detail_by_name",
     "dq_report",
+    "dq_report_by_code",
     "enrich_properties",
     "exact_percentile",
     "filter_counts",
@@ -46,7 +50,9 @@ __all__ = [
     "gold_overview",
     "load_stations",
     "nearest_station",
+    "of_named",
     "candidate_pairs",
+    "percentile_of_counts",
     "preview_properties",
     "project_stations",
     "rename_columns",

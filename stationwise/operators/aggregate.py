@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationwise.constants import NEAR_BUCKET, NEIGHBOURHOOD_NAMES, SKETCH_ACCURACY
 from stationwise.functions.labels import name_lookup
-from stationwise.operators.quantile import exact_percentile
+from stationwise.operators.quantile import percentile_of_counts, shared
 
 CODE = "neighbourhood_code"
 BUCKET = "transit_proximity_category"
@@ -57,37 +57,52 @@ def gold_detail(
 ) -> DataFrame:
     """Per code x proximity bucket: counts, value statistics, station.
 
-    ``median="exact"`` (default) gives the lower middle value exactly
+    Land values are counted per group and station first; all figures are computed from
+    that table, so silver is read once. ``median="exact"`` (default) gives the lower middle value exactly
     without gathering a group in one task (operators/quantile.py);
-    ``median="approx"`` is a single ``percentile_approx`` pass.
+    ``median="approx"`` takes a ``percentile_approx`` pass over silver besides.
     ``primary_station`` is the most common station name of the group
     (ties -> the smallest name).
     """
     if median not in ("exact", "approx"):
         raise ValueError("median must be 'exact' or 'approx'")
     keys = [CODE, BUCKET]
-    land = F.col("current_land_value")
-    aggs: list[Column] = [
-        F.count("property_id").alias("property_count"),
-        F.round(F.avg(land), 0).alias("avg_land_value"),
-        F.round(F.avg("total_assessed_value"), 0).alias("avg_total_assessed_value"),
-    ]
+    measures = {"total": "total_assessed_value", "distance": "distance_km", "change": "land_value_change_pct"}
+    land = "current_land_value"
     if median == "approx":
-        aggs.append(F.round(F.percentile_approx(land, 0.5, accuracy), 0).alias("median_land_value"))
-    aggs += [
-        F.round(F.min(land), 0).alias("min_land_value"),
-        F.round(F.max(land), 0).alias("max_land_value"),
-        F.round(F.avg("distance_km"), 3).alias("avg_distance_to_station_km"),
-        F.round(F.avg("land_value_change_pct"), 2).alias("avg_yoy_change_pct"),
-    ]
-    summary = silver.groupBy(*keys).agg(*aggs)
+        sketch = silver.groupBy(*keys).agg(F.round(F.percentile_approx(land, 0.5, accuracy), 0).alias("median_land_value"))
+    # silver is read once: everything else comes from its counted land values
+    parts = [F.count("property_id").alias("ids"), F.count(F.lit(1)).alias("rows")]
+    for name, column in measures.items():
+        parts += [F.sum(column).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
+    numbers = [land, "ids", "rows", *(f"{name}_{x}" for name in measures for x in ("sum", "n"))]
+    counted = shared(silver.groupBy(*keys, "station_name", land).agg(*parts), [*keys, "station_name"], numbers)
+
+    known = F.when(F.col(land).isNotNull(), F.col("rows"))
+    sums = {c: F.sum(c) for c in numbers[1:]} | {"land_sum": F.sum(F.col(land) * F.col("rows")), "land_n": F.sum(known), "low": F.min(land), "high": F.max(land)}
+    stations = counted.groupBy(*keys, "station_name").agg(*(x.alias(c) for c, x in sums.items()))
+    group = Window.partitionBy(*keys)
+    first = group.orderBy(F.col("station_name").isNull(), F.col("rows").desc(), "station_name")
+    over = {c: {"low": F.min, "high": F.max}.get(c, F.sum)(c).over(group).alias(c) for c in sums}
+    summary = stations.select(*keys, "station_name", *over.values(), F.row_number().over(first).alias("place")).where("place = 1")
+
+    def mean(name: str, decimals: int) -> Column:
+        return F.round(F.try_divide(F.col(f"{name}_sum"), F.col(f"{name}_n")), decimals)
+
+    summary = summary.select(
+        *keys,
+        F.col("ids").cast("long").alias("property_count"),
+        mean("land", 0).alias("avg_land_value"),
+        mean("total", 0).alias("avg_total_assessed_value"),
+        F.round("low", 0).alias("min_land_value"),
+        F.round("high", 0).alias("max_land_value"),
+        mean("distance", 3).alias("avg_distance_to_station_km"),
+        mean("change", 2).alias("avg_yoy_change_pct"),
+        F.col("station_name").alias("primary_station"),
+    )
     if median == "exact":
-        exact = exact_percentile(silver, keys, "current_land_value", alias="median_land_value")
-        summary = _with_groups(summary, exact.withColumn("median_land_value", F.round("median_land_value", 0)), keys)
-    # counted by station first, so the wide aggregate above stays a hash aggregate
-    stations = silver.where(F.col("station_name").isNotNull()).groupBy(*keys, "station_name").agg(F.count(F.lit(1)).alias("n"))
-    first = F.min(F.struct((-F.col("n")).alias("n"), F.col("station_name").alias("name")))["name"]
-    summary = _with_groups(summary, stations.groupBy(*keys).agg(first.alias("primary_station")), keys)
+        sketch = percentile_of_counts(counted, keys, land, "rows", alias="median_land_value").withColumn("median_land_value", F.round("median_land_value", 0))
+    summary = _with_groups(summary, sketch, keys)
     summary = summary.select(
         *keys,
         "property_count",
@@ -131,8 +146,14 @@ def bucket_summary(silver: DataFrame) -> DataFrame:
     """Per proximity bucket: count of ids, mean land value, true (interpolated) median.
 
     Five buckets means every group is a large share of the table; the
-    median is exact and distributed (operators/quantile.py).
+    median is exact and distributed, and mean and count come from the same counted
+    values (operators/quantile.py).
     """
-    means = silver.groupBy(BUCKET).agg(F.count("property_id").alias("property_count"), F.avg("current_land_value").alias("avg_land_value"))
-    exact = exact_percentile(silver, [BUCKET], "current_land_value", interpolate=True, alias="median_land_value")
+    land = "current_land_value"
+    counted = silver.groupBy(BUCKET, land).agg(F.count("property_id").alias("ids"), F.count(F.lit(1)).alias("rows"))
+    counted = shared(counted, [BUCKET], [land, "ids", "rows"])
+    known = F.when(F.col(land).isNotNull(), F.col("rows"))
+    mean = F.try_divide(F.sum(F.col(land) * F.col("rows")), F.sum(known))
+    means = counted.groupBy(BUCKET).agg(F.sum("ids").cast("long").alias("property_count"), mean.alias("avg_land_value"))
+    exact = percentile_of_counts(counted, [BUCKET], land, "rows", interpolate=True, alias="median_land_value")
     return _with_groups(means, exact, [BUCKET]).orderBy(BUCKET)

@@ -25,9 +25,10 @@ cluster from afar. The coarsest table has a proven size (1,035 rows at most)
 and is broadcast; the finer ones are left to the planner, which splits hot cells.
 
 Points or stations with null or invalid coordinates cannot be placed on the
-grid; they meet through special cells (a null-coordinate station ranks
-first for every point; a null-coordinate point ties with every
-station), which is the size of the result those rows define.
+grid. A null-coordinate station ranks first for every point; a null-coordinate point ties with every
+station: pairs that the semantics define, in a branch for either case. The many side
+is dealt over ``SPREAD`` keys and the few rows are repeated for each, so no key holds a side
+whole; adaptive execution drops a branch that has no such rows.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ SHIFT = 5
 TOP = 3
 #: Levels whose cells on the whole globe are few enough to broadcast: 1,035 of 8 degrees.
 BROADCAST_FROM = 3
+#: Keys over which the rows that meet an unplaceable row are dealt.
+SPREAD = 64
 
 
 def placeable_sql(lat: str, lon: str) -> str:
@@ -72,17 +75,19 @@ def _on_grid(stations: DataFrame) -> DataFrame:
 
 def _levels(on_grid: DataFrame) -> list[DataFrame]:
     """Cell tables, finest first: (cy, cx), extent, representative."""
-    parts = on_grid.selectExpr("cy", "cx", "station_lat AS lat1", "station_lat AS lat2", "east AS lon1", "east AS lon2", "station_lat AS rlat", "east AS rlon")
     out = []
-    for _ in range(TOP + 1):
-        cells = parts.groupBy("cy", "cx").agg(
-            *(F.min(c).alias(c) for c in ("lat1", "lon1")),
-            *(F.max(c).alias(c) for c in ("lat2", "lon2")),
-            F.min_by("rlon", "rlat").alias("rlon"),  # the representative is a real station: least latitude, with its longitude
-            F.min("rlat").alias("rlat"),
+    for level in range(TOP + 1):
+        cell = [F.shiftright(c, SHIFT * level).alias(c) for c in ("cy", "cx")]
+        out.append(
+            on_grid.groupBy(*cell).agg(
+                F.min("station_lat").alias("lat1"),
+                F.max("station_lat").alias("lat2"),
+                F.min("east").alias("lon1"),
+                F.max("east").alias("lon2"),
+                F.min_by("east", "station_lat").alias("rlon"),  # the representative is a real station: least latitude, with its longitude
+                F.min("station_lat").alias("rlat"),
+            )
         )
-        out.append(cells)
-        parts = cells.withColumns({c: F.shiftright(c, SHIFT) for c in ("cy", "cx")})
     return out
 
 
@@ -101,11 +106,10 @@ def _nearest_latitude_sql() -> str:
 def _descend(points: DataFrame, on_grid: DataFrame, radius_km: float, decimals: int) -> DataFrame:
     """(plat, plon, up_y, up_x): the finest cells that can hold a rank-1 station of a point."""
     slack = 10.0 ** (-decimals) + 1e-6  # pairs tied after rounding
-    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     levels = _levels(on_grid)
-    # Each point fans out into many cells: dealt by an explicit count, which adaptive execution
-    # keeps, and by the window's own key, so the coarse levels need no further shuffle.
-    front = points.repartition(n, "plat", "plon").selectExpr("plat", "plon", f"{_east('plon')} AS pe", "0L AS up_y", "explode(array(0L, 1L)) AS up_x")
+    # ``points`` are distinct, so they lie by the window's own key already: the coarse levels need no
+    # further shuffle, and how many tasks they take is left to adaptive execution.
+    front = points.selectExpr("plat", "plon", f"{_east('plon')} AS pe", "0L AS up_y", "explode(array(0L, 1L)) AS up_x")
     own = Window.partitionBy("plat", "plon")
     for level in range(TOP, -1, -1):
         cells = levels[level].selectExpr("*", f"shiftright(cy, {SHIFT}) AS up_y", f"shiftright(cx, {SHIFT}) AS up_x")
@@ -139,13 +143,13 @@ def candidate_pairs(
     on_grid = _on_grid(stations)
     cells = _descend(points.where(pt_ok), on_grid, radius_km, decimals)
     near = cells.join(on_grid, (F.col("up_y") == F.col("cy")) & (F.col("up_x") == F.col("cx"))).select("plat", "plon", *STATION_COLUMNS)
-    # Rows the grid cannot hold: every point meets the unplaceable stations (key 0),
-    # an unplaceable point the placeable ones too (key 1).
-    keyed = stations.selectExpr(*STATION_COLUMNS, f"CASE WHEN {st_ok} THEN 1 ELSE 0 END AS kind")
-    probes = points.selectExpr("plat", "plon", f"explode(CASE WHEN {pt_ok} THEN array(0) ELSE array(0, 1) END) AS p_kind")
-    special = probes.join(keyed, F.col("p_kind") == F.col("kind")).select("plat", "plon", *STATION_COLUMNS)
+    lost = stations.where(f"NOT {st_ok}").selectExpr(*STATION_COLUMNS, f"explode(sequence(0, {SPREAD - 1})) AS deal")
+    every = points.selectExpr("plat", "plon", f"CAST(pmod(xxhash64(plat, plon), {SPREAD}) AS INT) AS deal")
+    nowhere = points.where(f"NOT {pt_ok}").selectExpr("plat", "plon", f"explode(sequence(0, {SPREAD - 1})) AS deal")
+    placed = stations.where(st_ok).selectExpr(*STATION_COLUMNS, f"CAST(pmod(xxhash64(station_id, station_name, station_lat, station_long), {SPREAD}) AS INT) AS deal")
+    special = [x.join(y, "deal").select("plat", "plon", *STATION_COLUMNS) for x, y in ((every, lost), (nowhere, placed))]
     dist = haversine_sql("plat", "plon", "station_lat", "station_long", radius_km, decimals)
-    return near.unionByName(special).selectExpr("*", f"{dist} AS distance_km")
+    return near.unionByName(special[0]).unionByName(special[1]).selectExpr("*", f"{dist} AS distance_km")
 
 
 def nearest_station(

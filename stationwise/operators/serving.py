@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationwise.constants import OVERVIEW_FIELDS, SERVING_SORT_FIELDS, TRANSIT_DETAIL_FIELDS
+from stationwise.constants import NEIGHBOURHOOD_NAMES, OVERVIEW_FIELDS, SERVING_SORT_FIELDS, TRANSIT_DETAIL_FIELDS
 from stationwise.sources.files import read_parquet_checked
 
 CODE = "neighbourhood_code"
@@ -62,8 +64,26 @@ def serve_transit_analysis(detail: DataFrame, code: str, strict: bool = True) ->
     return _require_rows(df, code) if strict else df
 
 
+def codes_named(name: str, names: Mapping[str, str] = NEIGHBOURHOOD_NAMES) -> list[str]:
+    """The codes whose display name is ``name``."""
+    return sorted(code for code, known in names.items() if known == name)
+
+
+def of_named(silver: DataFrame, name: str, names: Mapping[str, str] | DataFrame = NEIGHBOURHOOD_NAMES) -> DataFrame:
+    """The rows of the neighbourhood(s) carrying a display name, chosen by their codes: below aggregates and joins.
+
+    A mapping becomes a list of codes that reaches the scan; a DataFrame of (code, name) a semi join.
+    """
+    if isinstance(names, DataFrame):
+        code, label = names.columns
+        wanted = names.where(F.col(label) == F.lit(name)).select(F.col(code).cast("string").alias(CODE))
+        return silver.join(wanted, CODE, "left_semi")
+    codes = codes_named(name, names)
+    return silver.where(F.col(CODE).isin(codes) if codes else F.lit(False))
+
+
 def detail_by_name(detail: DataFrame, name: str = "Kitsilano") -> DataFrame:
-    """Detail rows of the neighbourhood(s) carrying a display name."""
+    """Rows of a stored detail table of the neighbourhood(s) carrying a display name; ``of_named`` filters before the aggregates."""
     return detail.where(F.col("neighbourhood_name") == F.lit(name))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationwise.constants import STATION_TOKEN
@@ -26,20 +26,14 @@ def project_stations(stops: DataFrame) -> DataFrame:
 
 
 def dedupe_stations(stations: DataFrame) -> DataFrame:
-    """One row per station name: the one with the lowest ``station_id``.
+    """One row per station name: the one with the lowest ``station_id``, then latitude, then longitude (nulls first).
 
-    Written as an aggregate (``min`` of a struct led by the id) rather
-    than a window so it combines map-side: a name repeated by a third of
+    The rank limit applies before the shuffle too: a name repeated by a third of
     all stops still leaves each task one row per name, and the survivor
     is deterministic under task retries.
     """
-    best = F.min(F.struct("station_id", "station_lat", "station_long")).alias("_best")
-    return stations.groupBy("station_name").agg(best).select(
-        F.col("_best.station_id").alias("station_id"),
-        "station_name",
-        F.col("_best.station_lat").alias("station_lat"),
-        F.col("_best.station_long").alias("station_long"),
-    )
+    order = Window.partitionBy("station_name").orderBy(*(F.col(c).asc_nulls_first() for c in ("station_id", "station_lat", "station_long")))
+    return stations.withColumn("_place", F.row_number().over(order)).where("_place = 1").select(*STATION_COLUMNS)
 
 
 def load_stations(stops: DataFrame, token: str | None = None) -> DataFrame:

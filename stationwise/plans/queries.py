@@ -20,8 +20,7 @@ from stationwise.operators import (
     cast_types,
     clean_properties,
     derive_values,
-    detail_by_name,
-    dq_report,
+    dq_report_by_code,
     enrich_properties,
     filter_counts,
     filter_valid,
@@ -30,6 +29,7 @@ from stationwise.operators import (
     gold_overview,
     load_stations,
     nearest_station,
+    of_named,
     preview_properties,
     rename_columns,
     serve_one,
@@ -46,6 +46,7 @@ from stationwise.sources import fixtures as fx
 Query = Callable[[SparkSession, str], DataFrame]
 
 SERVE_CODE = "2"
+SERVE_NAME = "Kitsilano"
 SERVE_MIN_PROPERTIES = 500
 SERVE_SORT = "avg_distance_to_station_km"
 
@@ -166,7 +167,7 @@ def q_filter_counts(spark, sf):
 
 
 def q_dq_report(spark, sf):
-    return dq_report(_clean(spark, sf), _enriched(spark, sf))
+    return dq_report_by_code(_clean(spark, sf), nearest_station(fx.centroids(spark, sf), _stations(spark, sf)))
 
 
 def q_gold_detail(spark, sf):
@@ -186,7 +187,7 @@ def q_top_neighbourhoods(spark, sf):
 
 
 def q_detail_by_name(spark, sf):
-    return detail_by_name(gold_detail(_enriched(spark, sf), order=False))
+    return gold_detail(of_named(_enriched(spark, sf), SERVE_NAME), order=False)
 
 
 def q_preview_properties(spark, sf):
