@@ -15,8 +15,8 @@ stands if its probability reaches that and the unit holds at least
 
 Native: training data, features, scores and comparison are DataFrame
 expressions and Spark's own regression; the scan is one projection over the
-documents, without shuffle or join. Only units with an anchor word are scored;
-without one a prediction cannot stand, so no unit is lost. A notice without sentence ends
+documents, without shuffle or join. Only units with an anchor word that some template gives ``LEAST_SHARE`` are scored;
+without both a prediction cannot stand, so no unit is lost. A notice without sentence ends
 among other lines of its paragraph is seen with those lines only.
 
 Edge cases: null and empty texts have no unit; equal texts have equal results;
@@ -28,6 +28,8 @@ result column whose name is taken gets a trailing ``_``.
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,23 +43,40 @@ TEMPLATES = {
         "You may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
-        "SPDX-License-Identifier: Apache-2.0",
     ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "Distributed under the BSD 3-Clause License.",
-        "SPDX-License-Identifier: BSD-3-Clause",
+        "Licensed under the BSD 2-Clause License.",
+    ],
+    "boost": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license to use, reproduce, display, distribute, execute, and transmit the Software.",
+    ],
+    "agpl": [
+        "This program is licensed under the GNU Affero General Public License, version 3.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+    ],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution.",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Released under the ISC License.",
     ],
     "cc-by": [
+        "Dieses Werk ist lizenziert unter einer Creative Commons Namensnennung 4.0 International Lizenz.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Licensed under CC BY 4.0.",
-        "SPDX-License-Identifier: CC-BY-4.0",
     ],
     "cc-by-nc": [
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Licensed under CC BY-NC 4.0.",
-        "SPDX-License-Identifier: CC-BY-NC-4.0",
     ],
     "cc-by-sa": [
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
@@ -68,24 +87,20 @@ TEMPLATES = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
         "You should have received a copy of the GNU General Public License along with this program.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
     "lgpl": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License.",
         "Licensed under the GNU Lesser General Public License, version 2.1.",
-        "SPDX-License-Identifier: LGPL-2.1-only",
     ],
     "mit": [
         "Released under the MIT License.",
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
-        "SPDX-License-Identifier: MIT",
     ],
     "mpl-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "If a copy of the MPL was not distributed with this file, you can obtain a copy of the License at http://mozilla.org/MPL/2.0/.",
-        "SPDX-License-Identifier: MPL-2.0",
     ],
     "proprietary": [
         "All rights reserved.",
@@ -94,15 +109,35 @@ TEMPLATES = {
     "public-domain": [
         "This is free and unencumbered software released into the public domain.",
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
-        "SPDX-License-Identifier: CC0-1.0",
     ],
 }
+#: Public identifiers of licences by family; each is a notice ``SPDX-License-Identifier: ...`` too. Fixed values.
+IDENTIFIERS = {
+    "agpl": ["AGPL-3.0-only", "AGPL-3.0-or-later"],
+    "apache-2.0": ["Apache-2.0"],
+    "boost": ["BSL-1.0"],
+    "bsd": ["BSD-2-Clause", "BSD-3-Clause", "0BSD"],
+    "cc-by": ["CC-BY-3.0", "CC-BY-4.0"],
+    "cc-by-nc": ["CC-BY-NC-4.0"],
+    "cc-by-sa": ["CC-BY-SA-3.0", "CC-BY-SA-4.0"],
+    "epl": ["EPL-1.0", "EPL-2.0"],
+    "gpl": ["GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later"],
+    "isc": ["ISC"],
+    "lgpl": ["LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "mit": ["MIT"],
+    "mpl-2.0": ["MPL-2.0"],
+    "public-domain": ["CC0-1.0", "Unlicense"],
+}
+for _family, _names in IDENTIFIERS.items():
+    TEMPLATES[_family] += [f"SPDX-License-Identifier: {x}" for x in _names]
 UNKNOWN = "unknown"
 FAMILIES = [*sorted(TEMPLATES), UNKNOWN]
 #: Each template holds one of these.
-ANCHORS = r"(?i)licen[cs]e|copyright|rights reserved|public domain|redistribution|permission notice|permission is hereby"
+ANCHORS = r"(?i)licen[cs]e|lizenz|copyright|rights reserved|public domain|redistribution|permission notice|permission is hereby|specific prior written permission|permission to use"
 #: The same in wrapped texts: comment marks may stand at a line's begin.
 WRAPPED = ANCHORS.replace(" ", r"[\s#/*;%>!-]+")
+#: One of these is in every text that has an anchor (a cheap look before the pattern).
+STEMS = ("licen", "lizenz", "copyright", "reserved", "domain", "redistribution", "permission")
 #: Comment marks at a line's begin and end.
 MARKS = r"(?m)^[ \t]*(?:[#;%>*!]+|//+|/\*+|--+|<!--+)[ \t]*|[ \t]*(?:\*/|-->)?[ \t\r]*$"
 BUCKETS = 1024
@@ -152,17 +187,23 @@ def joined_of(paragraph) -> F.Column:
     """Sentences of a paragraph of several lines, and pairs of neighbouring ones."""
     # a word broken at its hyphen is one word again
     sentences = F.split(_flat(F.regexp_replace(paragraph, r"(?<=\p{L}-)\n\s*", "")), r"(?<=[.!?]) ")
-    pairs = F.transform(sentences, lambda x, i: F.concat_ws(" ", x, F.get(sentences, i + 1)))
-    return F.when(paragraph.contains("\n"), F.array_distinct(F.concat(sentences, pairs))).otherwise(F.array().cast("array<string>"))
+    both = _let(sentences, lambda s: F.array_distinct(F.concat(s, F.transform(s, lambda x, i: F.concat_ws(" ", x, F.get(s, i + 1))))))
+    return F.when(paragraph.contains("\n"), both).otherwise(F.array().cast("array<string>"))
 
 
 def paragraph_units(text) -> F.Column:
     """(unit, joined) of each paragraph that has an anchor word."""
     paragraphs = F.filter(F.split(F.regexp_replace(text, MARKS, ""), r"\n\s*\n"), lambda p: p.rlike(WRAPPED))
 
+    def anchored(units):
+        return F.filter(units, lambda u: u.rlike(ANCHORS))
+
+    def marked(units, joined):
+        return F.transform(units, lambda u: F.struct(u.alias("unit"), F.lit(joined).alias("joined")))
+
     def of(p):
-        lines, joined = (F.filter(x, lambda u: u.rlike(ANCHORS)) for x in (units_of(p), joined_of(p)))
-        return F.concat(F.transform(lines, lambda u: F.struct(u.alias("unit"), F.lit(False).alias("joined"))), F.transform(joined, lambda u: F.struct(u.alias("unit"), F.lit(True).alias("joined"))))
+        # a joined unit that is a line is that line
+        return _let(anchored(units_of(p)), lambda lines: F.concat(marked(lines, False), marked(F.array_except(anchored(joined_of(p)), F.transform(lines, _flat)), True)))
 
     return F.transform(paragraphs, of)
 
@@ -249,17 +290,34 @@ def scan(docs: DataFrame, model: dict) -> DataFrame:
     none = F.array().cast("array<array<struct<unit:string,joined:boolean>>>")
     family = F.array(*map(F.lit, FAMILIES))
 
-    def share(grams, f):
-        own = F.filter(templates, lambda t: t["f"] == f)
-        return F.coalesce(F.array_max(F.transform(own, lambda t: F.size(F.array_intersect(t["g"], grams)) / F.size(t["g"]))), F.lit(0.0))
+    def shares(grams):
+        """(share, family's place) by template."""
+        return F.transform(templates, lambda t: F.struct((F.size(F.array_intersect(t["g"], grams)) / F.size(t["g"])).alias("share"), t["f"].alias("f")))
+
+    def scored(unit):
+        """The unit's probability, family, and share of that family's templates."""
+        probabilities = _let(_logits(buckets_of(unit["grams"]), weights, intercepts), lambda z: _softmax(z, model["temperature"]))
+
+        def of(p):
+            f = (F.array_position(p, F.array_max(p)) - 1).cast("int")
+            own = _let(f, lambda f: F.array_max(F.transform(F.filter(unit["shares"], lambda s: s["f"] == f), lambda s: s["share"])))
+            return F.struct(F.coalesce(own, F.lit(0.0)).alias("share"), F.array_max(p).alias("probability"), F.element_at(family, f + 1).alias("family"))
+
+        return _let(probabilities, of)
 
-    # step by step, so that each value is computed once
+    # Step by step, so that each value is computed once. A unit stands only if some template gives it the share
+    # that confirms a prediction, so the others, most of them, need no prediction: they are unknown.
     every = lambda body: F.transform(work, lambda units: F.transform(units, body))
-    rows = docs.withColumn(work, F.when(F.col("text").rlike(WRAPPED), paragraph_units(F.col("text"))).otherwise(none))
+    low = F.lower("text")
+    may = reduce(or_, (F.contains(low, F.lit(x)) for x in STEMS))
+    rows = docs.withColumn(work, F.when(may, F.when(F.col("text").rlike(WRAPPED), paragraph_units(F.col("text")))).otherwise(none))
+    rows = rows.withColumn(work, F.coalesce(work, none))
     rows = rows.withColumn(work, every(lambda x: x.withField("grams", _let(words_of(x["unit"]), grams_of))))
-    rows = rows.withColumn(work, every(lambda x: x.withField("p", _let(_logits(buckets_of(x["grams"]), weights, intercepts), lambda z: _softmax(z, model["temperature"])))))
-    rows = rows.withColumn(work, every(lambda x: x.withField("f", (F.array_position(x["p"], F.array_max(x["p"])) - 1).cast("int"))))
-    rows = rows.withColumn(work, every(lambda x: F.struct(share(x["grams"], x["f"]).alias("share"), F.array_max(x["p"]).alias("probability"), F.element_at(family, x["f"] + 1).alias("family"), x["unit"].alias("unit"), x["joined"].alias("joined"))))
+    rows = rows.withColumn(work, every(lambda x: x.withField("shares", shares(x["grams"]))))
+    nothing = F.struct(F.lit(0.0).alias("share"), F.lit(0.0).alias("probability"), F.lit(UNKNOWN).alias("family"))
+    can = lambda x: F.array_max(x["shares"])["share"] >= LEAST_SHARE
+    rows = rows.withColumn(work, every(lambda x: x.withField("s", F.when(can(x), scored(x)).otherwise(nothing))))
+    rows = rows.withColumn(work, every(lambda x: F.struct(x["s"]["share"].alias("share"), x["s"]["probability"].alias("probability"), x["s"]["family"].alias("family"), x["unit"].alias("unit"), x["joined"].alias("joined"))))
 
     def stands(x):
         return (x["family"] != UNKNOWN) & (x["probability"] >= model["least"]) & (x["share"] >= LEAST_SHARE)

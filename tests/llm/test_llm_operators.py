@@ -446,3 +446,45 @@ def test_classifier_learns_and_scores(spark, docs, empty, clashing):
     _same_extras(nbsvm.score(clashing, model), clashing)
     none = nbsvm.train(df, labels.limit(0), held)
     assert {r["score"] for r in nbsvm.score(docs, none).collect()} == {0.5}
+
+
+def test_license_share_and_score_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    families = licenses.FAMILIES
+    weights = rng.normal(0, 0.05, (licenses.BUCKETS, len(families)))
+
+    def grams(text):
+        words = re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", text.lower())
+        return {" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)}
+
+    for family in ("mit", "bsd", "gpl"):
+        intercepts = np.array([6.0 if f == family else 0.0 for f in families])
+        model = {"weights": weights.tolist(), "intercepts": intercepts.tolist(), "temperature": 1.5, "least": 0.0}
+        texts = [" ".join(t.split()[:k]) for t in licenses.TEMPLATES[family] for k in range(1, 1 + len(t.split()), 2)]
+        texts = [t for t in texts if len(t.split()) <= licenses.LONG_LINE]
+        want = []
+        for t in texts:
+            logits = (weights[sorted({xxhash.xxh64_intdigest(g, 42) % licenses.BUCKETS for g in grams(t)})].sum(0) + intercepts) / 1.5
+            p = np.exp(logits - logits.max())
+            share = max(len(grams(x) & grams(t)) / len(grams(x)) for x in licenses.TEMPLATES[family])
+            stands = re.search(licenses.ANCHORS, t) and share >= licenses.LEAST_SHARE and families[int(p.argmax())] == family
+            want.append((round(share, 9), round(float(p.max() / p.sum()), 9)) if stands else None)
+        rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = [r["licenses"] for r in licenses.scan(rows, model).orderBy("doc_id").collect()]
+        assert [(round(x[0]["share"], 9), round(x[0]["probability"], 9)) if x else None for x in got] == want
+        assert any(want) and not all(want)
+
+
+def test_licenses_of_further_families(spark, docs):
+    notices = {
+        "bsd": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "gpl": "// SPDX-License-Identifier: GPL-2.0-only",
+        "agpl": "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "epl": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "boost": "Distributed under the Boost Software License, Version 1.0.",
+        "isc": "Released under the ISC License.",
+        "cc-by": "Dieses Werk ist lizenziert unter einer Creative Commons Namensnennung 4.0 International Lizenz.",
+    }
+    got = licenses.scan(spark.createDataFrame(list(notices.items()), "want string, text string"), licenses.train(docs)).collect()
+    assert {r["want"]: r["license"] for r in got} == {f: f for f in notices}
+    assert all(any(x in t.lower() for x in licenses.STEMS) for ts in licenses.TEMPLATES.values() for t in ts)
