@@ -26,9 +26,9 @@ from .common import append_columns, free_names
 MIN_WORDS = 50
 MAX_REPEAT_WORDS = 0.5
 SYMBOLS = b"#*$%&|<>"
-#: Greatest share of word characters inside repeated n-grams, by n: half, as the base rule has it for words, so that a short
-#: text that ends with its own headline, and is good otherwise, stays. And inside the later copies of repeated lines.
-NGRAM_LIMITS = {n: 0.50 for n in (5, 6, 7, 8, 9, 10)}
+#: Greatest share of word characters inside repeated n-grams, by n: the longer what repeats, the less of it. At 5 words half,
+#: as the base rule has it for words; a short text that ends with its own headline stays. And inside the later copies of repeated lines.
+NGRAM_LIMITS = {5: 0.50, 6: 0.46, 7: 0.42, 8: 0.38, 9: 0.34, 10: 0.30}
 LINE_LIMIT = 0.30
 #: Greatest number of symbols for each word (a published rule for web text).
 SYMBOL_LIMIT = 0.10
@@ -148,6 +148,6 @@ f AS (SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coale
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND n_symbols <= 0.10::DOUBLE * n_words AND dup_chars::DOUBLE / word_chars <= 0.30::DOUBLE AND c5::DOUBLE / word_chars <= 0.50::DOUBLE
-       AND c6::DOUBLE / word_chars <= 0.50::DOUBLE AND c7::DOUBLE / word_chars <= 0.50::DOUBLE AND c8::DOUBLE / word_chars <= 0.50::DOUBLE
-       AND c9::DOUBLE / word_chars <= 0.50::DOUBLE AND c10::DOUBLE / word_chars <= 0.50::DOUBLE AS kept FROM b
+       AND c6::DOUBLE / word_chars <= 0.46::DOUBLE AND c7::DOUBLE / word_chars <= 0.42::DOUBLE AND c8::DOUBLE / word_chars <= 0.38::DOUBLE
+       AND c9::DOUBLE / word_chars <= 0.34::DOUBLE AND c10::DOUBLE / word_chars <= 0.30::DOUBLE AS kept FROM b
 """

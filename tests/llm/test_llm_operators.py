@@ -488,3 +488,16 @@ def test_licenses_of_further_families(spark, docs):
     got = licenses.scan(spark.createDataFrame(list(notices.items()), "want string, text string"), licenses.train(docs)).collect()
     assert {r["want"]: r["license"] for r in got} == {f: f for f in notices}
     assert all(any(x in t.lower() for x in licenses.STEMS) for ts in licenses.TEMPLATES.values() for t in ts)
+
+
+def test_only_the_ngram_limits_reject():
+    """Texts that pass the base rule, the line and the symbol limit, and are rejected at one n-gram length alone."""
+    short = iter(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200))
+    passages = [[f"longword{p}{chr(97 + j)}xyz" for j in range(5)] for p in range(4)]
+    five = [w for p in passages * 2 for w in [*p, *(next(short) for _ in range(7))]]
+    ten = [f"rep{chr(97 + j)}" for j in range(10)]
+    tens = [*ten, *(next(short) + "x" for _ in range(20)), *ten, *(next(short) + "x" for _ in range(20))]
+    for words, only in ((five, 5), (tens, 10)):
+        n_words, _, symbols, _, repeat, shares, lines = repetition.measure(" ".join(words).encode())
+        assert n_words >= repetition.MIN_WORDS and 2 * repeat <= n_words and not symbols and not lines
+        assert [n for n, x in zip(repetition.NGRAM_LIMITS, shares, strict=True) if x > repetition.NGRAM_LIMITS[n]] == [only]
