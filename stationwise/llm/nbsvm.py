@@ -2,14 +2,14 @@
 
 Features are n-gram indicators: words and word pairs, and singles, pairs and triples
 of word shapes (case, digits, punctuation, "same word again"), hashed into ``BUCKETS``. The fit takes a
-bounded, hash-ordered sample of at most ``SAMPLE_ROWS`` labelled rows outside
+bounded, hash-ordered sample of at most ``SAMPLE_ROWS`` labelled rows, each whole, outside
 the held-out third; their class counts give each bucket's log-count ratio,
 which scales its indicator; dual coordinate descent then fits the hinge loss,
 classes weighted to equal sums, on rows scaled to length one. A slope fitted
 on the sample turns margins into probabilities; the sign of the margin decides.
 
 Only the sample's feature numbers meet in one task (bounded by ``SAMPLE_ROWS``
-x ``ROW_FEATURES``); the model is one vector of ``BUCKETS`` floats, broadcast.
+and ``SAMPLE_FEATURES``); the model is one vector of ``BUCKETS`` floats, broadcast.
 Every document is scored whole, where it lies, without a shuffle.
 
 Edge cases: null and empty texts have no features and score by the bias alone;
@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, chunks, crc32_of, cut, free_names
+from .common import append_columns, chunks, crc32_of, cut, free_names, stored
 
 BITS = 18
 BUCKETS = 1 << BITS
-#: Labelled rows that the model is fitted on at most, and features of one row that the fit uses at most.
+#: Labelled rows that the model is fitted on at most, and features that they have together at most. Rows are taken whole, in hash order.
 SAMPLE_ROWS = 6_000
-ROW_FEATURES = 4_096
+SAMPLE_FEATURES = 16_000_000
 EPOCHS = 8
 COST = 1.0
 ALPHA = 1.0
@@ -53,7 +53,7 @@ class _Words(dict):
 
         if len(self) >= MEMORY:
             self.clear()
-        shape = _RUN.sub(rb"\1", word.translate(_CLASS)[:64])
+        shape = _RUN.sub(rb"\1", word.translate(_CLASS))
         self[word] = pair = (xxhash.xxh64_intdigest(word.lower()), xxhash.xxh64_intdigest(shape, 1))
         return pair
 
@@ -120,7 +120,7 @@ def _fit(rows: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return ratio, w, bias, min(loss)[1]
 
 
-def train(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_ROWS, text: str = "text") -> dict:
+def train(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES, text: str = "text") -> dict:
     """The model, from the ``quality`` labels of rows for which ``held_out`` (a condition on ``doc_id``) is not true."""
     spark = docs.sparkSession
     one = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out).groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("q2"))
@@ -134,10 +134,8 @@ def train(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPL
             at = 0
             for texts in chunks(batch.column(1)):
                 found = [features(t, known) for t in texts]
-                # a longer row keeps every k-th of its sorted features: the bound on what the fit's one task holds
-                short = [x if len(x) <= ROW_FEATURES else x[:: -(-len(x) // ROW_FEATURES)] for x in found]
                 n = len(texts)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), batch.column(2).slice(at, n).cast(pa.int32()), pa.array([x.astype("<i4").tobytes() for x in short], pa.binary())], names=["doc_id", "q", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), batch.column(2).slice(at, n).cast(pa.int32()), pa.array([x.astype("<i4").tobytes() for x in found], pa.binary())], names=["doc_id", "q", "x"])
                 at += n
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
@@ -146,8 +144,13 @@ def train(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = SAMPL
         ratio, w, bias, slope = _fit([np.frombuffer(x, "<i4") for x in rows["x"]], y) if len(set(y)) == 2 else (np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 1.0)
         return pd.DataFrame({"ratio": [ratio.astype("<f4").tobytes()], "w": [w.astype("<f4").tobytes()], "bias": [bias], "slope": [slope]})
 
-    # rows that share a labelled id could exceed the bound: the sample is cut again by id and content
-    bounded = taken.mapInArrow(featured, "doc_id long, q int, x binary").orderBy(F.xxhash64("doc_id", "x"), "doc_id").limit(sample_rows)
+    # rows equal in id and features are learned from once; of the others those first in hash order, whole, as far as the bounds go
+    rows = taken.mapInArrow(featured, "doc_id long, q int, x binary").withColumn("h", F.xxhash64("doc_id", "x")).dropDuplicates(["h"])
+    rows = stored(rows, "nbsvm-rows")
+    sizes = rows.select("h", (F.length("x") / 4).cast("long").alias("n")).orderBy("h").limit(sample_rows).collect()
+    upto = np.cumsum([r["n"] for r in sizes])
+    k = max(1, int(np.searchsorted(upto, sample_features, "right")))
+    bounded = rows.where(F.col("h") <= (sizes[min(k, len(sizes)) - 1]["h"] if sizes else 0)).drop("h")
     got = bounded.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "ratio binary, w binary, bias double, slope double").first()
     if got is None:
         return {"weights": np.zeros(BUCKETS), "squares": np.zeros(BUCKETS), "bias": 0.0, "slope": 1.0}
