@@ -19,7 +19,8 @@ written table do (retried tasks included); store anything else first. A task
 of the second pass whose count differs from the index stops the job.
 
 Edge cases: a null text or one without tokens has no sequence; equal texts get
-sequences of their own; an empty table writes no shard; extra columns are not stored.
+sequences of their own; an empty table writes no shard; extra columns are not stored. Ids are
+integers. Bytes that are not UTF-8 are tokenised as U+FFFD, which is what a reader gets back.
 """
 
 from __future__ import annotations
@@ -99,7 +100,7 @@ def _tokens(docs: DataFrame, vocabulary: str, batch_rows, schema: str) -> DataFr
         for batch in batches:
             at = 0
             for texts in chunks(batch.column(1)):
-                rows = [(doc, [*encode(text.decode()), END]) for doc, text in zip(batch.column(0).slice(at, len(texts)).to_pylist(), texts, strict=True) if text]
+                rows = [(doc, [*encode(text.decode("utf-8", "replace")), END]) for doc, text in zip(batch.column(0).slice(at, len(texts)).to_pylist(), texts, strict=True) if text]
                 at += len(texts)
                 made, place = batch_rows(part, place, rows)
                 yield made
