@@ -28,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -286,7 +286,7 @@ def drop_near_copies(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_
     """One document of each component, the one with the least id (of equal ids the text with the least hash), with its own columns.
 
     Rows are named by id and a 64-bit hash of the text; only the names of the
-    dropped ones meet the documents again. Rows that share both leave one row.
+    dropped ones meet the documents again. Rows that share both leave one row, the least by their other columns as JSON.
     """
     name, h = free_names(docs, "simhash_id", "simhash_h")
     keyed = docs.select("doc_id", F.col("text"), F.xxhash64("text").alias("h"))
@@ -303,7 +303,10 @@ def drop_near_copies(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_
         return marked
     many = many.select(F.col("doc_id").alias(name), F.col("h").alias(h))
     on = F.col("doc_id").eqNullSafe(F.col(name)) & (F.xxhash64("text") == F.col(h))
-    again = marked.join(many, on, "left_semi").dropDuplicates(["doc_id", "text"])
+    # a rank limit applies before the shuffle too, however many rows are equal
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    place = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(F.to_json(F.struct(F.lit(0).alias("_"), *others))))
+    again = marked.join(many, on, "left_semi").withColumn(name, place).where(F.col(name) == 1).drop(name)
     return marked.join(many, on, "left_anti").unionByName(again)
 
 

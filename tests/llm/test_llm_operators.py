@@ -501,3 +501,54 @@ def test_only_the_ngram_limits_reject():
         n_words, _, symbols, _, repeat, shares, lines = repetition.measure(" ".join(words).encode())
         assert n_words >= repetition.MIN_WORDS and 2 * repeat <= n_words and not symbols and not lines
         assert [n for n, x in zip(repetition.NGRAM_LIMITS, shares, strict=True) if x > repetition.NGRAM_LIMITS[n]] == [only]
+
+
+def test_dual_descent_minimises_the_hinge_loss():
+    rng = np.random.default_rng(6)
+    ratio = rng.normal(0, 1, 30)
+    rows = [np.sort(rng.choice(30, rng.integers(3, 12), replace=False)).astype(np.int32) for _ in range(60)]
+    y = np.where(np.array([ratio[x].sum() for x in rows]) + rng.normal(0, 1.5, 60) > 0, 1.0, -1.0)
+    w, bias = nbsvm.descend(rows, y, ratio, epochs=3000)
+    design = np.zeros((60, 31))
+    for i, x in enumerate(rows):
+        design[i, x] = ratio[x] / np.sqrt((ratio[x] ** 2).sum())
+    design[:, 30] = 1.0
+    bound = len(y) / (2.0 * np.where(y > 0, (y > 0).sum(), (y < 0).sum()))
+
+    def loss(v):
+        return 0.5 * v @ v + (bound * np.maximum(0.0, 1.0 - y * (design @ v))).sum()
+
+    best = np.append(w, bias)
+    assert all(loss(best) <= loss(best + rng.normal(0, size, 31)) + 1e-6 for size in (1e-3, 1e-2, 0.1, 1.0) for _ in range(300))
+
+
+def test_classifier_learns_from_whole_rows_within_bounds(spark, monkeypatch):
+    rng = random.Random(9)
+    df = spark.createDataFrame([(i, _text(rng, 400 if i % 5 == 0 else 30)) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(nbsvm, "stored", lambda rows, name: (seen.append(rows.collect()), rows)[1])
+    held = F.lit(False)
+    nbsvm.train(df, labels, held)
+    sizes = {r["doc_id"]: len(r["x"]) // 4 for r in seen[0]}
+    known = nbsvm._Words()
+    assert sizes == {r["doc_id"]: len(nbsvm.features(r["text"].encode(), known)) for r in df.collect()}
+    some = nbsvm.train(df, labels, held, sample_features=sum(sizes.values()) // 3)
+    assert some["squares"].any() and not np.array_equal(some["weights"], nbsvm.train(df, labels, held)["weights"])
+    long = [b"a" * 64 + b"1", b"a" * 64 + b"B"]  # shapes of whole words
+    assert len({known[x][1] for x in long}) == 2
+
+
+def test_token_index_of_other_bytes(spark):
+    docs = spark.sql("select 1L as doc_id, cast(unhex('61ff62') as string) as text")
+    same = spark.createDataFrame([(1, "a\ufffdb")], "doc_id long, text string")
+    assert tokens.sequence_index(docs).drop("part").collect() == tokens.sequence_index(same).drop("part").collect()
+
+
+def test_equal_rows_leave_the_least_by_their_other_columns(spark):
+    rows = [(1, "one two three four five six", x, n) for x, n in (("b", 1), ("a", 2), ("a", 1), (None, 5), ("c", 0))] * 3 + [(2, "something else that is far away from it", "z", 1)]
+    for order in (rows, rows[::-1]):
+        kept = simhash.drop_near_copies(spark.createDataFrame(order, "doc_id long, text string, shard string, simhash_id int").repartition(4))
+        assert kept.columns == ["doc_id", "text", "shard", "simhash_id"]
+        got = sorted(map(tuple, kept.collect()))
+        assert len(got) == 2 and got[0][2:] == ("a", 1)
