@@ -63,7 +63,7 @@ TEMPLATES = {
     ],
     "epl": [
         "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
-        "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution.",
     ],
     "isc": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",

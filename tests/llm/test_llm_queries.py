@@ -76,3 +76,18 @@ def test_pipeline_on_empty_tables(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SF}/benchmark.parquet").limit(0).write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_with_nulls_repeats_and_clashing_columns(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    some = docs.limit(60).selectExpr("*", "'mine' AS shard", "n_chars AS size", "lang AS fp")
+    more = some.limit(9).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "CAST(NULL AS STRING) AS lang", "CAST(NULL AS STRING) AS source", "n_chars", "shard", "size", "fp")
+    empty = some.limit(4).selectExpr("doc_id", "CAST(NULL AS STRING) AS text", "lang", "source", "n_chars", "shard", "size", "fp")
+    some.unionByName(some).unionByName(more).unionByName(more).unionByName(empty).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.columns[: len(some.columns)] == some.columns and got.columns[len(some.columns) :] == ["shard_"]
+    rows = got.collect()
+    assert rows and {r["shard"] for r in rows} == {"mine"} and all(r["text"] for r in rows)
+    kept = {r["doc_id"] for r in rows}
+    assert kept <= {r["doc_id"] for r in some.collect()} | {None}
