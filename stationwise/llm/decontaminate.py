@@ -6,10 +6,13 @@ maps straight back to the original text. The automaton's letters are word
 numbers: a benchmark word has a number, any other word is 0. Every text is
 scanned once, whole.
 
-Documents are not shuffled. The windows go to the tasks in blocks of at most
-``BLOCK_BYTES`` (measured before they are collected); a benchmark of one block,
-the usual case, is one pass, and a larger one takes a pass over the documents for
-each block, with a reliable checkpoint between passes.
+One automaton holds all windows if they take at most ``block_bytes`` (measured before
+they are collected), and the documents, which are not shuffled, are scanned once. An
+automaton needs about ``AUTOMATON_BYTES`` of a Python worker's memory for each byte of
+windows, so the default takes some 450 MB. The windows of a larger benchmark
+are dealt over several blocks: for each, the text column is scanned for (digest of the text, items,
+word ranges) of texts with hits, the only rows that are kept, once for equal texts; they
+meet the documents again in one join. No step writes a document or its text.
 
 Edge cases: a null or empty text has no words and is never hit; a null or empty
 item has no window; an item without an id makes hits but has no id to report;
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, chunks, cut, free_names
+from .common import append_columns, chunks, free_names, stored
 
 WINDOW = 10
 #: Most bytes of windows and item ids in one automaton.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 32 << 20
+#: Bytes of memory that an automaton and its windows take for each byte of windows: 13 measured over 8 MB.
+AUTOMATON_BYTES = 14
 
 #: Byte for byte: A-Z to a-z; 0-9, a-z and the bytes of non-ASCII characters stay; the rest to space.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -111,65 +117,88 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     count, held, items, spans = free_names(docs, "n_words", "n_hit", "items", "spans")
     ranges_type = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     fields = [T.StructField(count, T.LongType()), T.StructField(held, T.LongType()), T.StructField(items, T.ArrayType(T.StringType())), T.StructField(spans, ranges_type)]
-    whole = docs
-    found: list[list[str]] = []
-    for b in range(blocks):
-        part = windows.where(F.pmod("h", F.lit(blocks)) == b).select("item", "words")
-        block, name = spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in part.collect()]), uuid.uuid4().hex
-
-        def make(block=block, name=name):
-            vocabulary, automaton = _automaton(name, block)
-            get = vocabulary.get
-
-            def work(texts):
-                out: list[list] = [[], [], [], []]
-                for body in texts:
-                    words = words_of(body)
-                    ranges, owners = [], set()
-                    if vocabulary and words:
-                        for end, (n, ids) in automaton.iter(tuple([get(w, 0) for w in words])):
-                            ranges.append((end + 1 - n, end + 1))
-                            owners.update(ids)
-                    ranges = _merged(ranges)
-                    out[0].append(len(words))
-                    out[1].append(sum(z - a for a, z in ranges))
-                    out[2].append(sorted(owners))
-                    out[3].append([{"start": a, "end": z} for a, z in (ranges if blocks > 1 else _places(body, ranges) if ranges else [])])
-                return out
-
-            return work
-
-        if b:
-            names = free_names(whole, *(f"{x}_{b}" for x in (count, held, items, spans)))
-            whole = cut(append_columns(whole, text, [T.StructField(n, f.dataType) for n, f in zip(names, fields, strict=True)], make))
-            found.append(names)
-        else:
-            whole = append_columns(whole, text, fields, make)
-            whole = cut(whole) if blocks > 1 else whole
-    return whole if blocks == 1 else _joined(docs, whole, text, [count, held, items, spans], found)
+    if blocks == 1:
+        scan = _scanner(spark, windows)
+
+        def make():
+            find = scan()
+            return lambda texts: _columns((body, *find(words_of(body))) for body in texts)
+
+        return append_columns(docs, text, fields, make)
+
+    met, met_key = free_names(docs, "benchmark_hits", "benchmark_hits_key")
+    windows = stored(windows, "benchmark-windows")
+    parts = [_hits(docs, text, _scanner(spark, windows.where(F.pmod("h", F.lit(blocks)) == b))) for b in range(blocks)]
+    hits = stored(reduce(DataFrame.unionByName, parts).distinct(), "benchmark-hits")
+    by_text = hits.groupBy("key").agg(F.collect_list(F.struct("items", "starts", "ends")).alias(met)).withColumnRenamed("key", met_key)
+    rows = docs.join(by_text, _text_key(F.col(text)) == F.col(met_key), "left").select(*(F.col(f"`{c}`") for c in docs.columns), met)
+
+    def unite():
+        def work(texts, found):
+            each = ([x for x in f or ()] for f in found)
+            return _columns((body, [r for x in f for r in zip(x["starts"], x["ends"], strict=True)], {i for x in f for i in x["items"]}) for body, f in zip(texts, each, strict=True))
+
+        return work
+
+    return append_columns(rows, text, fields, unite, beside=[met]).drop(met)
+
+
+def _text_key(text) -> F.Column:
+    return F.md5(text.cast("binary"))
 
 
-def _joined(docs: DataFrame, whole: DataFrame, text: str, first: list[str], rest: list[list[str]]) -> DataFrame:
-    """One result of several blocks: word ranges are united, then mapped to characters."""
-    count, held, items, spans = first
-    at = [whole.columns.index(c) for c in (text, count, items, spans, *(n[2] for n in rest), *(n[3] for n in rest))]
-    wanted = T.StructType([*docs.schema.fields, *(whole.schema[c] for c in first)])
-    keep, n_rest = [whole.columns.index(c) for c in docs.columns], len(rest)
+def _scanner(spark, windows: DataFrame):
+    """A function for tasks: it gives (word ranges, items) of a text's words, by one automaton over ``windows``."""
+    block, name = spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in windows.select("item", "words").collect()]), uuid.uuid4().hex
+
+    def scan():
+        vocabulary, automaton = _automaton(name, block)
+        get = vocabulary.get
+
+        def find(words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
+            ranges, owners = [], set()
+            if vocabulary and words:
+                for end, (n, ids) in automaton.iter(tuple([get(w, 0) for w in words])):
+                    ranges.append((end + 1 - n, end + 1))
+                    owners.update(ids)
+            return _merged(ranges), owners
+
+        return find
+
+    return scan
+
+
+def _hits(docs: DataFrame, text: str, scan) -> DataFrame:
+    """(key, items, starts, ends) of the texts with hits: digest of the text, item ids and word ranges."""
 
     def run(batches):
+        find = scan()
         for batch in batches:
-            columns = [batch.column(i) for i in at]
-            bodies = columns[0].cast(pa.large_binary())
-            out: list[list] = [[], [], []]
-            for i in range(batch.num_rows):
-                ranges = _merged((x["start"], x["end"]) for c in (columns[3], *columns[4 + n_rest :]) for x in c[i].as_py())
-                out[0].append(sum(z - a for a, z in ranges))
-                out[1].append(sorted({x for c in (columns[2], *columns[4 : 4 + n_rest]) for x in c[i].as_py()}))
-                out[2].append([{"start": a, "end": z} for a, z in (_places(bodies[i].as_py(), ranges) if ranges else [])])
-            made = [columns[1], *(pa.array(v, type=batch.column(whole.columns.index(c)).type) for v, c in zip(out, first[1:], strict=True))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), *made], names=wanted.names)
-
-    return whole.mapInArrow(run, wanted)
+            at = 0
+            for texts in chunks(batch.column(1)):
+                rows = []
+                for key, body in zip(batch.column(0).slice(at, len(texts)).to_pylist(), texts, strict=True):
+                    ranges, owners = find(words_of(body))
+                    if ranges:
+                        rows.append((key, sorted(owners), [a for a, _ in ranges], [z for _, z in ranges]))
+                at += len(texts)
+                kinds = (pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["key", "items", "starts", "ends"])
+
+    bodies = docs.select(_text_key(F.col(text)).alias("key"), F.col(text).cast("binary").alias("body"))
+    return bodies.mapInArrow(run, "key string, items array<string>, starts array<int>, ends array<int>")
+
+
+def _columns(found) -> list[list]:
+    """Result columns of (text, word ranges, items)."""
+    out: list[list] = [[], [], [], []]
+    for body, ranges, owners in found:
+        ranges = _merged(ranges)
+        out[0].append(len(words_of(body)))
+        out[1].append(sum(z - a for a, z in ranges))
+        out[2].append(sorted(owners))
+        out[3].append([{"start": a, "end": z} for a, z in (_places(body, ranges) if ranges else [])])
+    return out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from stationwise.llm import decontaminate, licenses, mix, nbsvm, repetition, shards, simhash, substring, surrogates, tokens
+from stationwise.llm import common, decontaminate, licenses, mix, nbsvm, repetition, shards, simhash, substring, surrogates, tokens
 
 WORDS = [a + b for a in ("ba", "Co", "di", "fé", "gu", "hal") for b in ("n", "r-t", "s.", "lo", "mö", "x1")]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -107,6 +107,23 @@ def test_decontaminate_equals_brute_force(docs, rows, benchmark, block_bytes):
         assert sum(len(_benchmark_words(r["text"][s["start"] : s["end"]])) for s in r["spans"]) == r["n_hit"]
 
 
+def test_thirty_blocks_write_no_text(spark, docs, rows, benchmark, monkeypatch):
+    written = []
+
+    def spy(df, name):
+        written.append((name, df.columns, df.count()))
+        return common.stored(df, name)
+
+    monkeypatch.setattr(decontaminate, "stored", spy)
+    one = decontaminate.find_contamination(docs, benchmark)
+    assert not written
+    size = decontaminate.item_windows(benchmark).selectExpr("sum(length(words) + coalesce(length(item), 0) + 16)").first()[0]
+    many = decontaminate.find_contamination(docs, benchmark, block_bytes=size // 29)
+    assert _sorted(one) == _sorted(many)
+    assert [(n, c) for n, c, _ in written] == [("benchmark-windows", ["item", "words", "h"]), ("benchmark-hits", ["key", "items", "starts", "ends"])]
+    assert 0 < written[1][2] <= 30 * len({r[1] for r in rows})
+
+
 def test_decontaminate_drops_and_keeps(docs, empty, clashing, benchmark, rows):
     kept = decontaminate.drop_contaminated(docs, benchmark)
     assert kept.columns == docs.columns and 0 < kept.count() < len(rows)
@@ -407,6 +424,20 @@ def test_remove_repeats(docs, rows, empty, clashing):
     _same_extras(substring.remove_repeats(clashing), clashing)
 
 
+def test_rows_equal_in_id_and_text_are_one_body(spark, rows):
+    # texts beside their copies in others: without an id, with an id that repeats, and with ids of their own
+    body, other = rows[12][1] + rows[14][1], rows[9][1]
+    hot = [(None, body)] * 60 + [(7, other)] * 40 + [(1000 + i, rows[13][1]) for i in range(20)]
+    hot += [(1, "a b " + body), (2, "c " + other + " d"), (3, rows[13][1] + " e")]
+    df = spark.createDataFrame(hot, "doc_id long, text string").repartition(7)
+    found = substring.find_repeats(df)
+    assert found.bodies.groupBy("key").count().where("count > 1").isEmpty() and found.bodies.count() <= 6
+    want = []
+    for r, w, hit in zip(hot, *_removed(hot, 35), strict=True):
+        want.append((r[0], len(w), len(hit), hashlib.sha256(" ".join(x for i, x in enumerate(w) if i not in hit).encode()).hexdigest()))
+    assert _sorted(substring.removal_digest(found).select("doc_id", "n_words", "n_removed", "kept_sha256")) == sorted(want, key=repr)
+
+
 def _covered(words, n):
     grams = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
     return {j for i in range(len(words) - n + 1) if grams[tuple(words[i : i + n])] > 1 for j in range(i, i + n)}
