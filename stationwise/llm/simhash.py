@@ -246,7 +246,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     def lower(pairs: DataFrame, both: bool) -> DataFrame:
         seen = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))) if both else pairs
-        least = seen.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # stored before it is joined: the join then deals both sides itself, and a hub's rows can be split
+        least = cut(seen.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         joined = seen.join(least, "u")
         moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("v") > F.col("u")).alias("upper"))
         kept = moved.where("upper") if both else moved.select("u", "v").unionByName(least.select("u", F.col("m").alias("v")))
@@ -276,8 +277,8 @@ def label(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_BITS, shard
     rows = cut(fingerprints(docs.select("doc_id", "text"), "text", width).select("doc_id", "fp"))
     linked = cut(clusters(rows, max_bits, shard_points))
     by_fp = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    rooted = by_fp.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    rooted = cut(by_fp.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    ids = cut(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
     named = cut(rooted.join(ids, "root").select("fp", "component_id"))
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
