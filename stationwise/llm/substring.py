@@ -4,7 +4,7 @@
    equal windows have equal anchors. Anchors are counted (map-side combined);
    one that occurs once cannot lie in a repeat, and documents with none but
    such are done. Texts that occur more than once are repeats as a whole; one
-   of them stands for all.
+   of them stands for all, also where rows are equal in id and text.
 2. Seeds: the other documents meet their repeated anchors again (a join on the
    text's digest). Each seed is extended both ways over the windows that it
    anchors: its reach. Reaches are compared by hash: equal reaches are repeats
@@ -13,7 +13,8 @@
    its distinct reaches are counted by (anchor, window) hash, which finds the exact
    ends of each repeat. Adjoining repeated windows make up the maximal repeats.
 
-No step pairs the members of a group: hot anchors, reaches and windows are counts,
+So extension is by counting: a match is not compared with each partner, it ends where the
+count of equal windows does. No step pairs the members of a group: hot anchors, reaches and windows are counts,
 joined back on their keys with plain joins that Spark can split. Hashes of reaches and windows are
 64 bits beside the anchor's 64.
 
@@ -138,19 +139,47 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Rep
 
     fields = [T.StructField("n_words", T.LongType()), T.StructField("sha256", T.StringType()), T.StructField("anchors", T.ArrayType(T.LongType()))]
     texts = stored(append_columns(docs, "text", fields, first_pass).drop("text"), "repeats-texts")
-    copies = stored(texts.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")), "repeats-copies")
-    first = texts.select("doc_id", "key", "anchors").join(_named(copies, "c_", "key", "first_id"), (F.col("key") == F.col("c_key")) & F.col("doc_id").eqNullSafe(F.col("c_first_id")))
+    named = texts.groupBy("key", "doc_id").agg(F.count("*").alias("n"))
+    same = F.coalesce(F.min_by("n", "doc_id"), F.sum("n")).alias("same")
+    copies = stored(named.groupBy("key").agg(F.sum("n").alias("copies"), F.min("doc_id").alias("first_id"), same), "repeats-copies")
+    first = texts.select("doc_id", "key", "anchors").join(_named(copies, "c_", "key", "first_id", "same"), (F.col("key") == F.col("c_key")) & F.col("doc_id").eqNullSafe(F.col("c_first_id")))
+    equal = not copies.where("same > 1").isEmpty()
+    first = _one_each(first, "c_same", equal, "key", "anchors")
     each = stored(first.select("key", F.explode("anchors").alias("a")), "repeats-anchors")
     # counts are stored before they are joined: the join then deals both sides itself, and a hot key can be split
     seeds = stored(each.groupBy("a").count().where("count > 1").select(F.col("a").alias("seed")), "repeats-seeds")
     wanted = each.join(seeds, F.col("a") == F.col("seed"), "left_semi").groupBy("key").agg(F.collect_set("a").alias("seeds")).join(copies, "key")
-    wanted = wanted.select(F.col("key").alias("w_key"), F.col("first_id").alias("w_id"), "seeds")
-    found = docs.join(wanted, (F.col("key") == F.col("w_key")) & F.col("doc_id").eqNullSafe(F.col("w_id"))).select("key", "text", "seeds")
-    bodies = stored(found, "repeats-bodies")
+    wanted = wanted.select(F.col("key").alias("w_key"), F.col("first_id").alias("w_id"), F.col("same").alias("w_same"), "seeds")
+    found = docs.join(wanted, (F.col("key") == F.col("w_key")) & F.col("doc_id").eqNullSafe(F.col("w_id")))
+    bodies = stored(_one_each(found, "w_same", equal, "key", "text", "seeds"), "repeats-bodies")
     spans = _spans(bodies, window, gram)
     return Repeats(texts.drop("anchors"), copies, spans, bodies, window)
 
 
+def _one_each(rows: DataFrame, same: str, equal: bool, *columns: str) -> DataFrame:
+    """``columns`` of ``rows``, of those with a ``same`` above 1 (rows equal in id and text) one for each key.
+
+    Such rows are first merged within each task, so that of a hot text only one row for a task is shuffled.
+    """
+    if not equal:
+        return rows.select(*columns)
+
+    def merge(batches):
+        seen: set[bytes] = set()
+        for batch in batches:
+            keep = []
+            for i, key in enumerate(batch.column(0).to_pylist()):
+                if key not in seen:
+                    if len(seen) >= MEMORY:
+                        seen.clear()
+                    seen.add(key)
+                    keep.append(i)
+            yield batch.take(pa.array(keep, pa.int64()))
+
+    many = rows.where(F.col(same) > 1).select(*columns)
+    return rows.where(F.col(same) == 1).select(*columns).unionByName(many.mapInArrow(merge, many.schema).dropDuplicates(["key"]))
+
+
 def _spans(bodies: DataFrame, window: int, gram: int) -> DataFrame:
     """(key, spans): repeated word ranges of each text."""
     schema = "key binary, begin int, n int, a long, reach long, windows array<bigint>"
