@@ -8,9 +8,14 @@ replacement in the whole corpus:
 
 - character classes (of any script), separators and country codes stay; card numbers that pass the Luhn check still do; hex stays hex;
   addresses lie below a reserved domain; octets stay octets;
-- names are replaced word by word ("Mr. John Smith" and "Mr. Smith" agree on Smith) by syllables of the
-  word's own script, the first of several words with an ending of the title's gender, capitals kept; a further
-  attempt has a syllable more, so there are always more names than entities.
+- names are replaced word by word by syllables of the word's own script, capitals kept; a further
+  attempt has a syllable more, so there are always more names than entities. A word is one entity whatever
+  its case, title and place ("Mr. John Smith", "Dr. John SMITH" and "Mr. John" agree): its ending is male or female
+  if all titles before which it is a first name have that gender, in the whole corpus, else neither.
+  Particles stay; an initial becomes another letter, the same for the same letter.
+
+A further mention of a name that a text holds after a title ("Mr. John Smith came. Later Smith left.") is
+replaced too, where the word stands alone with the same capitals; mentions are not counted as entities.
 
 Collision check: the distinct entities of the corpus (counted map-side, so a hot
 one is one row) are replaced, and a replacement that two entities share, or
@@ -18,8 +23,8 @@ that is itself an entity, is drawn again with a next attempt until none is left.
 From attempt 2 a form grows by one character with each attempt (an IPv4 address moves to the
 IPv6 documentation range instead), so it outgrows every entity and the space of forms outgrows their
 number: the loop ends also where a shape is used up or cannot change.
-The few entities with attempts above 0 are looked up while the texts are
-rewritten: within the row if they are at most ``INLINE``, else by a join.
+The few entities with attempts above 0, or with another gender than their place says, are looked up while
+the texts are rewritten: within the row if they are at most ``INLINE``, else by a join.
 
 Native: texts are split and rebuilt by DataFrame expressions, where they lie.
 
@@ -38,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import cut, free_names
 
 KEY = "surrogates-1"
-#: Entities with another attempt that are looked up within the row at most.
+#: Entities with another attempt or gender that are looked up within the row at most.
 INLINE = 500
 
 #: Titles by gender. Fixed values.
@@ -59,18 +64,29 @@ RANGES = [(0x4E00, 0x9FA5), (0xAC00, 0xD7A3), (0x3041, 0x3096), (0x30A1, 0x30FA)
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _ACCESS = r"\bAKIA[0-9A-Z]{16}\b"
-_SECRET = r"(?<=[=:\"']|[=:][ ]|[=:][ ][ ])(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)(?=[^\s\"',;=:]*[\p{L}\p{N}])[^\s\"',;=:]{6,}"
+_SECRET = r"(?<=[=:\"']|[=:][ ]|[=:][ ][ ])(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)[\"']?[ ]{0,2}[=:][ ]{0,2}[\"']?)(?=[^\s\"',;=:]*[\p{L}\p{N}])[^\s\"',;=:]{6,}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _IP = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
 _IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _CARD = r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])"
-_PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)"
-#: A telephone number's country code and the rest.
-_CODE = r"^(\+\d{1,3})?(.*)$"
+#: Groups of three; E.164; an area code and one long group; two-digit groups, after a country code or a 0.
+_PHONE = (
+    r"(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}"
+    r"|\+\d{8,15}|\+\d{1,3}[ .-]\(?\d{2,5}\)?[ .-]\d{5,8}|(?:\+\d{1,3}[ .-]\d{1,2}|0\d)(?:[ .-]\d{2}){4})(?!\d)"
+)
+#: A telephone number's country code (one and two digits: fixed values; else three) and the rest.
+_CODE = r"^(\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}))?(.*)$"
 _TITLE = "(?:" + "|".join(t for g in TITLES.values() for t in g) + r")\.?"
-_NAME = r"\p{Lu}[\p{L}'’-]+"
-_PERSON = rf"(?=\p{{L}})(?<!\p{{L}}){_TITLE} {_NAME}(?: {_NAME}){{0,2}}"
+#: Particles before a family name. Fixed values.
+PARTICLES = "al bin da de del della den der di du el ibn la le ten ter van vom von zu zum zur".split()
+#: A name word ends before a possessive 's.
+_NAME = r"\p{Lu}(?:\p{L}|-(?=\p{L})|['’](?!s(?!\p{L}))(?=\p{L}))+"
+_INITIALS = r"(?:\p{Lu}\.)+"
+_LESSER = rf"(?:(?:{_INITIALS}|{'|'.join(PARTICLES)}) ){{0,3}}"
+_PERSON = rf"(?=\p{{L}})(?<!\p{{L}}){_TITLE} {_LESSER}{_NAME}(?: {_LESSER}{_NAME}){{0,2}}"
+#: Kinds of a name word: a first name after a male or female title, any other. The entity is the word alone.
+NAME_KINDS = ["name", "name-m", "name-f"]
 #: Types in the order in which they claim a text.
 TYPES = {"email": _EMAIL, "access_key": _ACCESS, "secret": _SECRET, "ip": _IP, "ssn": _SSN, "card": _CARD, "iban": _IBAN, "phone": _PHONE, "person": _PERSON}
 #: Every type begins where no ASCII letter or digit stands before it: most places of a text fail at once.
@@ -96,11 +112,16 @@ def type_of(match) -> F.Column:
 
 def _canonical(kind, match) -> F.Column:
     phone = F.concat_ws(" ", F.nullif(F.regexp_extract(match, _CODE, 1), F.lit("")), F.regexp_replace(F.regexp_extract(match, _CODE, 2), r"\D", ""))
-    return F.when(kind == "email", F.lower(match)).when(kind == "phone", phone).when(kind.isin("card", "iban"), F.regexp_replace(match, r"[ -]", "")).otherwise(match)
+    return F.when(kind == "email", F.lower(match)).when(kind == "phone", phone).when(kind.isin("card", "iban"), F.regexp_replace(match, r"[ -]", "")).when(kind.isin(NAME_KINDS), F.lower(match)).otherwise(match)
+
+
+def _identity(kind) -> F.Column:
+    """The kind that makes up an entity with its canonical form."""
+    return F.when(kind.isin(NAME_KINDS), F.lit(NAME_KINDS[0])).otherwise(kind)
 
 
 def _digest(key: str, kind, canonical, attempt) -> F.Column:
-    return F.sha2(F.concat_ws("\u0001", F.lit(key), kind, attempt.cast("string"), canonical).cast("binary"), 512)
+    return F.sha2(F.concat_ws("\u0001", F.lit(key), _identity(kind), attempt.cast("string"), canonical).cast("binary"), 512)
 
 
 def _at(digest, i, n: int) -> F.Column:
@@ -173,35 +194,54 @@ def _email(match, digest, attempt, key: str) -> F.Column:
 
 
 def _word(word, kind, attempt, digest) -> F.Column:
-    """A name word of the same script, of three syllables and one more for each attempt above 0, with an ending by its kind (``given-m``, ``given-f``, ``given-n`` or ``family``)."""
+    """A name word of the same script, of three syllables and one more for each attempt above 0, with an ending by its kind (``NAME_KINDS``)."""
 
     def of(script: str) -> F.Column:
         syllables, male, female, either = SYLLABLES[script]
         more = F.transform(F.sequence(F.lit(1), F.greatest(attempt, F.lit(1))), lambda i: F.when(i <= attempt, _pick(syllables, digest, 9 + 2 * i)).otherwise(F.lit("")))
         body = F.concat(*(_pick(syllables, digest, F.lit(i)) for i in (0, 2, 4)), F.array_join(more, ""))
-        return F.concat(body, F.when(kind == "given-m", _pick(male, digest, F.lit(9))).when(kind == "given-f", _pick(female, digest, F.lit(9))).otherwise(_pick(either, digest, F.lit(9))))
+        return F.concat(body, F.when(kind == "name-m", _pick(male, digest, F.lit(9))).when(kind == "name-f", _pick(female, digest, F.lit(9))).otherwise(_pick(either, digest, F.lit(9))))
 
     name = F.when(word.rlike(r"\p{IsCyrillic}"), of("cyrillic")).when(word.rlike(r"\p{IsGreek}"), of("greek")).otherwise(of("latin"))
-    return F.when(word == F.upper(word), F.upper(name)).otherwise(F.concat(F.upper(F.substring(name, 1, 1)), F.substring(name, F.lit(2), F.length(name))))
+    return F.when((word == F.upper(word)) & (word != F.lower(word)), F.upper(name)).otherwise(F.concat(F.upper(F.substring(name, 1, 1)), F.substring(name, F.lit(2), F.length(name))))
 
 
 def name_words(match) -> F.Column:
-    """The words of a person's name with their kinds: (kind, word)."""
+    """The words of a person's name after the title with their kinds: (kind, word). Kinds besides ``NAME_KINDS``: particle, initial."""
     title = F.regexp_replace(F.substring_index(match, " ", 1), r"\.$", "")
-    words = F.split(F.regexp_replace(match, r"^\S+ ", ""), " ")
-    gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("n")
-    return F.transform(words, lambda w, i: F.struct(F.when((i == 0) & (F.size(words) > 1), F.concat(F.lit("given-"), gender)).otherwise(F.lit("family")).alias("kind"), w.alias("word")))
+    first = F.when(title.isin(TITLES["m"]), "name-m").when(title.isin(TITLES["f"]), "name-f").otherwise("name")
+
+    def of(words):
+        names = F.filter(words, lambda w: ~w.isin(PARTICLES) & ~w.rlike(r"\.$"))
+        given = F.when(F.size(names) > 1, F.get(names, F.lit(0)))
+        kind = lambda w: F.when(w.isin(PARTICLES), "particle").when(w.rlike(r"\.$"), "initial").when(w == given, first).otherwise("name")
+        return F.transform(words, lambda w: F.struct(kind(w).alias("kind"), w.alias("word")))
+
+    return _let(F.split(F.regexp_replace(match, r"^\S+ ", ""), " "), of)
 
 
 def entities_of(text) -> F.Column:
     """(kind, entity) of a text: matches in canonical form, names as words."""
 
     def one(m, kind):
-        return F.when(kind == "person", F.transform(name_words(m), lambda w: F.struct(w["kind"].alias("kind"), w["word"].alias("entity")))).otherwise(F.array(F.struct(kind.alias("kind"), _canonical(kind, m).alias("entity"))))
+        words = F.filter(name_words(m), lambda w: w["kind"].isin(NAME_KINDS))
+        return F.when(kind == "person", F.transform(words, lambda w: F.struct(w["kind"].alias("kind"), F.lower(w["word"]).alias("entity")))).otherwise(F.array(F.struct(kind.alias("kind"), _canonical(kind, m).alias("entity"))))
 
     return F.flatten(F.transform(matches_of(text), lambda m: _let(type_of(m), lambda kind: one(m, kind))))
 
 
+def _name(kind, word, code, key: str) -> F.Column:
+    """Replacement of a word of a name; ``code`` as ``exceptions`` gives it."""
+
+    def drawn(x):
+        attempt = F.shiftright(x["code"], 2)
+        of = F.when(x["code"] % 4 > 0, F.element_at(F.array(*map(F.lit, NAME_KINDS)), F.greatest(x["code"] % 4, F.lit(1)))).otherwise(x["kind"])
+        return _let(_digest(key, F.lit(NAME_KINDS[0]), F.lower(x["word"]), attempt), lambda d: _word(x["word"], of, attempt, d))
+
+    other = F.when(kind == "initial", _let(_digest(key, kind, word, F.lit(0)), lambda d: _shaped(word, d, any_script=True))).otherwise(word)
+    return F.when(kind.isin(NAME_KINDS), _let(F.struct(kind.alias("kind"), word.alias("word"), code.alias("code")), drawn)).otherwise(other)
+
+
 def surrogate(kind, entity, attempt, key: str = KEY, form=None) -> F.Column:
     """Replacement of an entity; ``form`` is the match whose format it takes (default: the canonical form)."""
     known = F.struct(kind.alias("kind"), entity.alias("entity"), attempt.alias("attempt"), (entity if form is None else form).alias("form"))
@@ -222,7 +262,7 @@ def _surrogate(kind, attempt, form, digest, key: str) -> F.Column:
         .when(kind == "card", _let(_let(compact, lambda c: _card(c, form, digest)), lambda fill: _refilled(form, fill)))
         .when(kind == "phone", phone)
         .when(kind.isin("access_key", "iban"), _let(headed, lambda fill: _refilled(form, fill)))
-        .when(kind.isin("given-m", "given-f", "given-n", "family"), _word(form, kind, attempt, digest))
+        .when(kind.isin(NAME_KINDS), _word(form, kind, attempt, digest))
         .otherwise(_shaped(_longer(form, attempt), digest, any_script=True))
     )
 
@@ -236,63 +276,91 @@ def _refilled(form, fill) -> F.Column:
 
 
 def exceptions(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """(kind, entity, attempt) of the entities whose attempt is above 0."""
+    """(kind, entity, code) of the entities whose code is above 0: four times the attempt, and the
+    place in ``NAME_KINDS`` (from 1) of a name word's kind in the whole corpus, where that is not ``kind``."""
     found = docs.select(F.explode(entities_of(F.col("text"))).alias("e")).select("e.kind", "e.entity")
+    bit = F.coalesce(*(F.when(F.col("kind") == k, F.lit(1 << i)) for i, k in enumerate(NAME_KINDS)), F.lit(0))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # few bytes but much work for each: dealt over the cluster's usual number of tasks
-    every = cut(found.groupBy("kind", "entity").count().drop("count").repartition(tasks, "kind", "entity"))
+    every = found.groupBy(_identity(F.col("kind")).alias("kind"), "entity").agg(F.bit_or(bit).alias("seen"))
+    every = cut(every.repartition(tasks, "kind", "entity"))
     real = every.select(F.col("kind").alias("r_kind"), F.col("entity").alias("r_entity"))
-    state = every.withColumn("attempt", F.lit(0))
-    new = surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), key)
+    gender = F.col("seen").bitwiseAND(6)
+    drawn_as = F.when(gender == 2, F.lit(NAME_KINDS[1])).when(gender == 4, F.lit(NAME_KINDS[2])).otherwise(F.col("kind"))
+    state = every.withColumn("drawn_as", drawn_as).withColumn("attempt", F.lit(0))
+    new = surrogate(F.col("drawn_as"), F.col("entity"), F.col("attempt"), key)
     while True:
         drawn = state.withColumn("new", new)
         drawn = drawn.withColumn("place", F.row_number().over(Window.partitionBy("kind", "new").orderBy("attempt", "entity")))
         taken = drawn.join(real, (F.col("kind") == F.col("r_kind")) & (_canonical(F.col("kind"), F.col("new")) == F.col("r_entity")), "left")
-        state = cut(taken.select("kind", "entity", "attempt", ((F.col("place") > 1) | F.col("r_kind").isNotNull()).alias("again")))
+        state = cut(taken.select("kind", "entity", "seen", "drawn_as", "attempt", ((F.col("place") > 1) | F.col("r_kind").isNotNull()).alias("again")))
         if state.where("again").isEmpty():
-            return state.where("attempt > 0").drop("again")
-        state = state.select("kind", "entity", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))
+            break
+        state = state.withColumn("attempt", F.col("attempt") + F.col("again").cast("int")).drop("again")
+    places = [F.when(F.col("seen").bitwiseAND(1 << i) > 0, F.lit(k)) for i, k in enumerate(NAME_KINDS)]
+    kinds = F.when(F.col("seen") > 0, F.array_compact(F.array(*places))).otherwise(F.array("kind"))
+    of = F.array_position(F.array(*map(F.lit, NAME_KINDS)), F.col("drawn_as")).cast("int")
+    each = state.select(F.explode(kinds).alias("place"), "entity", "attempt", "drawn_as")
+    code = F.col("attempt") * 4 + F.when(F.col("place") != F.col("drawn_as"), of).otherwise(F.lit(0))
+    return each.select(F.col("place").alias("kind"), "entity", code.alias("code")).where("code > 0")
 
 
-def _rebuilt(text, attempt_of, key: str) -> F.Column:
-    """``text`` with each match replaced; ``attempt_of(kind, entity)`` is a column."""
+def _rebuilt(text, code_of, key: str) -> F.Column:
+    """``text`` with each match and mention replaced; ``code_of(kind, entity)`` is a column."""
+    named = lambda w: _name(w["kind"], w["word"], code_of(w["kind"], F.lower(w["word"])), key)
 
     def one(m, kind):
         title = F.concat(F.substring_index(m, " ", 1), F.lit(" "))
-        words = F.transform(name_words(m), lambda w: surrogate(w["kind"], w["word"], attempt_of(w["kind"], w["word"]), key))
-        other = _let(_canonical(kind, m), lambda canonical: surrogate(kind, canonical, attempt_of(kind, canonical), key, form=m))
+        words = F.transform(name_words(m), named)
+        other = _let(_canonical(kind, m), lambda canonical: surrogate(kind, canonical, F.shiftright(code_of(kind, canonical), 2), key, form=m))
         return F.when(kind == "person", F.concat(title, F.array_join(words, " "))).otherwise(other)
 
-    pieces = F.split(text, PATTERN, -1)
-    return F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("piece"), F.transform(matches_of(text), lambda m: _let(type_of(m), lambda kind: one(m, kind))).alias("new")), lambda x: F.array(x["piece"], F.coalesce(x["new"], F.lit(""))))), "")
+    def joined(pieces, new):
+        return F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("piece"), new.alias("new")), lambda x: F.array(x["piece"], F.coalesce(x["new"], F.lit(""))))), "")
+
+    def mentions(piece, names, pattern):
+        known = lambda w: F.get(F.filter(names, lambda n: n["word"] == w), 0)
+        new = lambda found: F.transform(found, lambda w: _let(known(w), named))
+        return F.when(F.rlike(piece, pattern), joined(F.split(piece, pattern, -1), new(F.regexp_extract_all(piece, pattern, F.lit(0))))).otherwise(piece)
+
+    def whole(x):
+        # longer words first, as one may begin with another
+        pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(F.reverse(F.array_sort(F.transform(x["names"], lambda n: n["word"]))), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+        told = lambda pieces: F.when(F.size(x["names"]) > 0, _let(pattern, lambda p: F.transform(pieces, lambda piece: mentions(piece, x["names"], p)))).otherwise(pieces)
+        new = F.transform(x["found"], lambda m: _let(type_of(m), lambda kind: one(m, kind)))
+        return joined(told(F.split(text, PATTERN, -1)), new)
+
+    people = lambda found: F.filter(found, lambda m: m.rlike(f"^(?:{_PERSON})$"))
+    names = lambda found: F.array_distinct(F.filter(F.flatten(F.transform(people(found), name_words)), lambda w: w["kind"].isin(NAME_KINDS)))
+    return _let(_let(matches_of(text), lambda found: F.struct(found.alias("found"), names(found).alias("names"))), whole)
 
 
 def replace_personal_data(docs: DataFrame, key: str = KEY, inline: int = INLINE) -> DataFrame:
     """``docs`` with ``text`` rewritten, and ``n_entities`` and ``entity_types``."""
-    count, types, again = free_names(docs, "n_entities", "entity_types", "surrogate_attempts")
+    count, types, again = free_names(docs, "n_entities", "entity_types", "surrogate_codes")
     odd = exceptions(docs, key)
     n = odd.count()
     rows = docs
     if n <= inline:
         known = {f"{r[0]}\u0001{r[1]}": r[2] for r in odd.collect()}
         table = F.from_json(F.lit(json.dumps(known)), "map<string,int>")
-        attempt_of = (lambda k, e: F.coalesce(F.element_at(table, F.concat_ws("\u0001", k, e)), F.lit(0))) if n else (lambda k, e: F.lit(0))
+        code_of = (lambda k, e: F.coalesce(F.element_at(table, F.concat_ws("\u0001", k, e)), F.lit(0))) if n else (lambda k, e: F.lit(0))
     else:
-        rows, attempt_of = _with_attempts(docs, odd, again)
+        rows, code_of = _with_codes(docs, odd, again)
     text = F.col("text")
     hit = text.rlike(PATTERN)
     rows = rows.withColumn(count, F.when(hit, F.size(matches_of(text)).cast("long")).otherwise(F.lit(0).cast("long")))
     rows = rows.withColumn(types, F.when(hit, F.array_join(F.array_sort(F.array_distinct(F.transform(matches_of(text), type_of))), ",")).otherwise(F.lit("")))
-    new = F.when(F.col(count) > 0, _rebuilt(text, attempt_of, key)).otherwise(text)
+    new = F.when(F.col(count) > 0, _rebuilt(text, code_of, key)).otherwise(text)
     return rows.select(*(new.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns), count, types)
 
 
-def _with_attempts(docs: DataFrame, odd: DataFrame, name: str):
-    """Documents with a map of the attempts of their odd entities: found by a join on distinct texts, whatever the number."""
+def _with_codes(docs: DataFrame, odd: DataFrame, name: str):
+    """Documents with a map of the codes of their odd entities: found by a join on distinct texts, whatever the number."""
     body = docs.where(F.col("text").rlike(PATTERN)).select(F.md5(F.col("text").cast("binary")).alias("h"), F.explode(F.array_distinct(entities_of(F.col("text")))).alias("e"))
     each = body.select("h", F.col("e.kind").alias("b_kind"), F.col("e.entity").alias("b_entity")).distinct()
     met = each.join(odd, (F.col("b_kind") == F.col("kind")) & (F.col("b_entity") == F.col("entity")))
-    maps = met.groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\u0001", "kind", "entity").alias("k"), F.col("attempt").alias("v")))).alias(name))
+    maps = met.groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\u0001", "kind", "entity").alias("k"), F.col("code").alias("v")))).alias(name))
     rows = docs.join(maps.withColumnRenamed("h", name + "_h"), F.md5(F.col("text").cast("binary")) == F.col(name + "_h"), "left")
     return rows, lambda k, e: F.coalesce(F.element_at(F.col(name), F.concat_ws("\u0001", k, e)), F.lit(0))
 

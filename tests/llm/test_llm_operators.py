@@ -341,6 +341,41 @@ def test_surrogates_of_shapes_that_cannot_change(spark):
     assert re.fullmatch(r"_[a-z0-9]+@-\.example\.com wrote", new[8])
 
 
+def test_names_are_one_entity_and_further_mentions_go(spark):
+    texts = [
+        "Mr. John Smith came. Later Smith left; John's hat, Smithson and blacksmith stay. SMITH too.",
+        "Dr. John Smith wrote. Mr. John and Mr. SMITH's dog agree.",
+        "Mr. J. Smith met Dr. A. B. Smith-Jones and Herr von Braun; Smith-Jones and Braun went, Jones stayed.",
+        "Mrs. Anna Lee saw Frau Anna Berg and Dr. Anna Berg.",
+        "Mrs. Robin Hale, Mr. Robin Hale",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for inline in (500, 0):
+        new = [r["text"] for r in sorted(surrogates.replace_personal_data(df, inline=inline).collect())]
+        one = re.fullmatch(r"Mr\. (\w+) (\w+) came\. Later (\w+) left; (\w+)'s hat, Smithson and blacksmith stay\. SMITH too\.", new[0])
+        john, smith = one[1], one[2]
+        assert (one[3], one[4]) == (smith, john) and john.endswith(("o", "us", "an")) and {john, smith}.isdisjoint({"John", "Smith"})
+        assert new[1] == f"Dr. {john} {smith} wrote. Mr. {john} and Mr. {smith.upper()}'s dog agree."
+        three = re.fullmatch(r"Mr\. ([A-Z])\. (\w+) met Dr\. [A-Z]\. [A-Z]\. (\w+) and Herr von (\w+); (\w+) and (\w+) went, Jones stayed\.", new[2])
+        assert three[2] == smith and three[3] == three[5] and three[4] == three[6] and not {three[3], three[4]} & {"Smith-Jones", "Braun"}
+        four = re.fullmatch(r"Mrs\. (\w+) \w+ saw Frau (\w+) (\w+) and Dr\. (\w+) (\w+)\.", new[3])
+        assert four[1] == four[2] == four[4] != "Anna" and four[3] == four[5] and four[1].endswith(("a", "ia", "elle"))
+        five = re.fullmatch(r"Mrs\. (\w+) (\w+), Mr\. (\w+) (\w+)", new[4])  # both genders: neither ending
+        assert five[1] == five[3] and five[2] == five[4] and five[1].endswith(("er", "in", "is"))
+
+
+def test_further_forms_of_numbers_and_secrets(spark):
+    texts = ["+14155551234 or +1 (415) 555-1234", "+33 1 23 45 67 89 and 01 23 45 67 89", "+49 30 1234567", '{"password": "hunter2secret", \'token\':\'abc123xyz\'}', "1 23 45 67 89 on 2024-01-02, 12 of 34"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = [r["text"] for r in sorted(surrogates.replace_personal_data(df).collect())]
+    plain, grouped = re.fullmatch(r"(\+1\d{10}) or (\+1 \(\d{3}\) \d{3}-\d{4})", new[0]).groups()
+    assert plain == re.sub(r"[^+\d]", "", grouped) and "4155551234" not in plain
+    assert re.fullmatch(r"\+33 \d(?: \d\d){4} and \d\d(?: \d\d){4}", new[1]) and "23 45 67 89" not in new[1]
+    assert re.fullmatch(r"\+49 \d\d \d{7}", new[2]) and new[2] != texts[2]
+    assert re.fullmatch(r"\{\"password\": \"[a-z]{6}\d[a-z]{6}\", 'token':'[a-z]{3}\d{3}[a-z]{3}'\}", new[3]) and "hunter" not in new[3] and "abc" not in new[3]
+    assert new[4] == texts[4]
+
+
 def test_more_names_than_words_of_three_syllables(spark, monkeypatch):
     # 8 bodies and one ending of each kind: 60 surnames find distinct words only by growing
     monkeypatch.setitem(surrogates.SYLLABLES, "latin", (["bal", "cor"], ["o"], ["a"], ["er"]))
