@@ -122,7 +122,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
         def make():
             find = scan()
-            return lambda texts: _columns((body, *find(words_of(body))) for body in texts)
+            return lambda texts: _columns((body, words, *find(words)) for body, words in ((b, words_of(b)) for b in texts))
 
         return append_columns(docs, text, fields, make)
 
@@ -136,7 +136,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     def unite():
         def work(texts, found):
             each = ([x for x in f or ()] for f in found)
-            return _columns((body, [r for x in f for r in zip(x["starts"], x["ends"], strict=True)], {i for x in f for i in x["items"]}) for body, f in zip(texts, each, strict=True))
+            return _columns((body, words_of(body), [r for x in f for r in zip(x["starts"], x["ends"], strict=True)], {i for x in f for i in x["items"]}) for body, f in zip(texts, each, strict=True))
 
         return work
 
@@ -190,11 +190,11 @@ def _hits(docs: DataFrame, text: str, scan) -> DataFrame:
 
 
 def _columns(found) -> list[list]:
-    """Result columns of (text, word ranges, items)."""
+    """Result columns of (text, its words, word ranges, items)."""
     out: list[list] = [[], [], [], []]
-    for body, ranges, owners in found:
+    for body, words, ranges, owners in found:
         ranges = _merged(ranges)
-        out[0].append(len(words_of(body)))
+        out[0].append(len(words))
         out[1].append(sum(z - a for a, z in ranges))
         out[2].append(sorted(owners))
         out[3].append([{"start": a, "end": z} for a, z in (_places(body, ranges) if ranges else [])])
