@@ -37,15 +37,50 @@ def shared_dir(spark: SparkSession) -> str:
     return known
 
 
+class Scratch:
+    """The tables and checkpoints that operators write for themselves while it is open; ``free`` deletes them.
+
+    Results of operators read such tables lazily: write a result out before freeing what it was made with.
+    Scratches may be nested; each knows what was written while it was the innermost one.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        _open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _open.remove(self)
+
+    def free(self) -> None:
+        """Delete what was written; a path that is gone already is no error."""
+        jvm, conf = self._spark._jvm, self._spark._jsparkSession.sessionState().newHadoopConf()
+        for path in self.paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+        self.paths.clear()
+
+
+_open: list[Scratch] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are kept in the shared folder, the lineage ends there."""
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    kept = df.checkpoint()
+    if _open:
+        _open[-1].paths.append(kept._jdf.queryExecution().logical().rdd().getCheckpointFile().get())
+    return kept
 
 
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back (wide or re-read tables)."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].paths.append(path)
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -9,8 +9,9 @@ with the rate's fraction as probability, drawn from a keyed MD5 of its id and
 text, so reruns and retried tasks decide alike.
 
 Only JVM expressions are used. The level is found from sums over the table of
-sources: two numbers reach the driver in a round, whatever the count of sources,
-and the rank that gives a source its weight comes from a range partitioning
+sources: three numbers reach the driver in a round, whatever the count of sources (each round at
+least halves either the words still to be shared or the weight of the sources below their caps, so rounds
+grow with the logarithms of both), and the rank that gives a source its weight comes from a range partitioning
 with per-partition offsets. The rates are joined by broadcast if the table of
 sources is measured to be small, else by a join salted on both sides.
 
@@ -60,7 +61,7 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, total: float = TOTAL, max_
     sources = sources.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * F.lit(float(max_epochs))).alias("cap"))
     want = (sources.agg(F.sum("source_size")).first()[0] or 0) * float(total)
     level, n_open = None, -1
-    while True:  # each round caps at least one more source or ends; in practice a handful of rounds
+    while True:  # Newton steps from below on a concave, piecewise linear sum; ends when no further source is capped
         free = F.lit(True) if level is None else F.col("cap") >= F.col("weight") * F.lit(level)
         given, open_weight, n = sources.agg(F.sum(F.when(~free, F.col("cap"))), F.sum(F.when(free, F.col("weight"))), F.count(F.when(free, 1))).first()
         if not n or n == n_open:

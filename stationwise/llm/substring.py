@@ -20,7 +20,8 @@ joined back on their keys with plain joins that Spark can split. Hashes of reach
 
 Edge cases: null and empty texts have no words; texts shorter than a window lose nothing;
 rows equal in text lose everything if they are as long as a window; extra columns
-pass through ``remove_repeats``; an empty table gives no rows.
+pass through ``remove_repeats``, which writes bytes that are not UTF-8 as U+FFFD where it
+rewrites a text; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -273,7 +274,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
 def _replaced(rows: DataFrame, docs: DataFrame, window: int) -> DataFrame:
     def result(words, kept):
-        return (b" ".join(kept).decode(),) if len(words) >= window and len(kept) < len(words) else (None,)
+        return (b" ".join(kept).decode("utf-8", "replace"),) if len(words) >= window and len(kept) < len(words) else (None,)
 
     made = _cut_texts(rows, [T.StructField("kept_text", T.StringType())], result)
     return made.select(*(F.coalesce("kept_text", "row.text").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))

@@ -162,6 +162,26 @@ def test_mix_targets_and_copies(docs, rows, broadcast_sources):
     assert Counter(r["doc_id"] for r in mix.mix(docs).collect()) == Counter({d: n for d, n in Counter(x for r in got.collect() for x in [r["doc_id"]] * r["copies"]).items() if n})
 
 
+def test_taken_words_come_near_the_target(spark):
+    sf = "/root/testdata/sf0.01"
+    plan = mix.mix_plan(spark.read.parquet(f"{sf}/documents.parquet"))
+    rate = F.col("target") / F.col("source_size")
+    spread = F.pow("size", F.lit(2)) * (rate - F.floor(rate)) * (1 - rate + F.floor(rate))
+    found = plan.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.sqrt(F.sum(spread)).alias("sd")).collect()
+    assert found
+    for r in found:  # four standard deviations of independent draws
+        assert abs(r["taken"] - r["target"]) <= 4 * r["sd"] + 1e-6 * r["target"]
+
+
+def test_mix_takes_a_few_rounds_for_many_sources(spark, monkeypatch):
+    sized = spark.range(3000).selectExpr("concat('s', id) AS source", "CAST(pow(1.01, id) AS BIGINT) AS size")
+    rounds, agg = [], type(sized).agg
+    monkeypatch.setattr(type(sized), "agg", lambda self, *a: (rounds.append(1), agg(self, *a))[1])
+    found = mix.source_targets(sized).agg(F.sum("target").alias("t"), F.sum("source_size").alias("s"), F.max(F.col("target") / F.col("source_size")).alias("r")).first()
+    assert len(rounds) < 40
+    assert found["r"] <= 2.0 + 1e-9 and abs(found["t"] - 1.5 * found["s"]) <= 1e-6 * found["s"]
+
+
 def test_mix_edges(spark, empty, clashing):
     assert mix.mix(empty).count() == 0 and mix.mix(empty).columns == empty.columns
     _same_extras(mix.mix_plan(clashing), clashing)
@@ -459,6 +479,30 @@ def test_remove_repeats(docs, rows, empty, clashing):
     _same_extras(substring.remove_repeats(clashing), clashing)
 
 
+def test_remove_repeats_of_other_bytes(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, f"{words} end".encode() + b" \xff\xfe"), (2, b"\xff start " + words.encode()), (3, b"\xff alone")], "doc_id long, raw binary")
+    docs = docs.select("doc_id", F.col("raw").cast("string").alias("text"))
+    kept = {r["doc_id"]: r["text"] for r in substring.remove_repeats(docs).where("doc_id < 3").collect()}
+    assert kept == {1: "end \ufffd\ufffd", 2: "\ufffd start"}
+
+
+def test_scratch_frees_what_was_written_while_it_was_open(spark, docs, tmp_path):
+    with common.Scratch(spark) as outer:
+        with common.Scratch(spark) as inner:
+            found = simhash.label(docs)
+            found.write.parquet(str(tmp_path / "result"))
+        mine = common.cut(docs.limit(3))
+    assert len(inner.paths) > 1 and len(outer.paths) == 1
+    paths = [p.removeprefix("file:") for p in inner.paths]
+    assert all(glob.glob(p) for p in paths)
+    inner.free()
+    assert not any(glob.glob(p) for p in paths) and not inner.paths
+    assert mine.count() == 3 and spark.read.parquet(str(tmp_path / "result")).count() > 0
+    outer.free()
+    outer.free()
+
+
 def test_rows_equal_in_id_and_text_are_one_body(spark, rows):
     # texts beside their copies in others: without an id, with an id that repeats, and with ids of their own
     body, other = rows[12][1] + rows[14][1], rows[9][1]
