@@ -3,8 +3,10 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns the next stage's documents. All but the last return the columns that
 they got; the last adds ``shard``. ``run`` applies them to ``documents`` and
-keeps each stage's result as a Parquet table in the session's shared folder, so
-a lost executor repeats one stage's tasks at most.
+writes each stage's result as a Parquet table in the session's shared folder, so
+a lost executor repeats one stage's tasks at most. Once a stage's result is written, what
+the stage wrote for itself and the result before it are deleted: two copies of the documents at most
+lie there at a time. The rows that ``run`` returns read the last copy.
 
 Nulls, empty texts, ties, repeated rows, extra columns and empty tables are
 handled as the stages' operators say: texts with fewer than 50 words go in the
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stationwise.llm import decontaminate, mix, repetition, shards, simhash
-from stationwise.llm.common import ship, stored
+from stationwise.llm.common import Scratch, ship, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +58,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with Scratch(spark) as own:
+            made = stage(spark, docs, sf_dir)
+        with Scratch(spark) as table:
+            docs = stored(made, f"pipeline-{name}")
+        own.free()
+        if before:
+            before.free()
+        before = table
     return STAGES[-1][1](spark, docs, sf_dir)
