@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from stationwise.llm import mix, queries, repetition, simhash
+from stationwise.llm import common, mix, queries, repetition, simhash
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -59,7 +59,10 @@ def test_pipeline_equals_brute_force(spark):
             clean.append(r)
     mixed = mix.mix_plan(spark.createDataFrame(clean, docs.schema)).collect()
     want = sorted(r["doc_id"] for r in mixed for _ in range(r["copies"]))
+    here = common.shared_dir(spark)
+    before = set(os.listdir(here))
     got = corpus_pipeline.run(spark, SF)
+    assert {x.split("-")[1] for x in set(os.listdir(here)) - before if x.startswith("pipeline-")} == {"mixing"}
     assert got.columns == [*docs.columns, "shard"]
     assert sorted(r["doc_id"] for r in got.collect()) == want
 
