@@ -156,3 +156,40 @@ def test_points_outside_a_dense_cluster(spark, n_points, n_stations):
     points = cents.selectExpr("neighbourhood_lat AS plat", "neighbourhood_lon AS plon")
     assert candidate_pairs(points, stations).count() < 5 * n_points
     assert rows(nearest_station(cents, stations)) == rows(brute(cents, stations))
+
+
+def joined_rows(df):
+    """Rows that the joins of the executed plan gave out."""
+    df.collect()
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            below = [node.executedPlan()]
+        elif "QueryStage" in name:
+            below = [node.plan()]
+        else:
+            below = [node.children().apply(i) for i in range(node.children().size())] if not name.startswith("ReusedExchange") else []
+        own = node.metrics().apply("numOutputRows").value() if "Join" in name else 0
+        return own + sum(map(walk, below))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_work_of_a_point_does_not_grow_with_the_stations(spark):
+    """One station in each of 64 x 64 cells: a point meets a part of those near it, not a whole block of a thousand."""
+    rnd = random.Random(9)
+    stations = spark.createDataFrame([(i, f"S{i}", 49.0 + (i // 64 + rnd.random()) / 128, -123.0 + (i % 64 + rnd.random()) / 128) for i in range(4096)], ST)
+    cents = spark.createDataFrame([(str(i), 49.0 + rnd.random() / 2, -123.0 + rnd.random() / 2) for i in range(400)], CENT)
+    found = nearest_station(cents, stations)
+    assert joined_rows(found) < 600 * 400
+    assert rows(found) == rows(brute(cents, stations))
+
+
+def test_ties_one_searches_a_place_once(spark):
+    """Stations at one place, and points at one place, do not meet pair by pair."""
+    stations = spark.createDataFrame([(i, f"S{i % 50}", 49.28, -123.12) for i in range(2000)] + [(9999, None, 49.3, -123.12), (5000, "N", 49.3, -123.12)], ST)
+    cents = spark.createDataFrame([(str(i), 49.25 + i % 2 / 10, -123.12) for i in range(400)], CENT)
+    found = nearest_station(cents, stations, ties="one")
+    assert joined_rows(found) < 10 * 400
+    assert rows(found) == rows(brute(cents, stations, ties="one"))
