@@ -18,6 +18,9 @@ The two passes must see the same rows in the same partitions, as scans of a
 written table do (retried tasks included); store anything else first. A task
 of the second pass whose count differs from the index stops the job.
 
+The pattern's look-ahead matters only where two white spaces meet. Texts without such a place, found by one
+search of a linear-time engine over a batch, are cut by the pattern without it, which that kind of engine can run too; tokens stay arrays.
+
 Edge cases: a null text or one without tokens has no sequence; equal texts get
 sequences of their own; an empty table writes no shard; extra columns are not stored. Ids are
 integers. Bytes that are not UTF-8 are tokenised as U+FFFD, which is what a reader gets back.
@@ -32,6 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +45,10 @@ from .common import chunks, shared_dir, stored
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Pre-token pattern of the vocabulary (fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The same pre-tokens for a text in which no two white spaces meet, without look-ahead.
+NO_RUNS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"""
+#: Two white spaces in UTF-8 bytes: the 25 characters that ``\s`` means.
+RUN = r"(?:[\t-\r ]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80){2}"
 END = 50256
 LENGTH = 512
 PER_SHARD = 16_384
@@ -48,13 +56,27 @@ KEY = 20_240_607
 ROUNDS = 6
 
 
-@lru_cache(maxsize=1)
-def tokenizer(path: str):
+@lru_cache(maxsize=2)
+def tokenizer(path: str, pattern: str = PATTERN):
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    if max(ranks.values(), default=0) > 0xFFFF:
+        raise ValueError("a record holds 16-bit tokens")
+    # no text gets the special token; without any, encode_to_numpy would search for the empty string
+    return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": END})
+
+
+def encoder(vocabulary: str):
+    """Function from a list of texts (bytes) to their token arrays; None for a null or empty text."""
+    kinds = [tokenizer(vocabulary, p).encode_to_numpy for p in (NO_RUNS, PATTERN)]
+
+    def encode(texts: list[bytes | None]) -> list[np.ndarray | None]:
+        runs = pc.match_substring_regex(pa.array(texts, pa.large_binary()), RUN).to_pylist()
+        return [kinds[run](text.decode("utf-8", "replace"), disallowed_special=()) if text else None for text, run in zip(texts, runs, strict=True)]
+
+    return encode
 
 
 def permute(numbers: np.ndarray, count: int, key: int = KEY, rounds: int = ROUNDS) -> np.ndarray:
@@ -93,14 +115,14 @@ class TokenShards:
 
 
 def _tokens(docs: DataFrame, vocabulary: str, batch_rows, schema: str) -> DataFrame:
-    """``batch_rows(part, place, ids, token lists)`` for batches of documents that have tokens; it returns arrays and the next place."""
+    """``batch_rows(part, place, rows)`` for batches of (id, tokens without the end) of documents that have any; it returns arrays and the next place."""
 
     def run(batches):
-        encode, part, place = tokenizer(vocabulary).encode_ordinary, TaskContext.get().partitionId(), 0
+        encode, part, place = encoder(vocabulary), TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
             for texts in chunks(batch.column(1)):
-                rows = [(doc, [*encode(text.decode("utf-8", "replace")), END]) for doc, text in zip(batch.column(0).slice(at, len(texts)).to_pylist(), texts, strict=True) if text]
+                rows = [(doc, tokens) for doc, tokens in zip(batch.column(0).slice(at, len(texts)).to_pylist(), encode(texts), strict=True) if tokens is not None]
                 at += len(texts)
                 made, place = batch_rows(part, place, rows)
                 yield made
@@ -117,10 +139,11 @@ def sequence_index(docs: DataFrame, vocabulary: str = VOCABULARY, length: int =
             return None
         ids, pieces, sizes = [], [], []
         for doc, tokens in rows:
-            n = -(-len(tokens) // length)
+            held = len(tokens) + 1
+            n = -(-held // length)
             ids += [doc] * n
             pieces += range(n)
-            sizes += [length] * (n - 1) + [len(tokens) - (n - 1) * length]
+            sizes += [length] * (n - 1) + [held - (n - 1) * length]
         n = len(ids)
         arrays = [pa.array(ids, pa.int64()), pa.array(pieces, pa.int32()), pa.array(sizes, pa.int32()), pa.array([part] * n, pa.int32()), pa.array(range(place, place + n), pa.int64())]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "n_tokens", "part", "place"]), place + n
@@ -135,7 +158,7 @@ def _records(docs: DataFrame, vocabulary: str, length: int, per_shard: int, key:
         first, expected = starts.value.get(part, (0, 0))
         bodies = []
         for _, tokens in rows or ():
-            padded = np.full(-(-len(tokens) // length) * length, END, "<u2")
+            padded = np.full(-(-(len(tokens) + 1) // length) * length, END, "<u2")
             padded[: len(tokens)] = tokens
             bodies += [row.tobytes() for row in padded.reshape(-1, length)]
         n = len(bodies)

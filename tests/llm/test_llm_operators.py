@@ -297,6 +297,21 @@ def test_token_shards_round_trip(docs, rows, empty):
     assert tokens.write_shards(empty).count == 0
 
 
+def test_op5_tokens_do_not_depend_on_white_space_runs():
+    rng = random.Random(5)
+    signs = "ab'stlv 19é漢!.#_\t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u2000\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff\U0001f600"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 9))).encode() for _ in range(20_000)]
+    texts += [b"a<|endoftext|>b", b"a  <|endoftext|>", b"\xff a\xe3\x80", b" \xc2\x85", WORDS[0].encode() * 5000, None, b""]
+    got = tokens.encoder(tokens.VOCABULARY)(texts)
+    plain = tokens.tokenizer(tokens.VOCABULARY).encode_ordinary
+    for text, found in zip(texts, got, strict=True):
+        assert (found is None) == (not text)
+        if text:
+            assert found.tolist() == plain(text.decode("utf-8", "replace")), text
+    runs = tokens.tokenizer(tokens.VOCABULARY, tokens.NO_RUNS).encode_ordinary
+    assert runs("it's a b\nc 1") == plain("it's a b\nc 1") and any(runs(x) != plain(x) for x in ("a\n\nb", "a\n\n\n b", "a" + " " * 8 + "b"))
+
+
 @pytest.mark.parametrize("count", [1, 2, 3, 100, 4097])
 def test_permutation_is_a_bijection(count):
     assert sorted(tokens.permute(np.arange(count), count).tolist()) == list(range(count))
